@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from glossaria.llm import chat_format, line_dedup, quality_rules, revisits, sharding, url_filter
+from glossaria.llm import byte_bpe, chat_format, line_dedup, packing, quality_rules, revisits, sharding, simhash, url_filter, webp
 
-MODULES = (url_filter, quality_rules, chat_format, sharding, revisits, line_dedup)
+MODULES = (url_filter, quality_rules, chat_format, sharding, revisits, line_dedup, packing, byte_bpe, simhash, webp)
 
 
 def queries() -> dict:
-    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
+    import corpus_pipeline
+
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
