@@ -55,6 +55,13 @@ def completeness(stats: DataFrame, headers: DataFrame | None = None) -> DataFram
     return out if headers is None else out.join(headers.select("Dataset", F.col("columns").alias("columns_present")), "Dataset", "left")
 
 
+def declared_completeness(complete: DataFrame, metadata: DataFrame) -> DataFrame:
+    """:func:`completeness` with the counts that descriptors declare in place of counted rows, as a report over stored metadata has them."""
+    pairs = {"forms": "Form_Count", "languages": "Language_Count", "parameters": "Parameter_Count"}
+    told = metadata.select("Dataset", *(F.col(c).alias(f"__{n}") for n, c in pairs.items()))
+    return complete.join(told, "Dataset").withColumns({n: F.col(f"__{n}") for n in pairs}).select(*complete.columns)
+
+
 def rollup(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The report of all datasets, or of each group of them: summary, coverage and partial judgments.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaria.schemas import REQUIRED_COLUMNS, REQUIRED_FILES, RELEASE_FILES
+from glossaria.schemas import RELEASE_FILES, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
 
@@ -138,6 +138,12 @@ def registry_datasets(registry: DataFrame, core_only: bool = False, corecog_only
     return out.where("is_corecog") if corecog_only else out
 
 
+def read_published(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
+    """A published CSV table with its declared types; booleans are ``True`` and ``False``, empty cells null."""
+    rows = spark.read.schema(schema_of(columns)).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8").csv(path)
+    return rows.select(*columns)
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A report that was written as JSON; a missing file is an error."""
     return spark.read.json(path, multiLine=True)
