@@ -38,9 +38,9 @@ def _bits(digest: Column, depth: int) -> Column:
 
 
 def _split(cells: DataFrame, depth_from: int, depth_to: int, limit: int) -> DataFrame:
-    """The directory: ``cell`` (``depth_to`` bits) and ``shard``, the shortest prefix of ``depth_from`` bits or more that fits; null where even the cell is too large."""
-    levels = cells.select("cell", "bytes", F.explode(F.sequence(F.lit(depth_from), F.lit(depth_to))).alias("depth")).select("cell", "bytes", "depth", F.expr("substring(cell, 1, depth)").alias("prefix"))
-    sums = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("held")).where(F.col("held") <= limit)
+    """The directory: ``cell`` (``depth_to`` bits) and ``shard``, the shortest prefix of ``depth_from`` bits or more that fits or holds one row; null where even the cell is too large."""
+    levels = cells.select("cell", "bytes", "rows", F.explode(F.sequence(F.lit(depth_from), F.lit(depth_to))).alias("depth")).withColumn("prefix", F.expr("substring(cell, 1, depth)"))
+    sums = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("held"), F.sum("rows").alias("n")).where((F.col("held") <= limit) | (F.col("n") == 1))
     fits = levels.select("cell", "depth", "prefix").join(sums, ["depth", "prefix"], "left")
     return fits.groupBy("cell").agg(F.min(F.when(F.col("held").isNotNull(), F.col("depth"))).alias("d")).select("cell", F.expr("substring(cell, 1, d)").alias("shard"))
 
@@ -50,7 +50,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 
     ``shard`` is the bucket's bits. No shard holds more than ``limit`` bytes, except one that is a single longer document.
     Rows of one key split on the hash of their content; equal rows that alone exceed the limit get overflow
-    chunks, ``overflow`` numbering them (else 0) and the shard being named by its bits, the rows' size and the number.
+    chunks, ``overflow`` numbering them (else 0) and the shard being named by its hash, the rows' size and the number.
     A null text has no bytes, null ids are one key, an empty table gives an empty result; other columns are not read.
     """
     text = F.coalesce("text", F.lit(""))
@@ -60,7 +60,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     pending, done = rows, []
     while True:
         at = _bits(F.col("digest"), high)
-        cells = pending.groupBy(at.alias("cell")).agg(F.sum("bytes").alias("bytes"))
+        cells = pending.groupBy(at.alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
         directory = stage(_split(cells, low, high, limit), "shard-directory")
         known = directory.where("shard is not null")
         entries, oversized = directory.count(), directory.where("shard is null").count()
@@ -85,7 +85,7 @@ def _overflow(pending: DataFrame, limit: int) -> DataFrame:
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1)))).cast("long")
     chunks = alike.withColumn("each", each).withColumn("overflow", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("copies") / F.col("each")))))
     here = F.least("each", F.col("copies") - (F.col("overflow") - 1) * F.col("each"))
-    shard = F.concat_ws("-", _bits(F.col("digest"), ALL_BITS), F.col("bytes").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("overflow").cast("string"))
+    shard = F.concat_ws("-", "digest", F.col("bytes").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("overflow").cast("string"))
     return chunks.withColumn("shard", shard).select("doc_id", "bytes", "shard", "overflow", F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("__copy")).drop("__copy")
 
 
@@ -105,12 +105,12 @@ WITH RECURSIVE keyed AS (
 spelled AS (
   SELECT doc_id, bytes, array_to_string(list_transform(string_split(digest[1:10], ''), lambda x: right('000' || bin(CAST('0x' || x AS INTEGER)), 4)), '') AS bits FROM keyed),
 buckets AS (
-  SELECT 0 AS depth, '' AS prefix, CAST(sum(bytes) AS BIGINT) AS held FROM spelled
+  SELECT 0 AS depth, '' AS prefix, CAST(sum(bytes) AS BIGINT) AS held, count(*) AS n FROM spelled
   UNION ALL
-  SELECT b.depth + 1 AS depth, s.bits[1:b.depth + 1] AS prefix, CAST(sum(s.bytes) AS BIGINT) AS held
-  FROM buckets b JOIN spelled s ON s.bits[1:b.depth] = b.prefix WHERE b.held > {LIMIT_BYTES} AND b.depth < 40
+  SELECT b.depth + 1 AS depth, s.bits[1:b.depth + 1] AS prefix, CAST(sum(s.bytes) AS BIGINT) AS held, count(*) AS n
+  FROM buckets b JOIN spelled s ON s.bits[1:b.depth] = b.prefix WHERE b.held > {LIMIT_BYTES} AND b.n > 1 AND b.depth < 40
   GROUP BY b.depth, b.prefix, s.bits[1:b.depth + 1]),
-leaves AS (SELECT depth, prefix FROM buckets WHERE held <= {LIMIT_BYTES})
+leaves AS (SELECT depth, prefix FROM buckets WHERE held <= {LIMIT_BYTES} OR n = 1)
 SELECT s.doc_id, s.bytes, l.prefix AS shard, CAST(0 AS BIGINT) AS overflow
 FROM spelled s JOIN leaves l ON s.bits[1:l.depth] = l.prefix
 """
