@@ -17,12 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossaria.llm.chunks import slices
 from glossaria.llm.common import id_and_text, table
 
+#: Bytes of text that a worker holds the media of.
+BATCH_BYTES = 4 << 20
 ROW = 64
 MOST_ROWS = 1 << 14
 #: Repeats shorter than this many samples are written out.
@@ -765,9 +770,23 @@ def decode_pixels(media: Column) -> Column:
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``media``, ``samples`` read back from it, and ``feature``, for every document. Other columns are not read."""
-    stored = id_and_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), store_text(F.col("text")).alias("media"))
-    return stored.select("*", load_samples(F.col("media")).alias("read")).select("doc_id", "n_bytes", "media", "read.samples", "read.feature")
+    """``doc_id``, ``n_bytes``, ``media``, ``samples`` read back from it, and ``feature``, for every document.
+
+    Texts are stored and read back in one pass, ``BATCH_BYTES`` at a time. A null text counts as empty and is stored
+    as one row of zeros; other columns are not read.
+    """
+    slim = id_and_text(docs)
+    names = ["doc_id", "n_bytes", "media", "samples", "feature"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(batch.column(1), BATCH_BYTES):
+                media = [store_bytes(padded(t)) for t in texts.to_pylist()]
+                samples = [load_bytes(m) for m in media]
+                columns = [batch.column(0).slice(at, len(texts)), pc.binary_length(texts).cast(pa.int64()), pa.array(media, pa.binary()), pa.array(samples, pa.binary()), pa.array([feature(s) for s in samples])]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, n_bytes long, media binary, samples binary, feature string")
 
 
 def op10_webp_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
