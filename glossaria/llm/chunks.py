@@ -8,35 +8,99 @@ if neither neighbour of the space is white space. A text can therefore be cut th
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-#: Chunks that a cache holds before it starts anew; bounds a worker's memory.
-CACHE_CHUNKS = 300_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_SPACE = r"\t-\r \x85\xa0  -     　\x1c-\x1f"
-_ODD = re.compile(rf"[{_SPACE}]{{2}}|\A[{_SPACE}]|[{_SPACE}]\Z")
+#: Chunks that a worker keeps, about 40 bytes each; beyond, those of the latest texts stay.
+CACHE_CHUNKS = 1_000_000
+
+#: White space of any kind that a tokenizer might know.
+_SPACE = r"\t-\r \x1c-\x1f\x85\xa0  -     　"
 _CUT = re.compile(rf"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
+_ENDS = re.compile(rf"\A[{_SPACE}]|[{_SPACE}]\Z|\A\Z")
+
+
+def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of a string array of about ``most`` bytes, or one longer text, and where each starts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        till = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield at, texts.slice(at, till - at)
+        at = till
 
 
 class ChunkEncoder:
-    """``encode`` gets a list of strings and returns their ids, each as little-endian unsigned 32-bit bytes."""
+    """``encode`` gets a list of strings and returns their ids, each as little-endian unsigned 32-bit bytes.
+
+    Known chunks are an Arrow array, and their ids lie one after the other in an array; a chunk is known by the text
+    after the space in front of it. A size of -1 marks a chunk with white space at one of its ends, where the cut was not
+    allowed: texts with such a chunk are cut anew with more care.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int = CACHE_CHUNKS):
         self.encode, self.size = encode, size
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}  # without the space in front, which the key leaves out
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each whole text."""
-        cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        if len(self.later) > self.size:
-            self.later.clear()
-        if len(self.first) > self.size:
-            self.first.clear()
-        first, later = self.first, self.later
-        new_first = list({p[0] for p in cut if p[0] not in first})
-        new_later = list({x for p in cut for x in p[1:] if x not in later})
-        made = self.encode([*new_first, *(" " + x for x in new_later)])
-        first.update(zip(new_first, made, strict=False))
-        later.update(zip(new_later, made[len(new_first) :], strict=True))
-        return [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) for p in cut]
+        self.words = pa.array([], pa.string())
+        self.ids, self.begins, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each whole text of an array of strings without nulls."""
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(texts.cast(pa.string()), " ")
+        flat, starts = cut.flatten(), cut.offsets.to_numpy().astype(np.int64)
+        coded = flat.dictionary_encode()
+        words, index = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        heads = flat.take(pa.array(starts[:-1])).dictionary_encode()
+        known = pc.index_in(words, value_set=self.words)
+        new = words.filter(known.is_null())
+        strings = new.to_pylist()
+        barred = np.array([bool(_ENDS.search(x)) for x in strings], bool)
+        first = heads.dictionary.to_pylist()
+        made = self.encode([*first, *(" " + x for x, bad in zip(strings, barred.tolist(), strict=True) if not bad)])
+
+        # The ids of the known chunks, the new ones and the texts' first ones, and where those of each chunk lie.
+        head_sizes = np.array([len(x) >> 2 for x in made[: len(first)]])
+        new_sizes = np.full(len(new), -1, np.int64)
+        new_sizes[~barred] = [len(x) >> 2 for x in made[len(first) :]]
+        self._keep(new, np.frombuffer(b"".join(made[len(first) :]), "<u4"), new_sizes)
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(made[: len(first)]), "<u4")])
+        at = pc.index_in(words, value_set=self.words).to_numpy()
+        begins = np.concatenate([self.begins[at], len(self.ids) + np.cumsum(head_sizes) - head_sizes])
+        sizes = np.concatenate([self.sizes[at], head_sizes])
+        index[starts[:-1]] = len(words) + heads.indices.to_numpy()
+        each = sizes[index]
+        careful = np.flatnonzero(np.minimum.reduceat(each, starts[:-1]) < 0).tolist()
+        each = np.maximum(each, 0)
+        ends = np.cumsum(each)
+        data = ids[np.repeat(begins[index] - ends + each, each) + np.arange(ends[-1])].tobytes()
+        till = (4 * ends[starts[1:] - 1]).tolist()
+        out = [data[a:b] for a, b in zip([0, *till], till, strict=False)]
+        for i in careful:
+            out[i] = self._carefully(texts[i].as_py())
+        if len(self.words) > self.size:
+            self._only(np.unique(at))
+        return out
+
+    def _keep(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        filled = np.maximum(sizes, 0)
+        self.words = pa.concat_arrays([self.words, words])
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(filled) - filled])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _only(self, at: np.ndarray) -> None:
+        """Forgets all chunks but those at these places."""
+        words, begins, sizes, ids = self.words.take(pa.array(at)), self.begins[at], self.sizes[at], self.ids
+        filled = np.maximum(sizes, 0)
+        ends = np.cumsum(filled)
+        kept = ids[np.repeat(begins - ends + filled, filled) + np.arange(ends[-1])] if len(ends) else ids[:0]
+        self.words, self.ids, self.begins, self.sizes = words, kept, ends - filled, sizes
+
+    def _carefully(self, text: str) -> bytes:
+        head, *rest = _CUT.split(text)
+        return b"".join(self.encode([head, *(" " + x for x in rest)]))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossaria.sources.staging import stage
+
+__all__ = ["ascii_lower", "bound_batches", "id_and_text", "stage", "table"]
+
 #: ASCII letters, for lower-casing that leaves all other characters alone.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_own_dir: dict[str, str] = {}
-
+#: Bytes of Arrow data that a Python worker gets at once; a longer text comes alone.
+ARROW_BYTES = 8 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
@@ -24,36 +25,14 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a session in one process, as in tests, gets a folder of its own when the setting is absent.
-    """
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir()
-    if isinstance(found, str):
-        return found.rstrip("/")
-    if found is not None and found.isDefined():
-        return found.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-    return _own_dir[app]
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` once as Parquet in the shared folder and reads it back.
-
-    Cuts the lineage, survives lost executors, and gives later joins a scan whose size Spark knows.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers Spark's bound on what a Python worker gets at once, so that long texts don't fill its memory."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(size).rstrip("bB")) > ARROW_BYTES:
+        spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` (null: empty) alone, so that other columns never clash."""
+    """``doc_id`` and ``text`` (null: empty) alone, so that other columns never clash, to be read in bounded batches."""
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -22,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glossaria.llm.chunks import ChunkEncoder
+from glossaria.llm.chunks import ChunkEncoder, slices
 from glossaria.llm.common import id_and_text, stage, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,8 +31,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of one length that a task ranks; a length that more pieces share is dealt out to several.
 RANKED_TOGETHER = 50_000
-#: ASCII marks that never join the letter or digit before them.
-_PUNCTUATION = ".,;:!?\"()[]{}<>|/\\*&%$#@+=~^`_-"
+#: Bytes of text that a worker holds the ids of, and chunks that the tokenizer gets at once.
+BATCH_BYTES, TOGETHER = 4 << 20, 1000
 
 
 class _Tokens:
@@ -44,39 +44,22 @@ class _Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        # Byte-level tokens are spelled with a character for each byte, so their lengths tell where a chunk's ids end.
+        self.sizes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size())])
         self.chunks = ChunkEncoder(self._chunks)
 
-    @staticmethod
-    def atoms(chunk: str) -> list[str]:
-        """Parts of an ASCII chunk that the splitting pattern never joins: lines, line ends, words and closing punctuation."""
-        if not chunk.isascii():
-            return [chunk]
-        lines = chunk.split("\n")
-        if not all(lines) or any(x[0].isspace() or x[-1].isspace() for x in lines[1:]) or lines[0][-1].isspace():
-            return [chunk]
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Chunks go to the tokenizer many at a time, as words that it must not join, and are told apart by their bytes."""
         out = []
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-            word = line.rstrip(_PUNCTUATION)
-            if word and word != line and word[-1].isalnum():
-                out += [word, line[len(word) :]]
-            else:
-                out.append(line)
+        for at in range(0, len(chunks), TOGETHER):
+            part = chunks[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([part], add_special_tokens=False, is_pretokenized=True)[0].ids, np.int64)
+            ends = np.cumsum([len(c.encode()) for c in part])
+            cuts = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right")).tolist()
+            data = ids.astype("<u4").tobytes()
+            out += [data[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
         return out
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        if len(self.known) > self.chunks.size:
-            self.known.clear()
-        split = [self.atoms(c) for c in chunks]
-        new = list({p for s in split for p in s if p not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
-
 
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> _Tokens:
@@ -95,27 +78,30 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _tokens(path or public_tokenizers.path(VOCABULARY))
-        end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, ids in enumerate(encoder.chunks(batch.column(1).to_pylist())):
-                whole = ids + end
-                n = len(whole) // 4
-                parts = -(-n // capacity)
-                at = 0
-                for k in range(parts):
-                    till = n - (parts - 1 - k) * capacity
-                    data = whole[4 * at : 4 * till]
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at)
-                    length.append(till - at)
-                    crc.append(zlib.crc32(data))
-                    if with_ids:
-                        kept.append(data)
-                    at = till
-            columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_ids, names=names)
+            for at, texts in slices(batch.column(1), BATCH_BYTES):
+                yield cut_up(batch.column(0), at, encoder.chunks(texts))
+
+    def cut_up(doc_ids: pa.Array, first: int, encoded: list[bytes]) -> pa.RecordBatch:
+        end, row, piece, start, length, crc, kept = END_ID.to_bytes(4, "little"), [], [], [], [], [], []
+        for i, ids in enumerate(encoded, first):
+            whole = ids + end
+            n = len(whole) // 4
+            parts = -(-n // capacity)
+            at = 0
+            for k in range(parts):
+                till = n - (parts - 1 - k) * capacity
+                data = whole[4 * at : 4 * till]
+                row.append(i)
+                piece.append(k)
+                start.append(at)
+                length.append(till - at)
+                crc.append(zlib.crc32(data))
+                if with_ids:
+                    kept.append(data)
+                at = till
+        columns = [doc_ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
+        return pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_ids, names=names)
 
     return slim.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaria.llm.common import UPPER, id_and_text, stage, table
+from glossaria.llm.common import UPPER, bound_batches, id_and_text, stage, table
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -168,6 +168,7 @@ def keep_good(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     The texts are counted twice, once for the model and once beside the row to be judged, as no key ties a
     document to its counts when ids are null or repeat.
     """
+    bound_batches(docs.sparkSession)
     counted = docs.select(counts(F.col("text")).alias("c")).select("c.*")
     posteriors = pattern_posteriors(counted)
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), counts(F.col("text")).alias("c")).select("doc", "c.*")
