@@ -20,11 +20,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaria.llm.chunks import CACHE_CHUNKS, ChunkEncoder
+from glossaria.llm.chunks import CACHE_CHUNKS, ChunkEncoder, slices
 from glossaria.llm.common import id_and_text, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +33,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_BYTES = 256
 #: Batches of fewer bytes are merged position by position.
 SMALL_BATCH = 100_000
+#: Bytes of text that a worker holds the ids of.
+BATCH_BYTES = 4 << 20
 
 
 class RankQueue:
@@ -140,33 +143,30 @@ class Bpe:
         after[ends - 1] = n
         before[ends - sizes] = n
         rank_at = np.append(self._rank(token[:n], token[after[:n]]), -1)
-        queue, buckets = RankQueue(self.size), {}
+        queue = RankQueue(self.size)
+        buckets: dict[int, list[int]] = {}
 
         def put(ranks: np.ndarray, places: np.ndarray) -> None:
-            order = np.lexsort((places, ranks))
-            ranks, places = ranks[order], places[order]
-            cuts = np.flatnonzero(np.diff(ranks)) + 1
-            for rank, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(places, cuts), strict=True):
+            for rank, place in zip(ranks.tolist(), places.tolist(), strict=True):
                 if rank in buckets:
-                    buckets[rank].append(part)
+                    buckets[rank].append(place)
                 else:
-                    buckets[rank] = [part]
+                    buckets[rank] = [place]
                     queue.add(rank)
 
         start = np.flatnonzero(rank_at >= 0)
         if len(start):
             put(rank_at[start], start)
         while (rank := queue.first()) >= 0:
-            parts = buckets[rank]
-            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
-            at = at[rank_at[at] == rank]  # the others are stale
+            at = np.array(buckets[rank])
+            at = np.unique(at[rank_at[at] == rank])  # the others are stale
             own = owner[at]
             leftmost = np.append(True, own[1:] != own[:-1]) if len(at) else np.zeros(0, bool)
             if leftmost.all():
                 del buckets[rank]
                 queue.remove(rank)
             else:
-                buckets[rank] = [at[~leftmost]]
+                buckets[rank] = at[~leftmost].tolist()
             at = at[leftmost]
             if not len(at):
                 continue
@@ -212,23 +212,20 @@ class Bpe:
 
 
 class BpeEncoder:
-    """Encodes batches of texts; keeps the ids of pre-tokens and chunks it has met, up to a bound."""
+    """Encodes batches of texts."""
 
     def __init__(self, bpe: Bpe, size: int = CACHE_CHUNKS):
-        self.bpe, self.size = bpe, size
-        self.known: dict[str, bytes] = {}
+        self.bpe = bpe
         self.chunks = ChunkEncoder(self._chunks, size)
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        if len(self.known) > self.size:
-            self.known.clear()
         split = [self.bpe.pattern.findall(c) for c in chunks]
-        new = list({p for s in split for p in s if p not in self.known})
-        self.known.update(zip(new, self.bpe.encode_pretokens([p.encode() for p in new]), strict=True))
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+        new = list({p for s in split for p in s})
+        known = dict(zip(new, self.bpe.encode_pretokens([p.encode() for p in new]), strict=True))
+        return [b"".join(map(known.__getitem__, s)) if len(s) != 1 else known[s[0]] for s in split]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.chunks(texts)
+        return self.chunks(pa.array(texts, pa.string()))
 
 
 @lru_cache(maxsize=2)
@@ -267,14 +264,29 @@ def decode(ids: Column, path: str | None = None) -> Column:
     return run(ids)
 
 
-def tokenize(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id``, ``ids`` and ``n_tokens`` of every document, one row each; a null or empty text has no ids. Other columns are not read."""
-    found = id_and_text(docs).select("doc_id", encode(F.col("text"), path).alias("ids"))
-    return found.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+def tokenize(docs: DataFrame, path: str | None = None, with_decoded: bool = False) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` of every document, one row each, and ``decoded``, the bytes its ids spell, if asked for.
+
+    A null or empty text has no ids. Other columns are not read. Both ways run in one pass, ``BATCH_BYTES`` at a time.
+    """
+    slim = id_and_text(docs)
+    names = ["doc_id", "n_tokens", "ids"] + ["decoded"] * with_decoded
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(path or public_tokenizers.path(VOCABULARY))
+        for batch in batches:
+            for at, texts in slices(batch.column(1), BATCH_BYTES):
+                ids = encoder.chunks(texts)
+                columns = [batch.column(0).slice(at, len(texts)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if with_decoded:
+                    columns.append(pa.array([encoder.bpe.decode(x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, n_tokens long, ids binary" + ", decoded binary" * with_decoded)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tokenize(table(spark, sf_dir, "documents")).withColumn("decoded", decode(F.col("ids")))
+    found = tokenize(table(spark, sf_dir, "documents"), with_decoded=True)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
