@@ -1,0 +1,73 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from glossaria.llm import quality_rules as q
+from tests.conftest import SMALL
+
+from .odd import CLASH, ROWS, documents
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    """The contract's counts, word by word."""
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    inside = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside)
+
+
+def test_counts(spark):
+    for text in [r[1] for r in ROWS] + ["a a a a", "x y z x y z", "\x1c \x85 \u00a0", "#*|<>&$% &"]:
+        assert q.count_text(text)[:5] == plain(text)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    expected = {r["doc_id"]: plain(r["text"]) for r in docs.collect()}
+    for r in q.op2_quality_rules(spark, SMALL).collect():
+        n, chars, symbols, same, repeated = expected[r["doc_id"]]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, same, repeated)
+        assert r["base_failed"] == (n < 50 or 100 * repeated > 50 * n) and not (r["kept"] and r["base_failed"])
+
+
+def test_labelled_documents(spark):
+    """Labels take no part in the fit; they tell how good it is."""
+    both = q.op2_quality_rules(spark, SMALL.replace("0.001", "0.01")).join(spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
+    assert ((both.quality == 1) == both.kept).mean() > 0.98
+
+
+def test_expectation_maximisation_finds_the_accuracies():
+    rng = np.random.default_rng(5)
+    good = rng.random(40_000) < 0.8
+    p_bad = np.array([[0.6, 0.3, 0.4, 0.5, 0.2], [0.02, 0.05, 0.01, 0.03, 0.02]])  # of bad and of good documents
+    votes = np.where(rng.random((40_000, 5)) < p_bad[good.astype(int)], -1, 1)
+    patterns, at, times = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    share, p = q.fit(patterns, times.astype(float))
+    assert abs(share - 0.8) < 0.05 and np.abs(p[:, :, 0] - p_bad).max() < 0.08
+    assert ((q.posterior(patterns, share, p)[at.ravel()] > 0.5) == good).mean() > 0.9
+
+
+def test_odd_rows(spark):
+    docs = documents(spark)
+    rows = q.quality(docs).collect()
+    assert len(rows) == len(ROWS)
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert len(by[2]) == 2 and len(by[None]) == 2 and by[3][0]["n_words"] == 0 and not by[3][0]["kept"] and by[6][0]["n_words"] == 20_000
+    kept = q.keep_good(docs)
+    assert kept.columns == docs.columns and all(r[c] == f"own {c}" for r in kept.collect() for c in CLASH)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in rows if r["kept"])
+
+
+def test_empty_table(spark):
+    none = documents(spark, [])
+    assert q.quality(none).count() == 0 and q.keep_good(none).count() == 0
+
+
+def test_fit_is_alike_at_every_size():
+    votes = np.array([[1, 1], [-1, 1], [-1, -1], [0, 0]])
+    a, b = (q.fit(votes, np.array([80, 9, 8, 3.0]) * k) for k in (1, 1_000_000))
+    assert abs(a[0] - b[0]) < 1e-6 and np.abs(a[1] - b[1]).max() < 1e-6
