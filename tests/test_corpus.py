@@ -110,8 +110,8 @@ def test_metadata_and_references(full):
 def test_bibliography(spark, full):
     rows = [(r["Dataset"], r["key"]) for r in full.bibliography.orderBy("Dataset", "pos").collect()]
     assert rows == [("alpha", "alpha_K1"), ("alpha", "alpha_K2"), ("epsilon", "epsilon_K1")]
-    text = spark.createDataFrame([("d", "@article{Bodt2019b,\n}\n@comment{a, b}"), ("d", " ")], "Dataset string, value string")
-    assert bibliography.rekey(text).first()["value"] == "@article{d_Bodt2019b,\n}\n@comment{a, b}"
+    text = spark.createDataFrame([("d", "@article{Key2019b,\n}\n@comment{a, b}"), ("d", " ")], "Dataset string, value string")
+    assert bibliography.rekey(text).first()["value"] == "@article{d_Key2019b,\n}\n@comment{a, b}"
     assert bibliography.entry_counts(text).first() == (2, 1)
     assert {tuple(r) for r in bibliography.unresolved(full.forms, full.bibliography).collect()} == {("epsilon", "epsilon_K9")}
 

@@ -9,13 +9,13 @@ def one(spark, value, f, kind="string"):
 
 
 def test_keys(spark):
-    d = F.lit("aaleykusunda")
-    assert one(spark, "KusundaGM", lambda c: fn.prefix_id(d, c)) == "aaleykusunda_KusundaGM"
-    assert one(spark, None, lambda c: fn.prefix_id(d, c)) == "aaleykusunda_"
-    assert one(spark, "Bodt2019b;Smith2020", lambda c: fn.prefix_keys(d, c)) == "aaleykusunda_Bodt2019b;aaleykusunda_Smith2020"
-    assert one(spark, " a ;\x1f;", lambda c: fn.prefix_keys(d, c)) == "aaleykusunda_a"
+    d = F.lit("onelect")
+    assert one(spark, "GramX", lambda c: fn.prefix_id(d, c)) == "onelect_GramX"
+    assert one(spark, None, lambda c: fn.prefix_id(d, c)) == "onelect_"
+    assert one(spark, "Key2019b;Other2020", lambda c: fn.prefix_keys(d, c)) == "onelect_Key2019b;onelect_Other2020"
+    assert one(spark, " a ;\x1f;", lambda c: fn.prefix_keys(d, c)) == "onelect_a"
     assert one(spark, " ; ", lambda c: fn.prefix_keys(d, c)) is None
-    assert one(spark, "a.b", lambda c: fn.prefix_keys(d, c, ".")) == "aaleykusunda_a.aaleykusunda_b"
+    assert one(spark, "a.b", lambda c: fn.prefix_keys(d, c, ".")) == "onelect_a.onelect_b"
 
 
 def test_booleans_and_numbers(spark):
