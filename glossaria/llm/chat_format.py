@@ -32,10 +32,9 @@ def rotate(dialogues: DataFrame, instructors: Sequence[str] = INSTRUCTORS, segme
     user and get no view of their own; nor do ``instructors``, whose messages keep their role. A segment has a view for each
     speaker in it, so a dialogue or segment of instructors alone gives no row. Null dialogue ids are one dialogue.
     """
-    # Copies of a message meet before anything is collected; a segment then holds its distinct messages only.
     messages = dialogues.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("segment", F.floor(F.col("turn") / segment_turns).cast("long"))
-    messages = messages.distinct()
-    together = messages.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
+    # A set: copies of a message fall together before the shuffle.
+    together = messages.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("said"))
     speakers = F.array_distinct(F.filter(F.transform("said", lambda m: m["role"]), lambda r: r.isNotNull() & ~r.isin(*instructors)))
     views = together.select("conv_id", "segment", "said", F.explode(F.array_sort(speakers)).alias("speaker"))
 
