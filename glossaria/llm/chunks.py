@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker keeps, about 40 bytes each; beyond, those of the latest texts stay.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 600_000
 
 #: White space of any kind that a tokenizer might know.
 _SPACE = r"\t-\r \x1c-\x1f\x85\xa0  -     　"
@@ -69,7 +69,8 @@ class ChunkEncoder:
         new_sizes[~barred] = [len(x) >> 2 for x in made[len(first) :]]
         self._keep(new, np.frombuffer(b"".join(made[len(first) :]), "<u4"), new_sizes)
         ids = np.concatenate([self.ids, np.frombuffer(b"".join(made[: len(first)]), "<u4")])
-        at = pc.index_in(words, value_set=self.words).to_numpy()
+        at = known.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = np.arange(len(self.words) - len(new), len(self.words))
         begins = np.concatenate([self.begins[at], len(self.ids) + np.cumsum(head_sizes) - head_sizes])
         sizes = np.concatenate([self.sizes[at], head_sizes])
         index[starts[:-1]] = len(words) + heads.indices.to_numpy()
@@ -84,6 +85,8 @@ class ChunkEncoder:
             out[i] = self._carefully(texts[i].as_py())
         if len(self.words) > self.size:
             self._only(np.unique(at))
+        del cut, flat, coded, words, known, ids, data
+        pa.default_memory_pool().release_unused()
         return out
 
     def _keep(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:

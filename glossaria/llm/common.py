@@ -14,7 +14,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of Arrow data that a Python worker gets at once; a longer text comes alone.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""

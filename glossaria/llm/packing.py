@@ -32,7 +32,7 @@ END_ID = 0
 #: Pieces of one length that a task ranks; a length that more pieces share is dealt out to several.
 RANKED_TOGETHER = 50_000
 #: Bytes of text that a worker holds the ids of, and chunks that the tokenizer gets at once.
-BATCH_BYTES, TOGETHER = 4 << 20, 1000
+BATCH_BYTES, TOGETHER = 2 << 20, 1000
 
 
 class _Tokens:
