@@ -1,0 +1,65 @@
+import random
+from collections import Counter
+
+import corpus_pipeline
+from glossaria.llm import similar as s
+
+from .odd import CLASH, documents
+
+
+def plain(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or {" ".join(words)}
+
+
+def groups(texts):
+    """The smallest place that links of similarity 0.8 reach, by comparing all pairs."""
+    sets, group = [plain(t) for t in texts], list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 5 * len(x & y) >= 4 * len(x | y) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"x{rng.random()}"
+    return " ".join(words)
+
+
+def corpus(seed):
+    """Near copies of several distances, a passage that all share, short and empty texts."""
+    rng = random.Random(seed)
+    passage, texts = [f"p{k}" for k in range(30)], ["", " \n", "one two", "One  two", "one two three"]
+    for _ in range(8):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((40, 120, 300)))] + passage
+        texts += [edited(rng, base, rng.randrange(len(base) // 20)) for _ in range(25)]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_groups_against_all_pairs(spark):
+    for seed in (1, 2):
+        texts = corpus(seed)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        want = groups(texts)
+        assert len(set(want)) < len(texts) - 20
+        assert dict(s.similar_groups(docs).collect()) == dict(enumerate(want))
+
+
+def test_stage_drops_copies_that_fingerprints_miss(spark):
+    """The stage's rule is similarity 0.8 of five-word shingles, not 4 of 64 bits."""
+    texts = corpus(3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == set(groups(texts))
+
+
+def test_odd_rows(spark):
+    docs = documents(spark)
+    kept = s.drop_similar(docs)
+    assert kept.columns == docs.columns and all(r[c] == f"own {c}" for r in kept.collect() for c in CLASH)
+    assert Counter(r["doc_id"] for r in kept.collect()) == {1: 1, 3: 1, 6: 1, 7: 1, 8: 1, 9: 1, None: 2}
+    assert s.drop_similar(documents(spark, [])).count() == 0
