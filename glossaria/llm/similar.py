@@ -14,10 +14,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossaria.llm.common import id_and_text, stage
+from glossaria.llm.common import ascii_lower, id_and_text, stage
 from glossaria.llm.components import connected_components
 from glossaria.llm.simhash import BROADCAST_IDS
 
@@ -26,11 +26,11 @@ SEED = 42
 #: Similarity from which texts are linked, as a fraction.
 OVER, UNDER = 4, 5
 #: Texts of the sample, texts of it from which a shingle is common, and common shingles that workers get (16 bytes each).
-SAMPLE, COMMON, MOST_COMMON = 50_000, 8, 200_000
+SAMPLE, COMMON, MOST_COMMON = 8_000, 8, 200_000
 
 
-def shingles(text: str | None, width: int = WIDTH) -> tuple[int, np.ndarray]:
-    """The hash of a text's words and the sorted hashes of its different shingles, all signed 64 bits.
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """The sorted hashes of a text's different shingles, signed 64 bits.
 
     A-Z are lower-cased, words end at ASCII white space. A text of fewer words, or of none, is one shingle.
     """
@@ -39,49 +39,58 @@ def shingles(text: str | None, width: int = WIDTH) -> tuple[int, np.ndarray]:
     ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist() if words else []
     spans = list(zip([0, *(e + 1 for e in ends[:-1])], ends[width - 1 :], strict=False)) or [(0, len(joined))]
     found = np.fromiter((of(joined[s:e], SEED) for s, e in spans), np.uint64, len(spans))
-    return int(np.uint64(of(joined, SEED)).view(np.int64)), np.unique(found.view(np.int64))
+    return np.unique(found.view(np.int64))
 
 
-def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles, sorted, and how many texts of the sample have them."""
-    share = max(1, docs.count() // SAMPLE)
+def _node(text: Column) -> Column:
+    """The hash of a text's lower-cased words."""
+    return F.xxhash64(F.trim(F.regexp_replace(ascii_lower(text), r"[ \t-\r]+", " ")))
 
+
+def _shingles(text: Column, width: int) -> Column:
     @F.pandas_udf("array<long>")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, width)[1] for t in texts], dtype=object)
+        return pd.Series([shingles(t, width) for t in texts], dtype=object)
+
+    return run(text)
 
+
+def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles, sorted, and how many texts of the sample have them."""
+    share = max(1, docs.count() // SAMPLE)
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("text").distinct()
-    counts = some.select(F.explode(run("text")).alias("s")).groupBy("s").count().where(F.col("count") >= COMMON)
+    counts = some.select(F.explode(_shingles(F.col("text"), width)).alias("s")).groupBy("s").count().where(F.col("count") >= COMMON)
     rows = counts.orderBy(F.desc("count"), "s").limit(MOST_COMMON).collect()
     rows.sort()
     return np.array([r["s"] for r in rows], np.int64), np.array([r["count"] for r in rows], np.int64)
 
 
 def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``node`` (the text), ``n`` different shingles, share of ``rare`` ones, ``prefix`` to meet under, ``all`` of them."""
+    """``doc_id``, ``node`` (the text), ``n`` different shingles, share of ``rare`` ones, ``prefix`` to meet under."""
     known, counts = _common(docs, width)
 
-    @F.pandas_udf("node long, n int, rare double, prefix array<long>, all array<long>")
+    @F.pandas_udf("n int, rare double, prefix array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
-            node, found = shingles(t, width)
+            found = shingles(t, width)
             n, rank = len(found), np.zeros(len(found), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 rank = np.where(known[at] == found, counts[at], 0)
             order = np.lexsort((found, rank))
-            out.append((node, n, float((rank == 0).mean()), found[order[: n - -(-n * OVER // UNDER) + 1]], found))
-        return pd.DataFrame(out, columns=["node", "n", "rare", "prefix", "all"])
+            out.append((n, float((rank == 0).mean()), found[order[: n - -(-n * OVER // UNDER) + 1]]))
+        return pd.DataFrame(out, columns=["n", "rare", "prefix"])
 
-    return docs.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")
+    return docs.select("doc_id", _node(F.col("text")).alias("node"), run("text").alias("r")).select("doc_id", "node", "r.*")
 
 
-def _verified(pairs: DataFrame, marked: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``, distinct) whose whole sets are similar enough."""
     ends = stage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
     ends = F.broadcast(ends) if ends.count() <= BROADCAST_IDS else ends
-    sets = stage(marked.join(ends, "node", "left_semi").groupBy("node").agg(F.first("all").alias("all")), "sets")
+    texts = docs.select(_node(F.col("text")).alias("node"), "text").join(ends, "node", "left_semi").dropDuplicates(["node"])
+    sets = stage(texts.select("node", _shingles(F.col("text"), width).alias("all")), "sets")
     left, right = sets.select(F.col("node").alias("a"), F.col("all").alias("x")), sets.select(F.col("node").alias("b"), F.col("all").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return pairs.join(left, "a").join(right, "b").where((OVER + UNDER) * both >= OVER * (F.size("x") + F.size("y"))).select("a", "b")
@@ -91,8 +100,8 @@ def _sizes_fit(n: str, m: str):
     return UNDER * F.least(n, m) >= OVER * F.greatest(n, m)
 
 
-def link_similar(marked: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of the texts in ``marked`` that have a link; the root is the group's smallest node."""
+def link_similar(marked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``node`` and ``root`` of the texts of ``docs``, of which ``marked`` is made, that have a link; the root is the group's smallest node."""
     texts = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"))
     per = Window.partitionBy("key")
     met = texts.select("node", "n", "rare", F.explode("prefix").alias("key")).select(
@@ -102,7 +111,7 @@ def link_similar(marked: DataFrame) -> DataFrame:
     met = stage(met.where("low <> high"), "met")
     stars = [met.where((F.col("node") != F.col(f"{p}.node")) & _sizes_fit("n", f"{p}.n")).select(F.least("node", f"{p}.node").alias("a"), F.greatest("node", f"{p}.node").alias("b")) for p in ("central", "any")]
     drawn = stage(stars[0].union(stars[1]).distinct(), "stars")
-    drawn = stage(_verified(drawn, marked), "drawn")
+    drawn = stage(_verified(drawn, docs, width), "drawn")
     parts = stage(connected_components(drawn), "parts").withColumnRenamed("root", "part")
 
     placed = met.select("key", "node", "n").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -112,7 +121,7 @@ def link_similar(marked: DataFrame) -> DataFrame:
     meet = (F.col("key") == F.col("key2")) & (F.col("part") != F.col("part2")) & (F.col("main2") | (F.col("node") < F.col("node2"))) & _sizes_fit("n", "n2")
     pairs = apart.where("not main").join(other, meet).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     pairs = stage(pairs.join(drawn, ["a", "b"], "left_anti"), "pairs")
-    return stage(connected_components(drawn.union(_verified(pairs, marked))), "groups")
+    return stage(connected_components(drawn.union(_verified(pairs, docs, width))), "groups")
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -122,9 +131,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     documents without any id is null. Rows that share an id are judged each by their text. An empty table gives an
     empty result; columns but ``doc_id`` and ``text`` are not read.
     """
-    marked = stage(_marked(id_and_text(docs), width), "shingles")
+    slim = id_and_text(docs)
+    marked = stage(_marked(slim, width), "shingles")
     first = stage(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "first")
-    groups = link_similar(marked)
+    groups = link_similar(marked, slim, width)
     smallest = groups.join(first, "node").groupBy("root").agg(F.min("first").alias("component_id"))
     linked = groups.join(smallest, "root").select("node", "component_id")
     all_of = stage(first.join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), "components")
