@@ -43,7 +43,6 @@ class _Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # Byte-level tokens are spelled with a character for each byte, so their lengths tell where a chunk's ids end.
         self.sizes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size())])
         self.chunks = ChunkEncoder(self._chunks)
