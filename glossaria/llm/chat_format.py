@@ -1,7 +1,7 @@
 """Chat formatting: one view of a dialogue for each of its speakers.
 
 In a speaker's view that speaker is the assistant, everyone else is a user with a name, and the mask covers what the
-assistant says. Built of DataFrame functions only: one shuffle by dialogue and segment, then array functions.
+assistant says. Built of DataFrame functions only: shuffles by dialogue and segment, then array functions.
 """
 
 from __future__ import annotations
@@ -29,14 +29,19 @@ def rotate(dialogues: DataFrame, instructors: Sequence[str] = INSTRUCTORS, segme
 
     Messages are ordered by turn, then role and text; a null turn comes first, in segment null, and a null text is
     empty. Rows that repeat in all four columns are one message. Messages without a role are rendered as a nameless
-    user and get no view of their own; nor do ``instructors``, whose messages keep their role. A segment has a view for each
-    speaker in it, so a dialogue or segment of instructors alone gives no row. Null dialogue ids are one dialogue.
+    user and get no view of their own; nor do ``instructors``, whose messages keep their role. A numbered segment has a view
+    for each speaker of the whole dialogue, also of those who are silent in it; segment null has one for each speaker in
+    it. A dialogue of instructors alone gives no row. Null dialogue ids are one dialogue.
     """
     messages = dialogues.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("segment", F.floor(F.col("turn") / segment_turns).cast("long"))
     # A set: copies of a message fall together before the shuffle.
     together = messages.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("said"))
     speakers = F.array_distinct(F.filter(F.transform("said", lambda m: m["role"]), lambda r: r.isNotNull() & ~r.isin(*instructors)))
-    views = together.select("conv_id", "segment", "said", F.explode(F.array_sort(speakers)).alias("speaker"))
+    taking_part = messages.where(F.col("role").isNotNull() & ~F.col("role").isin(*instructors)).select(F.col("conv_id").alias("__conv"), "role").distinct()
+    everyone = taking_part.groupBy("__conv").agg(F.collect_set("role").alias("everyone"))
+    joined = together.join(everyone, F.col("conv_id").eqNullSafe(F.col("__conv")))
+    whose = F.when(F.col("segment").isNull(), speakers).otherwise(F.col("everyone"))
+    views = joined.select("conv_id", "segment", "said", F.explode(F.array_sort(whose)).alias("speaker"))
 
     def head(m: Column) -> Column:
         other = F.when(m["role"].isin(*instructors), m["role"]).otherwise(F.concat(F.lit("user"), F.coalesce(F.concat(F.lit(" name="), m["role"]), F.lit(""))))

@@ -1,0 +1,13 @@
+from glossaria.llm import chat_format as c
+
+from .test_chat_format import plain, turns
+
+
+def test_who_is_silent_in_a_segment_still_gets_a_view_of_it(spark):
+    said = [("cy" if i < 100 and i % 3 == 0 else "ab"[i % 2], f"m{i}") for i in range(1500)]
+    views = c.rotate(turns(spark, [(7, i, r, t, "") for i, (r, t) in enumerate(said)])).orderBy("segment").collect()
+    for me in ("a", "b", "cy"):
+        own = [r for r in views if r["speaker"] == me]
+        assert [r["segment"] for r in own] == [0, 1, 2]
+        assert "".join(r["rendered"] for r in own) == plain(said, me)[0]
+    assert [len(r["mask"]) for r in views if r["speaker"] == "cy"] == [34, 0, 0]
