@@ -32,6 +32,8 @@ ROW = 64
 MOST_ROWS = 1 << 14
 #: Repeats shorter than this many samples are written out.
 LEAST_REPEAT, MOST_REPEAT = 12, 4096
+#: The farthest distance that the format's codes reach; 120 numbers stand for neighbours.
+MOST_DISTANCE = (1 << 20) - 120
 #: Bits that are looked up at once.
 _SPAN = 1 << 18
 #: Pixels that are jumped over at once in following a chain.
@@ -675,7 +677,7 @@ def _repeats(block: bytes) -> list[tuple[int, int, int]]:
         if n >= LEAST_REPEAT and at + n <= len(block):
             key = block[at : at + n]
             before = seen.get(key)
-            if before is None:
+            if before is None or at - before > MOST_DISTANCE:
                 seen[key] = at
             else:
                 found += [(at + k, min(MOST_REPEAT, n - k), at - before) for k in range(0, n, MOST_REPEAT)]
