@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossaria.llm.common import stage, table
@@ -23,6 +23,8 @@ SPARE_LEVELS, DEEPER = 4, 12
 KEY_BITS, ALL_BITS = 128, 256
 #: A directory up to this many entries (about 50 bytes each) is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ENTRIES = 100_000
+#: Equal rows that a task ranks.
+RANKED_TOGETHER = 50_000
 
 
 def _hash(doc_id: Column, text: Column) -> Column:
@@ -53,8 +55,13 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     chunks, ``overflow`` numbering them (else 0) and the shard being named by its hash, the rows' size and the number.
     A null text has no bytes, null ids are one key, an empty table gives an empty result; other columns are not read.
     """
+    return _assign(docs, limit)
+
+
+def _assign(docs: DataFrame, limit: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`assign_shards`; ``carry`` names the column that numbers the rows, to be handed on, or is empty."""
     text = F.coalesce("text", F.lit(""))
-    rows = stage(docs.select("doc_id", F.octet_length(text).cast("long").alias("bytes"), _hash(F.col("doc_id"), text).alias("digest")), "shard-rows")
+    rows = stage(docs.select("doc_id", F.octet_length(text).cast("long").alias("bytes"), _hash(F.col("doc_id"), text).alias("digest"), *carry), "shard-rows")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     low, high = 0, min(ALL_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + SPARE_LEVELS)
     pending, done = rows, []
@@ -65,12 +72,12 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
         known = directory.where("shard is not null")
         entries, oversized = directory.count(), directory.where("shard is null").count()
         held = pending.withColumn("cell", at).join(F.broadcast(directory) if entries <= BROADCAST_ENTRIES else directory, "cell", "left")
-        done.append(held.where("shard is not null").select("doc_id", "bytes", "shard", F.lit(0).cast("long").alias("overflow")))
+        done.append(held.where("shard is not null").select("doc_id", "bytes", "shard", F.lit(0).cast("long").alias("overflow"), *carry))
         if not oversized:
             break
-        pending = stage(held.where("shard is null").select("doc_id", "bytes", "digest"), "shard-pending")
+        pending = stage(held.where("shard is null").select("doc_id", "bytes", "digest", *carry), "shard-pending")
         if high == ALL_BITS:
-            done.append(_overflow(pending, limit))
+            done.append(_overflow_rows(pending, limit, *carry) if carry else _overflow(pending, limit))
             break
         low, high = high, min(ALL_BITS, high + DEEPER)
     out = done[0]
@@ -89,9 +96,25 @@ def _overflow(pending: DataFrame, limit: int) -> DataFrame:
     return chunks.withColumn("shard", shard).select("doc_id", "bytes", "shard", "overflow", F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("__copy")).drop("__copy")
 
 
+def _overflow_rows(pending: DataFrame, limit: int, row: str) -> DataFrame:
+    """The chunks of :func:`_overflow` for rows numbered by ``row``: ranked in groups of bounded size, however many are equal."""
+    groups = max(1, -(-pending.count() // RANKED_TOGETHER))
+    key = ["digest", "bytes"]
+    dealt = pending.withColumn("__group", F.pmod(F.xxhash64(row), F.lit(groups)))
+    sizes = dealt.groupBy(*key, "__group").agg(F.count(F.lit(1)).alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.partitionBy(*key).orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rank = F.row_number().over(Window.partitionBy(*key, "__group").orderBy(row)) - 1 + F.col("__before")
+    ranked = dealt.join(sizes.withColumn("__before", before).drop("__size"), [*key, "__group"]).withColumn("__rank", rank)
+    each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1)))).cast("long")
+    numbered = ranked.withColumn("overflow", (F.floor(F.col("__rank") / each) + 1).cast("long"))
+    shard = F.concat_ws("-", "digest", F.col("bytes").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("overflow").cast("string"))
+    return numbered.select("doc_id", "bytes", shard.alias("shard"), "overflow", row)
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:
-    """Writes ``docs`` as Parquet with a folder per shard. Ids must not repeat; ``shard`` in the input is replaced."""
-    placed = docs.drop("shard").join(assign_shards(docs, limit).select(F.col("doc_id").alias("__id"), "shard"), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    """Writes ``docs`` as Parquet with a folder per shard, each row once; ids may repeat or be null. ``shard`` in the input is replaced."""
+    held = stage(docs.drop("shard").withColumn("__row", F.monotonically_increasing_id()), "shard-input")
+    placed = held.join(_assign(held, limit, ("__row",)).select("__row", "shard"), "__row").drop("__row")
     placed.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
