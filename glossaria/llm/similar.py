@@ -2,7 +2,8 @@
 
 Two sets of similarity 0.8 or more share a member among the first fifth (and one) of each, in any order that is the
 same for all. So texts meet under those members only, and every pair that meets is judged on whole sets: no pair is
-missed, none is made up (shingles and whole texts are known by 64-bit hashes). In the order used, shingles that a
+missed, none is made up (shingles and whole texts are known by 64-bit hashes). Before whole sets are fetched, sketches
+of 512 parities are compared: they differ in no more bits than the sets in members, so only pairs too far apart go. In the order used, shingles that a
 sample shows to be common come last; the sample shapes the work and not the result.
 
 Copies fall together first. Then all texts of a key are compared with two of them, which draws large groups together;
@@ -25,6 +26,8 @@ WIDTH = 5
 SEED = 42
 #: Similarity from which texts are linked, as a fraction.
 OVER, UNDER = 4, 5
+#: Longs of a sketch.
+SKETCH = 8
 #: Texts of the sample, texts of it from which a shingle is common, and common shingles that workers get (16 bytes each).
 SAMPLE, COMMON, MOST_COMMON = 8_000, 8, 200_000
 
@@ -66,10 +69,10 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``node`` (the text), ``n`` different shingles, share of ``rare`` ones, ``prefix`` to meet under."""
+    """``doc_id``, ``node`` (the text), ``n`` different shingles, share of ``rare`` ones, ``prefix`` to meet under, ``sketch``."""
     known, counts = _common(docs, width)
 
-    @F.pandas_udf("n int, rare double, prefix array<long>")
+    @F.pandas_udf("n int, rare double, prefix array<long>, sketch array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
@@ -79,12 +82,21 @@ def _marked(docs: DataFrame, width: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 rank = np.where(known[at] == found, counts[at], 0)
             order = np.lexsort((found, rank))
-            out.append((n, float((rank == 0).mean()), found[order[: n - -(-n * OVER // UNDER) + 1]]))
-        return pd.DataFrame(out, columns=["n", "rare", "prefix"])
+            odd = np.packbits((np.bincount(found & 64 * SKETCH - 1, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+            out.append((n, float((rank == 0).mean()), found[order[: n - -(-n * OVER // UNDER) + 1]], odd))
+        return pd.DataFrame(out, columns=["n", "rare", "prefix", "sketch"])
 
     return docs.select("doc_id", _node(F.col("text")).alias("node"), run("text").alias("r")).select("doc_id", "node", "r.*")
 
 
+def _near(pairs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``pairs`` without those whose sketches show that the sets differ in too many members."""
+    drawn = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    left, right = (drawn.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    differ = sum((F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(SKETCH)), F.lit(0))
+    return pairs.join(left, "a").join(right, "b").where((OVER + UNDER) * differ <= (UNDER - OVER) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``, distinct) whose whole sets are similar enough."""
     ends = stage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
@@ -110,7 +122,7 @@ def link_similar(marked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     )
     met = stage(met.where("low <> high"), "met")
     stars = [met.where((F.col("node") != F.col(f"{p}.node")) & _sizes_fit("n", f"{p}.n")).select(F.least("node", f"{p}.node").alias("a"), F.greatest("node", f"{p}.node").alias("b")) for p in ("central", "any")]
-    drawn = stage(stars[0].union(stars[1]).distinct(), "stars")
+    drawn = stage(_near(stars[0].union(stars[1]).distinct(), marked), "stars")
     drawn = stage(_verified(drawn, docs, width), "drawn")
     parts = stage(connected_components(drawn), "parts").withColumnRenamed("root", "part")
 
@@ -120,7 +132,7 @@ def link_similar(marked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     other = apart.select(F.col("key").alias("key2"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("part").alias("part2"), F.col("main").alias("main2"))
     meet = (F.col("key") == F.col("key2")) & (F.col("part") != F.col("part2")) & (F.col("main2") | (F.col("node") < F.col("node2"))) & _sizes_fit("n", "n2")
     pairs = apart.where("not main").join(other, meet).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    pairs = stage(pairs.join(drawn, ["a", "b"], "left_anti"), "pairs")
+    pairs = stage(_near(pairs, marked), "pairs")
     return stage(connected_components(drawn.union(_verified(pairs, docs, width))), "groups")
 
 
