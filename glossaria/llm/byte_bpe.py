@@ -218,7 +218,7 @@ class BpeEncoder:
         self.bpe = bpe
         self.chunks = ChunkEncoder(self._chunks, size)
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
+    def _chunks(self, chunks: list[str], _heads: int = 0) -> list[bytes]:
         split = [self.bpe.pattern.findall(c) for c in chunks]
         new = list({p for s in split for p in s})
         known = dict(zip(new, self.bpe.encode_pretokens([p.encode() for p in new]), strict=True))

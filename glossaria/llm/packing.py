@@ -47,12 +47,13 @@ class _Tokens:
         self.sizes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size())])
         self.chunks = ChunkEncoder(self._chunks)
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Chunks go to the tokenizer many at a time, as words that it must not join, and are told apart by their bytes."""
-        out = []
-        for at in range(0, len(chunks), TOGETHER):
+    def _chunks(self, chunks: list[str], heads: int) -> list[bytes]:
+        """Texts' first chunks go to the tokenizer each alone, the others in rows, as in a text, and are told apart by their bytes."""
+        alone = self.tokenizer.encode_batch_fast(chunks[:heads], add_special_tokens=False)
+        out = [np.array(x.ids, "<u4").tobytes() for x in alone]
+        for at in range(heads, len(chunks), TOGETHER):
             part = chunks[at : at + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([part], add_special_tokens=False, is_pretokenized=True)[0].ids, np.int64)
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.cumsum([len(c.encode()) for c in part])
             cuts = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right")).tolist()
             data = ids.astype("<u4").tobytes()
