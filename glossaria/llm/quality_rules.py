@@ -135,10 +135,10 @@ def _pattern(c) -> Column:
     return F.concat_ws(",", *(v.cast("string") for v in rules(c).values()))
 
 
-def pattern_posteriors(counted: DataFrame) -> DataFrame:
-    """``pattern`` and ``posterior`` of every pattern of votes in ``counted``, a table with the columns ``COUNTS``."""
-    spark = counted.sparkSession
-    seen = counted.groupBy(_pattern(F.col).alias("pattern")).count().orderBy("pattern").collect()  # at most 3 ** len(RULES) rows
+def pattern_posteriors(patterned: DataFrame) -> DataFrame:
+    """``pattern`` and ``posterior`` of every pattern of votes in the column ``pattern`` of a table, a row per document."""
+    spark = patterned.sparkSession
+    seen = patterned.groupBy("pattern").count().orderBy("pattern").collect()  # at most 3 ** len(RULES) rows
     if not seen:
         return spark.createDataFrame([], "pattern string, posterior double")
     votes = np.array([[int(v) for v in r["pattern"].split(",")] for r in seen])
@@ -159,20 +159,21 @@ def quality(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     An empty table gives an empty result. Every text is read whole, once.
     """
     counted = stage(id_and_text(docs).select("doc_id", counts(F.col("text")).alias("c")).select("doc_id", "c.*"), "quality-counts")
-    return judge(counted, pattern_posteriors(counted), keep_at)
+    return judge(counted, pattern_posteriors(counted.select(_pattern(F.col).alias("pattern"))), keep_at)
 
 
 def keep_good(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """The documents that :func:`quality` keeps, with all their columns and without a shuffle of texts.
 
-    The texts are counted twice, once for the model and once beside the row to be judged, as no key ties a
-    document to its counts when ids are null or repeat.
+    Every text is counted once: the rows are written beside their votes, as no key ties a document to its counts when
+    ids are null or repeat. Rows that fail at once count for the model but are not written.
     """
     bound_batches(docs.sparkSession)
-    counted = docs.select(counts(F.col("text")).alias("c")).select("c.*")
-    posteriors = pattern_posteriors(counted)
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), counts(F.col("text")).alias("c")).select("doc", "c.*")
-    return judge(whole, posteriors, keep_at).where("kept").select("doc.*")
+    counted = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), counts(F.col("text")).alias("c")).select("doc", "c.*")
+    voted = counted.select("doc", _pattern(F.col).alias("pattern"), base_failed(F.col).alias("failed"))
+    held = stage(voted.select(F.when(~F.col("failed"), F.col("doc")).alias("doc"), "pattern", "failed"), "quality-votes")
+    posteriors = pattern_posteriors(held)
+    return held.where("not failed").join(F.broadcast(posteriors), "pattern").where(F.col("posterior") >= keep_at).select("doc.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
