@@ -1,3 +1,6 @@
+import hashlib
+import random
+
 from glossaria.llm import chat_format as c
 
 
@@ -16,29 +19,68 @@ def plain(messages, me):
     return out, mask
 
 
+def in_order(rows):
+    """Messages of one dialogue, (turn, role, text), once each."""
+    key = lambda m: (m[0] is not None, m[0] or 0, hashlib.md5(f"{m[1] or ''}:{m[2]}".encode()).hexdigest(), m[1] is not None, m[1])
+    return [(r, t) for _, r, t in sorted(set(rows), key=key)]
+
+
+def assert_views(views, rows):
+    """``views`` are those of the dialogue of ``rows``, one for each speaker, whole and in parts of bounded size."""
+    said = in_order(rows)
+    by = {}
+    for v in sorted(views, key=lambda v: v["part"]):
+        by.setdefault(v["speaker"], []).append(v)
+    assert set(by) == {r for r, _ in said if r and r != "system"}
+    for speaker, parts in by.items():
+        text, mask = plain(said, speaker)
+        assert [v["part"] for v in parts] == list(range(len(parts)))
+        assert "".join(v["rendered"] for v in parts) == text
+        assert [(m["start"], m["end"]) for v in parts for m in v["mask"]] == mask
+        assert sum(v["n_messages"] for v in parts) == len(said)
+        assert all(text[v["start"] :].startswith(v["rendered"]) for v in parts)
+        messages = [m for v in parts for m in v["messages"]]
+        assert [m["number"] for m in messages] == list(range(len(said)))
+        assert all(text[m["start"] :].startswith(m["rendered"]) for m in messages)
+        assert [(m["mask_start"], m["mask_end"]) for m in messages if m["mask_start"] is not None] == mask
+    return by
+
+
 def test_every_speaker_gets_a_view(spark):
     said = [("system", "be kind"), ("ann", "hi 🙂"), ("bob", "hello\nthere"), ("cy", ""), ("ann", "bye")]
     rows = c.rotate(turns(spark, [(1, i, r, t, "own") for i, (r, t) in reversed(list(enumerate(said)))])).collect()
-    assert sorted(r["speaker"] for r in rows) == ["ann", "bob", "cy"]
-    for r in rows:
-        text, mask = plain(said, r["speaker"])
-        assert r["rendered"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask and r["n_messages"] == 5
+    assert len(assert_views(rows, [(i, r, t) for i, (r, t) in enumerate(said)])) == 3
 
 
 def test_odd_rows(spark):
     rows = [(1, 0, "a", "x", "")] * 3 + [(1, 0, "b", "x", ""), (1, None, "a", None, ""), (None, 1, None, "who", ""), (None, 1, "a", "me", ""), (2, 0, "system", "alone", ""), (3, 5, None, "nobody", "")]
-    found = {(r["conv_id"], r["segment"], r["speaker"]): r for r in c.rotate(turns(spark, rows)).collect()}
-    assert set(found) == {(1, 0, "a"), (1, 0, "b"), (1, None, "a"), (None, 0, "a")}
-    assert found[(1, 0, "a")]["n_messages"] == 2  # repeated rows are one message
-    assert found[(1, None, "a")]["rendered"] == "<|im_start|>assistant\n<|im_end|>\n"
-    assert found[(None, 0, "a")]["rendered"] == plain([(None, "who"), ("a", "me")], "a")[0]
-
-
-def test_long_dialogues_come_in_segments_that_lose_nothing(spark):
-    n = 1500
-    rows = c.rotate(turns(spark, [(7, i, "ab"[i % 2], f"m{i}", "") for i in range(n)])).where("speaker = 'a'").orderBy("segment").collect()
-    assert [r["n_messages"] for r in rows] == [512, 512, 476]
-    assert "".join(r["rendered"] for r in rows) == plain([("ab"[i % 2], f"m{i}") for i in range(n)], "a")[0]
+    for crowd in (c.CROWD, 1):  # short ones, and the same dialogues dealt out as long ones
+        views = c.rotate(turns(spark, rows), crowd=crowd).collect()
+        assert {v["conv_id"] for v in views} == {1, None}
+        for conv in (1, None):
+            assert_views([v for v in views if v["conv_id"] == conv], [(t, r, x or "") for k, t, r, x, _ in rows if k == conv])
+
+
+def test_whole_long_dialogues_for_every_speaker(spark):
+    """1,500 turns, with a speaker of one turn, beside a short dialogue."""
+    rows = [(i, "once" if i == 3 else "ab"[i % 2], f"m{i}") for i in range(1500)]
+    views = c.rotate(turns(spark, [(7, *r, "") for r in rows] + [(8, 0, "a", "x", "")])).collect()
+    by = assert_views([v for v in views if v["conv_id"] == 7], rows)
+    assert len(by["once"]) == len(by["a"]) > 1 and max(v["n_messages"] for v in views) <= c.PART_TURNS
+    assert_views([v for v in views if v["conv_id"] == 8], [(0, "a", "x")])
+
+
+def test_null_and_equal_turns_are_dealt_out(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice((None, 5, 5, 300)), rng.choice(("a", "b", None)), f"m{i}") for i in range(600)] + [(5, "a", "same")] * 300
+    views = c.rotate(turns(spark, [(1, *r, "") for r in rows]), part_turns=10, crowd=20).collect()
+    assert_views(views, rows)
+    assert max(v["n_messages"] for v in views) <= 40
+
+
+def test_very_long_text(spark):
+    rows = [(0, "a", "long " * 300_000), (1, "b", "short")]
+    assert_views(c.rotate(turns(spark, [(1, *r, "") for r in rows])).collect(), rows)
 
 
 def test_empty(spark):
