@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossaria.sources.staging import stage
 
-__all__ = ["ascii_lower", "bound_batches", "id_and_text", "stage", "table"]
+__all__ = ["ascii_lower", "bound_batches", "id_and_text", "shuffle_partitions", "stage", "table"]
 
 #: ASCII letters, for lower-casing that leaves all other characters alone.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,3 +37,8 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty) alone, so that other columns never clash, to be read in bounded batches."""
     bound_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions to ask for where a small table is opened into a large one and must not stay in a few tasks."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
