@@ -13,7 +13,7 @@ from glossaria.llm.common import stage, table
 from glossaria.llm.line_dedup import remove_boilerplate
 from glossaria.llm.packing import pack_documents
 from glossaria.llm.quality_rules import keep_good
-from glossaria.llm.similar import drop_similar
+from glossaria.llm.simhash_texts import drop_similar_texts
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays, the one with the smallest id."""
-    return drop_similar(docs)
+    return drop_similar_texts(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
