@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,7 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -32,3 +35,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(spark: SparkSession) -> list[str]:
+    """The folders that this session has made and not deleted, in the order they were made."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders of :func:`stage`, for whoever made a result of them and has it written: a DataFrame that reads one fails afterwards."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    made = _made.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(hadoop).delete(at, True)
+        if path in made:
+            made.remove(path)
