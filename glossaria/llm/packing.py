@@ -3,9 +3,10 @@
 Which pieces share a sequence depends on their lengths alone, and there are at most ``CAPACITY`` lengths. So the
 corpus is counted by length, the plan is made on the counts, and each piece finds its place by its length and its
 rank among the pieces of that length. The plan works through the lengths from the longest: the gap that a piece leaves
-is looked up among the single lengths, the sums of pairs and the sums of triples still available; a combination that
-fills it exactly is used as often as its lengths last. Where no combination does, the longest piece that fits goes in
-and the rest of the gap is looked up again.
+is looked up by hash among the single lengths and in an index of the sums of pairs and triples still available; a
+combination that fills it exactly is used as often as its lengths last. The index holds the best combination of each sum
+asked for and is mended when its lengths run out. Where no combination does, the longest piece that fits goes in and the
+rest of the gap is looked up again.
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossaria.llm.chunks import ChunkEncoder, slices
-from glossaria.llm.common import id_and_text, stage, table
+from glossaria.llm.common import bound_batches, id_and_text, stage, table
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 2048
 #: The id that closes each document.
 END_ID = 0
 #: Pieces of one length that a task ranks; a length that more pieces share is dealt out to several.
-RANKED_TOGETHER = 50_000
+RANKED_TOGETHER = 1_000
 #: Bytes of text that a worker holds the ids of, and chunks that the tokenizer gets at once.
 BATCH_BYTES, TOGETHER = 2 << 20, 1000
 
@@ -114,6 +115,10 @@ class Plan:
         self.left = np.zeros(capacity + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
+        self.counts = self.left.copy()  # as ``left``, but for the lengths that a pattern in the making holds
+        #: The index: the longer length of a pair by its sum, the longest of a triple by its sum.
+        self.pairs: dict[int, int] = {}
+        self.triples: dict[int, int] = {}
         self.patterns: list[tuple[list[int], int]] = []
         while len(found := np.flatnonzero(self.left)):
             self._use(self._pattern(int(found[-1])))
@@ -123,6 +128,7 @@ class Plan:
         times = min(int(self.left[x]) // n for x, n in need.items())
         for x, n in need.items():
             self.left[x] -= n * times
+        self.counts = self.left.copy()
         self.patterns.append((pattern, times))
 
     def _pattern(self, longest: int) -> list[int]:
@@ -146,26 +152,59 @@ class Plan:
         """The single length, pair or triple that fills ``gap``, of the longest lengths that do; empty if none does."""
         if self.left[gap]:
             return [gap]
-        if two := self._pair(gap, gap):
-            return two
-        lengths = np.flatnonzero(self.left[:gap])[::-1]
-        for a in lengths[lengths * 3 >= gap].tolist():
-            self.left[a] -= 1
-            two = self._pair(gap - a, a)
-            self.left[a] += 1
-            if two:
-                return [a, *two]
-        return []
+        return self._pair(gap, gap) or self._triple(gap)
 
     def _pair(self, total: int, most: int) -> list[int]:
         """Two lengths, none over ``most``, of the sum ``total``."""
+        high = self._indexed_pair(total)
+        if not high:
+            return []
+        if high > most or not self._two(self.left, high, total - high):  # too long here, or used by the pattern itself
+            high = self._search_pair(self.left, total, min(most, high))
+        return [high, total - high] if high else []
+
+    def _indexed_pair(self, total: int) -> int:
+        """The longer length of the pair of this sum that the index holds; 0 for none. Counts only fall, so what is gone is never looked for again."""
+        high = self.pairs.get(total, total - 1)
+        if high and not self._two(self.counts, high, total - high):
+            high = self._search_pair(self.counts, total, high)
+        self.pairs[total] = high
+        return high
+
+    @staticmethod
+    def _two(counts: np.ndarray, high: int, low: int) -> bool:
+        return low > 0 and counts[low] > 0 and counts[high] > (high == low)
+
+    @staticmethod
+    def _search_pair(counts: np.ndarray, total: int, most: int) -> int:
         high = np.arange(min(most, total - 1), (total - 1) // 2, -1)
         if not len(high):
-            return []
+            return 0
         low = total - high
-        ok = (self.left[high] > 0) & (self.left[low] > 0) & ((high != low) | (self.left[high] > 1))
+        ok = (counts[high] > 0) & (counts[low] > 0) & ((high != low) | (counts[high] > 1))
         at = int(ok.argmax())
-        return [int(high[at]), int(low[at])] if ok[at] else []
+        return int(high[at]) if ok[at] else 0
+
+    def _triple(self, total: int) -> list[int]:
+        """Three lengths of the sum ``total``; the index holds the longest of the first triple that is left."""
+        first = self.triples.get(total, total - 2)
+        lengths = np.flatnonzero(self.counts[: max(first, 0) + 1])[::-1]
+        gone = True
+        for a in lengths[lengths * 3 >= total].tolist():
+            rest = self._indexed_pair(total - a)
+            if not rest or rest > a and not self._search_pair(self.counts, total - a, a):
+                continue
+            if gone:
+                self.triples[total], gone = a, False
+            if self.left[a]:
+                self.left[a] -= 1
+                two = self._pair(total - a, a)
+                self.left[a] += 1
+                if two:
+                    return [a, *two]
+        if gone:
+            self.triples[total] = 0
+        return []
 
     def slots(self) -> list[tuple[int, int, int, int, int]]:
         """``length``, first rank, rank after the last, first sequence, place in the sequence: where the pieces of a length go."""
@@ -208,6 +247,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None =
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return pack_documents(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

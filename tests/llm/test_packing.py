@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -75,12 +76,33 @@ def test_exact_complements():
     plan = p.Plan({})
     plan.left = np.zeros(2049, np.int64)
     plan.left[[48, 1000, 700, 300, 348]] = 1
+    plan.counts = plan.left.copy()
     assert plan.exact(48) == [48] and plan.exact(1300) == [1000, 300] and plan.exact(1348) in ([1000, 348], [700, 348, 300]) and plan.exact(1096) == [700, 348, 48] and plan.exact(1097) == [] and plan.exact(2000) == [1000, 700, 300]
     assert plan.exact(96) == []  # one piece of 48 can't be used twice
     best = p.Plan({1000: 10, 600: 10, 448: 10})
     assert best.patterns == [([1000, 600, 448], 10)]
 
 
+def test_index_finds_what_a_search_finds():
+    """While lengths run out, the index has a combination for a gap whenever there is one, and never one that isn't left."""
+    rng = random.Random(8)
+    for _ in range(20):
+        capacity = 60
+        plan = p.Plan({}, capacity)
+        plan.left = np.array([0] + [rng.choice((0, 0, 1, 2)) for _ in range(capacity)], np.int64)
+        plan.counts = plan.left.copy()
+        while plan.left.any():
+            gap = rng.randint(1, capacity)
+            have = Counter({x: int(n) for x, n in enumerate(plan.left) if n})
+            lengths = [x for x, n in have.items() for _ in range(min(n, 3))]
+            there = any(sum(c) == gap for k in (1, 2, 3) for c in itertools.combinations(lengths, k))
+            found = plan.exact(gap)
+            assert bool(found) == there and (not found or sum(found) == gap and not Counter(found) - have)
+            for x in found or [rng.choice(lengths)]:
+                plan.left[x] -= 1
+            plan.counts = plan.left.copy()
+
+
 def test_a_length_that_most_pieces_share(spark):
     """Ranks are dealt out in groups; places stay whole."""
     before, p.RANKED_TOGETHER = p.RANKED_TOGETHER, 50
