@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from glossaria.llm.common import ascii_lower, stage, table
 
 #: URLs that a block of 512 bits takes before the filter grows by another block.
-KEYS_PER_BLOCK = 32
+KEYS_PER_BLOCK = 64
 #: Bound of the broadcast filter, in bytes of blocks.
 FILTER_BYTES = 16 << 20
 WORDS = 8
@@ -32,8 +32,8 @@ RULES = (
     ("com", "/de/", "block"),
 )
 
-#: Host labels whose pages make the list of the production query.
-LISTED_HOSTS = r"(^|[.-])(ads?|track|casino|win|bet|adult)([.-]|$)"
+#: First hex digits of the MD5 of the contents that are on the list of the production query.
+LISTED_CONTENTS = ("0", "1")
 
 
 def host_of(url: Column) -> Column:
@@ -78,7 +78,7 @@ def _block(canon: Column, blocks: int) -> Column:
 
 
 def _mask(canon: Column, word: int) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(F.xxhash64(canon, F.lit(word // WORDS)), 6 * word).bitwiseAND(F.lit(63))).cast("int"))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(F.xxhash64(canon, F.lit(1)), 6 * word).bitwiseAND(F.lit(63))).cast("int"))
 
 
 def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
@@ -120,13 +120,20 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
 
 
 def listed_pages(pages: DataFrame) -> DataFrame:
-    """The production list: canonical URLs of the pages on advertising, tracking and betting hosts."""
-    url = F.col("url")
-    return pages.where(host_of(url).rlike(LISTED_HOSTS)).select(canonical_url(url).alias("canon"))
+    """The production list, as it might be handed in from elsewhere: URLs of reported contents, one in eight of all, each under another spelling.
+
+    Hosts are mixed, so only the URL itself tells whether a page is listed.
+    """
+    url, report = F.col("url"), F.substring(F.md5("html"), 1, 1)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    spelled = F.concat(F.lit("HTTPS://WWW."), F.upper(host_of(url)), F.lit(":443"), path_of(url), query, F.when(query != "", "&").otherwise("?"), F.lit("utm_source=report#seen"))
+    bare = F.regexp_replace(spelled, r"^(HTTPS://WWW\.)(?i:www\.|m\.)", "$1")
+    bare = F.regexp_replace(bare, r":(80|443):443", ":443")
+    return pages.where(report.isin(*LISTED_CONTENTS) & (F.instr(url, "://") > 0)).select(canonical_url(bare).alias("canon"))
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return filter_urls(pages, listed_pages(pages)).select("page_id", "host", "path", "rule", "verdict", "canon")
 
 
@@ -135,16 +142,16 @@ WITH parts AS (
   SELECT page_id, url,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
-    coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query
+    coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query, md5(html)[1] AS content
   FROM pages),
 canonical AS (
-  SELECT page_id, host, path,
+  SELECT page_id, host, path, content,
     list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(ref|utm_[^=]*)(=|$)'))) AS kept,
     CASE WHEN contains(url, '://') THEN concat(regexp_replace(host, '^(www|m)\.|:(80|443)$', '', 'g'), regexp_replace(path, '/+$', ''),
       CASE WHEN len(kept) > 0 THEN concat('?', array_to_string(kept, '&')) ELSE '' END) END AS canon
   FROM parts),
 listed AS (
-  SELECT DISTINCT canon FROM canonical WHERE canon IS NOT NULL AND regexp_matches(host, '(^|[.-])(ads?|track|casino|win|bet|adult)([.-]|$)')),
+  SELECT DISTINCT canon FROM canonical WHERE canon IS NOT NULL AND content IN ('0', '1')),
 rules(r_host, r_path, said) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 fits AS (

@@ -1,6 +1,9 @@
 import re
 
+from pyspark.sql import functions as F
+
 from glossaria.llm import url_filter as u
+from tests.conftest import SMALL
 
 URLS = [
     "http://WWW.Example.org/es/1", "https://a.example.org/en/12?utm_source=x", "https://b.com/fr/9", "https://b.com/de/9#t", "https://b.com", "https://b.com?x=1", "https://b.com/x/?b=2&a=1&ref=q", "http://m.b.com/x?a=1&b=2&utm_medium=z",
@@ -44,6 +47,29 @@ def test_filter_never_misses_and_join_removes_false_hits(spark):
     assert roomy.where("possible").count() < 230 and roomy.where("verdict = 'block'").count() == 200
 
 
+def test_production_list_needs_the_urls_themselves(spark):
+    """Listed and other pages share their hosts, the filter lets some of the others through, and the join holds them back."""
+    pages = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/pages.parquet").select("page_id", "url", "html")
+    judged = u.filter_urls(pages, u.listed_pages(pages)).where("rule is null").toPandas()
+    listed = {r["canon"] for r in u.listed_pages(pages).collect()}
+    assert (judged["verdict"] == "block").tolist() == [c in listed for c in judged["canon"]]
+    hosts = judged.groupby("host")["verdict"].nunique()
+    assert (hosts == 2).sum() > 0 and (judged["possible"] & (judged["verdict"] == "allow")).sum() > 0
+    spelled = spark.createDataFrame([("http://m.B.com:80/x?b=2&a=1#f", "k"), ("http://b.com/#a?b", "k"), ("https://www.b.com:8080", "k")], "url string, html string")
+    made = spelled.select(F.explode(F.array(*(F.lit(str(k)) for k in range(300)))).alias("html"), "url")
+    assert {r["canon"] for r in u.listed_pages(made).collect()} == {r["c"] for r in spelled.select(u.canonical_url(F.col("url")).alias("c")).collect()}
+
+
+def test_very_long_url_and_clashing_columns(spark):
+    long = "http://x.net/" + "a" * 300_000 + "?" + "&".join(f"k{i}={i}" for i in range(2000))
+    names = ("verdict", "canon", "rule", "possible", "path")
+    pages = spark.createDataFrame([(1, long), (2, "http://x.net/b"), (1, long)], "page_id long, url string").withColumns({c: F.lit("own") for c in (*names, "block", "__x")})
+    out = u.filter_urls(pages, pages.where("page_id = 1").select(u.canonical_url(F.col("url")).alias("canon")))
+    rows = out.collect()
+    assert sorted(r["verdict"] for r in rows) == ["allow", "block", "block"] and all(r["block"] == r["__x"] == "own" and r["canon"] != "own" for r in rows)
+    assert len(out.columns) == len(set(out.columns)) and max(len(r["path"]) for r in rows) == 300_001
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     nothing = spark.createDataFrame([], "canon string")
