@@ -1,8 +1,9 @@
 """WARC revisits: not-modified records take their payload from the latest earlier full response.
 
-An as-of join by canonical URL in two steps, so that a URL which holds a third of all captures does not meet in one
-sort: time is cut into slices; inside a slice a window finds the latest response before each revisit, and each slice
-hands on only its last response, which a window over slices carries forward.
+An as-of join by canonical URL in steps, so that a URL which holds a third of all captures does not meet in one sort:
+time is cut into slices; inside a slice a window finds the latest response before each revisit, and each slice hands on
+only its last response. What finds none looks among the slices of its span, and each span again hands on only its last
+response. So a task sorts the captures of one URL and hour, the slices of one span, or the spans of one URL (some 34 a year).
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from glossaria.llm.url_filter import OP1_SQL, canonical_url
 
 #: Seconds of a time slice.
 SLICE_SECONDS = 3600
+#: Slices of a span.
+SPAN_SLICES = 256
 #: Headers of a 304 response that may replace those of the stored response (RFC 9110, section 15.4.5; RFC 9111, 3.2).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
@@ -33,6 +36,14 @@ def opaque_tag(tag: Column) -> Column:
     return F.regexp_replace(F.trim(tag), "^W/", "")
 
 
+def _before(ends: DataFrame, asked: DataFrame, by: list[str], place: str) -> DataFrame:
+    """``asked`` with ``far``: the ``end`` of the greatest smaller ``place`` among those of the same ``by``; null without one."""
+    asking = asked.withColumn("end", F.lit(None).cast(ends.schema["end"].dataType)).withColumn("asks", F.lit(True))
+    earlier = Window.partitionBy(*by).orderBy(place).rangeBetween(Window.unboundedPreceding, -1)
+    steps = ends.withColumn("asks", F.lit(False)).unionByName(asking)
+    return steps.withColumn("far", F.last("end", ignorenulls=True).over(earlier)).where("asks").select(*by, *([place] if place not in by else []), "far")
+
+
 def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Resolves every revisit in ``records``.
 
@@ -56,14 +67,12 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) ->
     inside = Window.partitionBy("canon", "slice").orderBy("at", "record_id", "full").rowsBetween(Window.unboundedPreceding, -1)
     near = usable.withColumn("near", F.last("state", ignorenulls=True).over(inside)).where("not full")
     ends = usable.where("full").groupBy("canon", "slice").agg(F.max_by("state", F.struct("at", "record_id")).alias("end"))
-    asked = near.where("near is null").select("canon", "slice").distinct().withColumn("end", F.lit(None).cast(ends.schema["end"].dataType)).withColumn("asks", F.lit(True))
-    over = Window.partitionBy("canon").orderBy("slice", "asks").rowsBetween(Window.unboundedPreceding, -1)
-    steps = ends.withColumn("asks", F.lit(False)).unionByName(asked)
-    # A slice that asks also ends; its own end stands before the question in the order, so it is left out by its slice.
-    carried = steps.withColumn("slice_end", F.when(F.col("end").isNotNull(), F.struct(F.col("slice").alias("s"), "end"))).select(
-        "canon", "slice", "asks",
-        F.last("slice_end", ignorenulls=True).over(Window.partitionBy("canon").orderBy("slice").rangeBetween(Window.unboundedPreceding, -1)).alias("far"),
-    ).where("asks and far is not null").select("canon", "slice", F.col("far.end").alias("far"))
+    asked = near.where("near is null").select("canon", "slice").distinct()
+    span = F.floor(F.col("slice") / SPAN_SLICES).alias("span")
+    inner = _before(ends.select("canon", span, "slice", "end"), asked.select("canon", span, "slice"), ["canon", "span"], "slice")
+    last = ends.groupBy("canon", span).agg(F.max_by("end", "slice").alias("end"))
+    outer = _before(last, inner.where("far is null").select("canon", "span").distinct(), ["canon"], "span")
+    carried = inner.join(outer.withColumnRenamed("far", "further"), ["canon", "span"], "left").select("canon", "slice", F.coalesce("far", "further").alias("far"))
     joined = near.join(carried, ["canon", "slice"], "left").withColumn("src", F.coalesce("near", "far"))
     lost = kept.where(~whole & ~F.col("full")).withColumn("src", F.lit(None).cast(joined.schema["src"].dataType))
     cols = ["record_id", "canon", "at", "headers", "digest", "src"]
@@ -128,7 +137,7 @@ WITH captured AS (
 parts AS (
   SELECT record_id AS page_id, url,
     translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1) AS query FROM captured),
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1) AS query, '' AS content FROM captured),
 canonical AS ({_CANON}),
 records AS (SELECT c.*, k.canon FROM captured c JOIN canonical k ON k.page_id = c.record_id),
 found AS (

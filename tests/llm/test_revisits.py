@@ -36,8 +36,29 @@ def test_against_brute_force(spark):
         headers = {k: rng.choice(v) for k, v in {"ETag": ['"1"', 'W/"1"', '"2"', None], "Last-Modified": ["x", "y", None], "Date": [str(i)], "Content-Length": ["9"], "X-Own": ["q"]}.items() if rng.random() < 0.6}
         records.append((i, url, rng.choice([rng.randint(-9000, 40_000), 3600, None]), kind, rng.choice([headers, headers, None]), rng.choice(["d1", None, None]), "own"))
     shown = lambda rows: sorted(str((a, b, c, sorted(h.items()))) for a, b, c, h in rows)
-    found = r.resolve_revisits(spark.createDataFrame(records, SCHEMA)).collect()
-    assert shown((x["record_id"], x["source_id"], x["status"], x["headers"]) for x in found) == shown(plain(records))
+    for seconds in (r.SLICE_SECONDS, 60):  # some spans of slices with the shorter ones
+        found = r.resolve_revisits(spark.createDataFrame(records, SCHEMA), seconds).collect()
+        assert shown((x["record_id"], x["source_id"], x["status"], x["headers"]) for x in found) == shown(plain(records))
+
+
+def test_ties_of_time_and_repeated_ids(spark):
+    rows = [
+        (1, "http://x.net/", 10, "response", {"etag": '"a"'}, "d", ""), (1, "http://x.net/", 10, "revisit", {}, "d", ""),  # the same time and id: not before it
+        (2, "http://x.net/", 10, "revisit", {}, "d", ""), (2, "http://x.net/", 10, "revisit", {}, "e", ""),  # a later id of the same time
+        (3, "http://x.net/", 10, "response", {"etag": '"b"'}, "e", ""), (3, "http://x.net/", 10, "response", {"etag": '"b"'}, "e", ""), (4, "http://x.net/", 10, "revisit", {}, "e", ""),
+    ]
+    found = sorted((x["record_id"], x["source_id"], x["status"]) for x in r.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect() if x["source_id"])
+    assert found == [(2, 1, "matched"), (2, 1, "mismatch"), (4, 3, "matched")]
+    assert [x["status"] for x in r.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect() if x["record_id"] == 1] == ["missing"]
+
+
+def test_very_long_headers_and_many_captures_of_one_url(spark):
+    long = "v" * 200_000
+    rows = [(2 * i, "http://hot.net/", i // 3, "response", {"X-Long": long if i == 7 else "s"}, f"d{i}", "") for i in range(900)] + [(2 * i + 1, "http://hot.net/", i // 3, "revisit", {"Date": "x"}, f"d{i}", "") for i in range(900)]
+    for seconds in (r.SLICE_SECONDS, 7):
+        found = {x["record_id"]: x for x in r.resolve_revisits(spark.createDataFrame(rows, SCHEMA), seconds).collect()}
+        assert len(found) == 900 and all(x["source_id"] == k - 1 and x["status"] == "matched" for k, x in found.items())
+        assert found[15]["headers"] == {"x-long": long, "date": "x"}
 
 
 def test_repeated_rows_and_empty(spark):
