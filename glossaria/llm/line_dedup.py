@@ -20,7 +20,7 @@ MIN_SITES = 10
 #: Shorter lines are left alone: a few short words meet by chance.
 MIN_WORDS = 3
 #: Base-2 logarithm of the sketch's registers, and the standard errors round the threshold that are counted exactly.
-LG_REGISTERS, ERRORS = 10, 3
+LG_REGISTERS, ERRORS = 10, 5
 #: A list of boilerplate lines up to this many rows (32 bytes each) is broadcast; beyond, the join shuffles.
 BROADCAST_LINES = 200_000
 
@@ -50,18 +50,21 @@ def _checked(small: DataFrame, most: int) -> DataFrame:
 
 
 def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``key`` (MD5 of the line) and ``first`` (smallest doc_id that has it) of every line on ``min_sites`` sites or more. Null sites don't count."""
+    """``key`` (MD5 of the line) and ``first`` (smallest doc_id that has it) of every line on ``min_sites`` sites or more. Null sites don't count.
+
+    A sketch keeps few sites exactly. Where there are more, its estimate may be wrong by over ``ERRORS`` standard errors
+    once in some million lines, and only lines nearer to the threshold than that are counted again: up to a threshold of
+    some hundred sites the result is exact, beyond it all but.
+    """
     margin = math.ceil(ERRORS * 1.04 / math.sqrt(1 << LG_REGISTERS) * min_sites)
     found = _occurrences(docs, site, min_words)
-    # A line without a site has no sketch to speak of; it can't reach the threshold.
-    sketched = found.where("site is not null").groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LG_REGISTERS)).alias("sketch"))
-    spread = sketched.select("key", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - margin)
+    sketched = found.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LG_REGISTERS)).alias("sketch"), F.min("id").alias("first"))
+    spread = sketched.select("key", F.hll_sketch_estimate("sketch").alias("sites"), "first").where(F.col("sites") >= min_sites - margin)
     spread = stage(spread, "line-spread")
     near = _checked(spread.where(F.col("sites") <= min_sites + margin).select("key"), BROADCAST_LINES)
     exact = found.select("key", "site").join(near, "key", "left_semi").distinct().groupBy("key").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
-    lines = stage(spread.where(F.col("sites") > min_sites + margin).select("key").union(exact.select("key")), "line-boilerplate")
-    first = found.select("key", "id").join(_checked(lines, BROADCAST_LINES), "key", "left_semi").groupBy("key").agg(F.min("id").alias("first"))
-    return stage(first, "line-first")
+    sure = spread.where(F.col("sites") > min_sites + margin).select("key", "first")
+    return stage(sure.union(spread.join(exact.select("key"), "key", "left_semi").select("key", "first")), "line-boilerplate")
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
