@@ -9,6 +9,7 @@ again with more bits. DataFrame functions only.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from glossaria.llm.common import stage, table
 LIMIT_BYTES = 4 << 20
 #: Levels that each round adds; a round's histogram has at most this many levels more than its buckets need.
 SPARE_LEVELS, DEEPER = 4, 12
+#: Levels whose sums are made from one another's cells at once.
+STEP_LEVELS = 12
 #: Bits of the key's hash (MD5), then of the content's (two 64-bit hashes).
 KEY_BITS, ALL_BITS = 128, 256
 #: A directory up to this many entries (about 50 bytes each) is broadcast; a larger one is joined by a shuffle.
@@ -47,6 +50,25 @@ def _split(cells: DataFrame, depth_from: int, depth_to: int, limit: int) -> Data
     return fits.groupBy("cell").agg(F.min(F.when(F.col("held").isNotNull(), F.col("depth"))).alias("d")).select("cell", F.expr("substring(cell, 1, d)").alias("shard"))
 
 
+def _directory(cells: DataFrame, depth_from: int, depth_to: int, limit: int, step: int = STEP_LEVELS) -> DataFrame:
+    """:func:`_split` over many levels, ``step`` of them at a time: only cells below prefixes that are too large are looked at again."""
+    if depth_to - depth_from <= step:
+        return _split(cells, depth_from, depth_to, limit)
+    placed = []
+    while True:
+        till = min(depth_to, depth_from + step)
+        prefix = F.expr(f"substring(cell, 1, {till})")
+        coarse = cells.groupBy(prefix.alias("cell")).agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+        found = stage(_split(coarse, depth_from, till, limit).withColumnRenamed("cell", "__at"), "shard-levels")
+        held = cells.join(found, prefix == F.col("__at"))
+        if till == depth_to:
+            placed.append(held.select("cell", "shard"))
+            return reduce(DataFrame.union, placed)
+        placed.append(held.where("shard is not null").select("cell", "shard"))
+        cells = stage(held.where("shard is null").select("cell", "bytes", "rows"), "shard-cells")
+        depth_from = till
+
+
 def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """A row per document: ``doc_id``, ``bytes`` (UTF-8 length of ``text``), ``shard``, ``overflow``.
 
@@ -68,7 +90,7 @@ def _assign(docs: DataFrame, limit: int, carry: tuple[str, ...] = ()) -> DataFra
     while True:
         at = _bits(F.col("digest"), high)
         cells = pending.groupBy(at.alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-        directory = stage(_split(cells, low, high, limit), "shard-directory")
+        directory = stage(_directory(cells, low, high, limit), "shard-directory")
         known = directory.where("shard is not null")
         entries, oversized = directory.count(), directory.where("shard is null").count()
         held = pending.withColumn("cell", at).join(F.broadcast(directory) if entries <= BROADCAST_ENTRIES else directory, "cell", "left")
