@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossaria.llm.chunks import slices
-from glossaria.llm.common import id_and_text, table
+from glossaria.llm.common import bound_batches, id_and_text, table
 
 #: Bytes of text that a worker holds the media of.
 BATCH_BYTES = 4 << 20
@@ -465,17 +465,36 @@ def decode_stream(data: bytes) -> np.ndarray:
     return pixels
 
 
+def _streams(body: bytes) -> Iterator[bytes]:
+    """The lossless streams among a file's chunks, those in frames of animations too; profiles and other data are passed over."""
+    at = 0
+    while at + 8 <= len(body):
+        kind, size = body[at : at + 4], int.from_bytes(body[at + 4 : at + 8], "little")
+        inside = body[at + 8 : at + 8 + size]
+        if len(inside) < size:
+            raise WebpError("the file ends too early")
+        if kind == b"VP8L":
+            yield inside
+        elif kind == b"ANMF":
+            yield from _streams(inside[16:])
+        at += 8 + size + (size & 1)
+
+
 def images(data: bytes) -> Iterator[np.ndarray]:
-    """The pixels of each of the WebP files that stand one after the other in ``data``."""
+    """The pixels of each lossless image of the WebP files that stand one after the other in ``data``, in simple or extended containers."""
     at = 0
     while at < len(data):
-        if data[at : at + 4] != b"RIFF" or data[at + 8 : at + 16] != b"WEBPVP8L":
-            raise WebpError("no lossless WebP file")
-        size = int.from_bytes(data[at + 16 : at + 20], "little")
-        if at + 20 + size > len(data):
+        if data[at : at + 4] != b"RIFF" or data[at + 8 : at + 12] != b"WEBP":
+            raise WebpError("no WebP file")
+        till = at + 8 + int.from_bytes(data[at + 4 : at + 8], "little")
+        if till > len(data):
             raise WebpError("the file ends too early")
-        yield decode_stream(data[at + 20 : at + 20 + size])
-        at += 8 + int.from_bytes(data[at + 4 : at + 8], "little")
+        found = list(_streams(data[at + 12 : till]))
+        if not found:
+            raise WebpError("no lossless image in the file")
+        for stream in found:
+            yield decode_stream(stream)
+        at = till
 
 
 # ---------------------------------------------------------------- writing
@@ -792,6 +811,7 @@ def media_columns(docs: DataFrame) -> DataFrame:
 
 
 def op10_webp_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     found = media_columns(table(spark, sf_dir, "documents"))
     size = F.octet_length("samples").cast("long")
     return found.select(
