@@ -10,6 +10,9 @@ Copies fall together before any join, as only distinct fingerprints take part. L
 drawn together through fingerprints that differ in one half-byte only, which takes a row for each of the 16; the
 search then looks for links between what is still apart, and the largest group of a join key is not compared with itself.
 So a group's pairs are never all listed, and no link between groups is lost.
+
+A key of 26 bits is for some hundred million different fingerprints: N of them meet by chance about N * N / 2**20 times
+in all. Beyond, each further bit of a key (longer segments, and so fewer of them for one more neighbour) halves that.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glossaria.llm.common import id_and_text, stage, table
+from glossaria.llm.common import bound_batches, id_and_text, shuffle_partitions, stage, table
 from glossaria.llm.components import connected_components
 
 WIDTH = 4
@@ -117,14 +120,15 @@ def link_groups(fps: DataFrame) -> DataFrame:
     near = stage(connected_components(_within_half_byte(fps)), "near")
     sized = near.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     drawn = near.join(sized, "root").select(F.col("node").alias("fp"), F.col("root").alias("part"), "size")
-    parts = stage(fps.join(drawn, "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"), F.coalesce("size", F.lit(1)).alias("size")), "parts")
-
-    per = Window.partitionBy("key")
-    met = _rows(parts).select(
-        "key", "fp", "part", "own", F.min("part").over(per).alias("low"), F.max("part").over(per).alias("high"),
-        F.max("own").over(per).alias("any"), F.max(F.struct("size", "part")).over(per)["part"].alias("main"),
-    )
-    met = stage(met.where("low <> high and any").select("key", "fp", "part", "own", (F.col("part") == F.col("main")).alias("main")), "met")
+    placed = fps.join(drawn, "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"), F.coalesce("size", F.lit(1)).alias("size"))
+    parts = stage(placed.repartition(shuffle_partitions(fps.sparkSession), "fp"), "parts")  # many tasks open the keys
+
+    # Keys are found by aggregation and joined to plain scans, so that a key of many fingerprints can be split.
+    rows = _rows(parts)
+    keys = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max("own").alias("any"))
+    met = stage(rows.join(stage(keys.where("low <> high and any").select("key"), "keys"), "key"), "meeting")
+    main = met.groupBy("key").agg(F.max_by("part", "size").alias("main"))
+    met = stage(met.join(stage(main, "main"), "key").select("key", "fp", "part", "own", (F.col("part") == F.col("main")).alias("main")), "met")
     right = met.select(F.col("key").alias("key2"), F.col("fp").alias("fp2"), F.col("part").alias("part2"), F.col("main").alias("main2"))
     apart = (F.col("key") == F.col("key2")) & (F.col("part") != F.col("part2")) & _close(F.col("fp"), F.col("fp2"), F.col("key"))
     few = met.where("own and not main").join(right, apart)
@@ -164,6 +168,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 

@@ -95,8 +95,9 @@ def test_every_split_of_four_bits_is_found(spark):
 
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 9), (5, 5), (7, None), *((k, k + 1) for k in range(100, 160))]
-    found = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
-    assert found == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8, 5: 5} | {k: 100 for k in range(100, 161)}
+    for small in (1000, 0):  # in one task, and in rounds
+        found = dict(connected_components(spark.createDataFrame(edges, "a long, b long"), small).collect())
+        assert found == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8, 5: 5} | {k: 100 for k in range(100, 161)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
