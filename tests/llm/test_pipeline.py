@@ -2,13 +2,13 @@ import ast
 import os
 
 import corpus_pipeline as c
-from glossaria.llm import line_dedup, quality_rules, simhash, simhash_texts
+from glossaria.llm import line_dedup, quality_rules, simhash
 from glossaria.llm.common import stage
 from tests.conftest import SMALL
 
 from .odd import documents
 from .test_line_dedup import plain as plain_lines
-from .test_simhash_texts import groups, rings
+from .test_simhash_texts import groups, meet, rings
 
 TOP = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -24,7 +24,7 @@ def test_stages_against_brute_force(spark):
     assert lined.where("n_chars <> length(text)").count() == 0
     rows = sorted(lined.collect(), key=lambda r: r["doc_id"])
     ring = rings([r["text"] for r in rows])
-    group = groups([r["text"] for r in rows], lambda i, j: (ring[i] != ring[j]).sum() <= simhash_texts.RADIUS)
+    group = groups([r["text"] for r in rows], lambda i, j: meet(ring[i], ring[j]))
     single = stage(c.near_dedup(spark, lined, SMALL), "t3")
     assert {r["doc_id"] for r in single.collect()} == {rows[g]["doc_id"] for g in set(group)} and single.columns == docs.columns
     assert {r["doc_id"] for r in c.run(spark, SMALL).collect()} == {r["doc_id"] for r in single.collect()}
