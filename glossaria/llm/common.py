@@ -27,15 +27,17 @@ def ascii_lower(c: Column) -> Column:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lowers Spark's bound on what a Python worker gets at once, so that long texts don't fill its memory."""
+    """Lowers the session's bound on what a Python worker gets at once, so that long texts don't fill its memory.
+
+    For queries and pipeline stages to call; operators leave the caller's settings alone.
+    """
     size = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(size).rstrip("bB")) > ARROW_BYTES:
         spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` (null: empty) alone, so that other columns never clash, to be read in bounded batches."""
-    bound_batches(docs.sparkSession)
+    """``doc_id`` and ``text`` (null: empty) alone, so that other columns never clash."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -38,6 +39,60 @@ def test_labelled_documents(spark):
     assert ((both.quality == 1) == both.kept).mean() > 0.98
 
 
+def plain_votes(counts):
+    """The rules, each spelled out on one text's counts."""
+    c = dict(zip(q.COUNTS, counts, strict=True))
+    words = c["n_words"]
+    per_word = lambda name: c[name] / max(words, 1)
+    capitals, length = c["n_upper"] / max(c["word_chars"], 1), per_word("word_chars")
+    vote = lambda bad, good: -1 if bad else 1 if good else 0
+    return (
+        vote(per_word("n_symbols") > 0.1, words and per_word("n_symbols") < 0.005), vote(capitals > 0.4, words and capitals < 0.15), vote(per_word("n_shouts") > 0.2, False),
+        vote(per_word("n_repeat_words") > 0.2, words >= 100 and per_word("n_repeat_words") < 0.02), vote(words and not 3 <= length <= 10, 3.8 <= length <= 8),
+        vote(words and per_word("n_short") < 0.1, per_word("n_short") > 0.25), vote(words < 50, words >= 120),
+    )
+
+
+def plain_posteriors(votes):
+    """Expectation-maximisation document by document, in loops."""
+    n, rules = len(votes), range(len(votes[0]))
+    seen = [{v: sum(d[r] == v for d in votes) / n for v in (-1, 0, 1)} for r in rules]
+    guess = []
+    for bad in (0.3, 0.02):
+        rest = [{v: seen[r][v] + 1e-3 for v in (0, 1)} for r in rules]
+        guess.append([{-1: bad} | {v: (1 - bad) * x / sum(rest[r].values()) for v, x in rest[r].items()} for r in rules])
+    rate, good, weight = guess, 0.8, 0.02
+
+    def posteriors():
+        out = []
+        for d in votes:
+            like = [share * math.prod(rate[cls][r][d[r]] for r in rules) for cls, share in ((0, 1 - good), (1, good))]
+            out.append(like[1] / (like[0] + like[1]))
+        return out
+
+    for _ in range(200):
+        post, was = posteriors(), good
+        good = (sum(post) + weight * n * 0.8) / (n * (1 + weight))
+        held = ([1 - p for p in post], post)
+        rate = [[{v: (sum(w for w, d in zip(held[cls], votes, strict=True) if d[r] == v) + weight * n * guess[cls][r][v]) / (sum(held[cls]) + weight * n) for v in (-1, 0, 1)} for r in rules] for cls in (0, 1)]
+        if abs(good - was) < 1e-12:
+            break
+    return posteriors()
+
+
+def test_query_against_plain_expectation_maximisation(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    counts = {i: q.count_text(t) for i, t in texts.items()}
+    want = dict(zip(texts, plain_posteriors([plain_votes(counts[i]) for i in texts]), strict=True))
+    rows = q.op2_quality_rules(spark, SMALL).collect()
+    assert len(rows) == len(texts) and 0 < sum(r["kept"] for r in rows) < len(rows)
+    for r in rows:
+        n, repeated = counts[r["doc_id"]][0], counts[r["doc_id"]][4]
+        failed = n < 50 or 100 * repeated > 50 * n
+        assert abs(r["posterior"] - want[r["doc_id"]]) < 2e-5
+        assert r["kept"] == (not failed and want[r["doc_id"]] >= 0.5)
+
+
 def test_expectation_maximisation_finds_the_accuracies():
     rng = np.random.default_rng(5)
     good = rng.random(40_000) < 0.8
