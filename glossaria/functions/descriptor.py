@@ -25,21 +25,36 @@ def last_titled(items: Column, title: str, field: str) -> Column:
     return F.try_element_at(F.filter(items, same), F.lit(-1))[field]
 
 
-def metadata(descriptors: DataFrame, has_cognates: Column) -> DataFrame:
-    """The metadata record of each dataset. ``descriptors``: ``Dataset`` and ``value``, the text; missing fields are empty."""
+def described(descriptors: DataFrame) -> DataFrame:
+    """``Dataset`` and ``value`` (the text) with ``doc``, the fields, parsed once for all that is made of them."""
+    return descriptors.withColumn("doc", parse(F.col("value"))).drop("value")
+
+
+def metadata_columns(has_cognates: Column) -> list[Column]:
+    """The columns of a metadata record beside ``Dataset``; missing fields are empty."""
     d = F.col("doc")
     told = lambda name: F.coalesce(d[name], F.lit(""))
     kinds = {"Form_Count": "FormTable", "Language_Count": "LanguageTable", "Parameter_Count": "ParameterTable"}
-    return descriptors.withColumn("doc", parse(F.col("value"))).select(
-        "Dataset", told("dc:title").alias("Title"), told("dc:bibliographicCitation").alias("Citation"), told("dcat:accessURL").alias("URL"), told("dc:license").alias("License"),
+    return [
+        told("dc:title").alias("Title"), told("dc:bibliographicCitation").alias("Citation"), told("dcat:accessURL").alias("URL"), told("dc:license").alias("License"),
         url_fragment(told("dc:conformsTo")).alias("CLDF_Module"),
         last_titled(d["prov:wasDerivedFrom"], "Repository", "dc:created").alias("Repository_Version"),
         last_titled(d["prov:wasGeneratedBy"], "python", "dc:description").alias("Python_Version"),
         *(table_extent(d, kind).alias(c) for c, kind in kinds.items()), has_cognates.alias("Has_Cognates"),
-    )
+    ]
+
+
+def reference_columns() -> list[Column]:
+    """Versions of the reference systems that a dataset was made with; null where it names none."""
+    items = F.col("doc")["prov:wasDerivedFrom"]
+    return [last_titled(items, s, "dc:created").alias(f"{s}_Version") for s in ("Glottolog", "Concepticon", "CLTS")]
+
+
+def metadata(parsed: DataFrame, has_cognates: Column) -> DataFrame:
+    """The metadata record of each dataset of :func:`described`."""
+    return parsed.select("Dataset", *metadata_columns(has_cognates))
 
 
-def references(descriptors: DataFrame) -> DataFrame:
-    """Versions of the reference systems that each dataset was made with; null where it names none."""
-    d = F.col("doc")["prov:wasDerivedFrom"]
-    return descriptors.withColumn("doc", parse(F.col("value"))).select("Dataset", *(last_titled(d, s, "dc:created").alias(f"{s}_Version") for s in ("Glottolog", "Concepticon", "CLTS")))
+def references(parsed: DataFrame) -> DataFrame:
+    """The reference versions of each dataset of :func:`described`."""
+    return parsed.select("Dataset", *reference_columns())

@@ -44,6 +44,13 @@ def statistics(rolled: DataFrame, versions: DataFrame | None = None, sources: Da
     return out.join(ranges)
 
 
+def report_statistics(report: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """:func:`statistics` of a stored report, one row of sections; a section or figure that it lacks counts as missing."""
+    versions = report.select(F.explode("version_distribution").alias("system", "held")).select("system", F.explode("held").alias("version", "datasets"))
+    integrity = report.select(*(F.coalesce(f"referential_integrity.{c}", F.lit(0)).alias(c) for c in ("orphan_language_ids", "orphan_parameter_ids")))
+    return statistics(report.select("summary.*", "data_quality.*"), versions, sources, integrity)
+
+
 def manifest(files: DataFrame, version: str, stem: str = "corpus", expected: Sequence[str] = ()) -> DataFrame:
     """A row per collection and file: key, size, size to read, hash, and names of the archive and its folder.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossaria.functions import descriptor
@@ -14,6 +14,7 @@ from glossaria.operators import bibliography, enrich, judgments, membership, nor
 from glossaria.schemas import FORMS_WORKING, FORMS_WRITTEN, JUDGMENT_COLUMNS, JUDGMENT_NAMES, LANGUAGES, PARAMETERS
 from glossaria.sources import files, sinks
 from glossaria.sources.files import HEADER, POSITION
+from glossaria.sources.staging import stage
 
 SORT = ("Parameter_ID", "Language_ID", "Local_ID", "ID")
 
@@ -48,6 +49,18 @@ def in_order(df: DataFrame, columns: Sequence[str] = SORT, dataset: str = "Datas
     return df.orderBy(F.col(dataset).asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in columns))
 
 
+def numbered(df: DataFrame, columns: Sequence[str] = SORT, name: str = "place", dataset: str = "Dataset") -> DataFrame:
+    """``df`` with each row's place (from 1) in the order of :func:`in_order`, however large a dataset is.
+
+    The sorted rows are written once, so that their partitions stay what they are; sizes of partitions then give places.
+    """
+    held = stage(in_order(df, columns, dataset).withColumn("__at", F.monotonically_increasing_id()), "in-order").withColumn("__block", F.shiftright("__at", 33))
+    sizes = held.groupBy("__block").agg(F.count(F.lit(1)).alias("__n"))  # a row for each partition
+    before = F.sum("__n").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    placed = held.join(sizes.select("__block", F.coalesce(before, F.lit(0)).alias("__before")), "__block")
+    return placed.withColumn(name, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).select(*df.columns, name)
+
+
 def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFrame, parameters: DataFrame) -> DataFrame:
     """Forms with their judgments and their parents' columns, in the 24 working columns, and the file's header.
 
@@ -68,21 +81,22 @@ def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFr
 
 
 def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -> Corpus:
-    """The full collection as one lazy plan over all datasets that nothing keeps out (or those named)."""
-    good = files.accepted(spark, root)
-    if datasets is not None:
-        good = good.where(F.col("Dataset").isin(datasets))
-    kept = lambda df: df.join(good, "Dataset", "left_semi")
-    raw = {n: kept(files.read_table(spark, root, n, datasets)) for n in ("forms.csv", "languages.csv", "parameters.csv", "cognates.csv")}
+    """The full collection as one lazy plan over all datasets that nothing keeps out (or those named).
+
+    Which ones these are is found out first, by a listing, the header lines and one reading for faults; the plan then
+    has one scan for each table and header line.
+    """
+    good = files.accepted(spark, root, datasets)
+    raw = {n: files.read_table(spark, root, n, found=good) for n in ("forms.csv", "languages.csv", "parameters.csv", "cognates.csv")}
     languages, parameters = normalize.languages(raw["languages.csv"]), normalize.parameters(raw["parameters.csv"])
-    judged = normalize.judgments(raw["cognates.csv"]) if "Form_ID" in raw["cognates.csv"].columns else None
+    judged = normalize.judgments(raw["cognates.csv"]) if good.of("cognates.csv") else None
     forms = enriched_forms(normalize.forms(raw["forms.csv"]), judged, languages, parameters)
-    described = kept(files.read_descriptors(spark, root))
-    with_judgments = files.file_inventory(spark, root).where(F.col("file_name") == "cognates.csv").select("Dataset", F.lit(True).alias("__has"))
-    meta = descriptor.metadata(described, F.lit(None).cast("boolean")).join(with_judgments, "Dataset", "left").withColumn("Has_Cognates", F.coalesce("__has", F.lit(False))).drop("__has")
-    books = bibliography.entries(bibliography.rekey(kept(files.read_text(spark, root, "sources.bib"))))
-    heads = raw["forms.csv"].groupBy("Dataset").agg(F.first(HEADER).alias("columns"))
-    return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), meta, descriptor.references(described), books, heads)
+    described = descriptor.described(files.read_descriptors(spark, root, good))
+    told = [(d, "cognates.csv" in held, good.headers[d, "forms.csv"]) for d, held in sorted(good.paths.items())]
+    known = spark.createDataFrame(told, "Dataset string, Has_Cognates boolean, columns array<string>")  # a row for each dataset
+    meta = descriptor.metadata(described.join(known.select("Dataset", "Has_Cognates"), "Dataset"), F.col("Has_Cognates"))
+    books = bibliography.entries(bibliography.rekey(files.read_text(spark, root, "sources.bib", good)))
+    return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), meta, descriptor.references(described), books, known.select("Dataset", "columns"))
 
 
 def select_members(corpus: Corpus, registry: DataFrame, flag: str | None) -> Corpus:

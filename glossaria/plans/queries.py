@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glossaria.functions import descriptor, figures
 from glossaria.functions import text as fn
 from glossaria.operators import bibliography, enrich, judgments, membership, normalize, quality, release
-from glossaria.plans.corpus import in_order
+from glossaria.plans.corpus import numbered
 from glossaria.schemas import LANGUAGES
 from glossaria.sources.staging import fresh_path
 from glossaria.streaming import ingest
@@ -21,6 +21,8 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 C = F.col
+#: Files that the events are dealt out to where they stand in for a stream.
+MICRO_BATCHES = 4
 
 
 def query(sql: str):
@@ -42,13 +44,14 @@ _LINE_SQL = ", ".join(LINE_ORDER)
 
 @query(f"""
 WITH gathered AS (
-  SELECT l_orderkey, string_agg(concat('orders_', l_returnflag, l_linenumber), ';' ORDER BY {_LINE_SQL}) AS sets,
+  SELECT l_orderkey, arg_min(l_partkey, ({_LINE_SQL})) AS part, string_agg(concat('orders_', l_returnflag, l_linenumber), ';' ORDER BY {_LINE_SQL}) AS sets,
     arg_min(l_linestatus, ({_LINE_SQL})) FILTER (l_linestatus <> 'F') AS Alignment, arg_min(l_returnflag, ({_LINE_SQL})) FILTER (l_returnflag = 'R') AS Cognate_Source
   FROM lineitem GROUP BY l_orderkey)
 SELECT concat('orders_', o_orderkey) AS ID, 'orders' AS Dataset, concat('orders_', o_custkey) AS Language_ID, o_orderpriority AS Value,
   nullif(concat_ws(';', CASE WHEN o_orderstatus = 'O' THEN concat('orders_', o_orderstatus) END, sets), '') AS Cognacy,
-  Alignment, Cognate_Source, c_mktsegment AS Glottocode, n_name AS Glottolog_Name
+  Alignment, Cognate_Source, c_mktsegment AS Glottocode, n_name AS Glottolog_Name, 'orders_' || part AS Parameter_ID, p_brand AS Concepticon_ID, p_name AS Concepticon_Gloss
 FROM orders LEFT JOIN gathered ON l_orderkey = o_orderkey LEFT JOIN (customer JOIN nation ON n_nationkey = c_nationkey) ON c_custkey = o_custkey
+LEFT JOIN part ON p_partkey = part AND p_size > 10
 """)
 def enriched_forms(t):
     d = F.lit("orders")
@@ -58,15 +61,16 @@ def enriched_forms(t):
     )
     judged = t("lineitem").select(
         d.alias("Dataset"), fn.prefix_id(d, C("l_orderkey").cast("string")).alias("ID"), *LINE_ORDER, F.concat(F.lit("orders_"), "l_returnflag", C("l_linenumber").cast("string")).alias("set"),
-        F.nullif("l_linestatus", F.lit("F")).alias("Alignment"), F.when(C("l_returnflag") == "R", C("l_returnflag")).alias("Source"),
+        F.nullif("l_linestatus", F.lit("F")).alias("Alignment"), F.when(C("l_returnflag") == "R", C("l_returnflag")).alias("Source"), fn.prefix_id(d, C("l_partkey").cast("string")).alias("part"),
     )
     languages = t("customer").join(t("nation"), C("c_nationkey") == C("n_nationkey")).select(
         fn.prefix_id(d, C("c_custkey").cast("string")).alias("ID"), C("c_mktsegment").alias("Glottocode"), C("n_name").alias("Glottolog_Name")
     )
-    gathered = judgments.aggregate(judged, ["Dataset", "ID"], LINE_ORDER, {"set": "sets"}, {"Alignment": "Alignment", "Source": "Cognate_Source"})
+    gathered = judgments.aggregate(judged, ["Dataset", "ID"], LINE_ORDER, {"set": "sets"}, {"Alignment": "Alignment", "Source": "Cognate_Source", "part": "Parameter_ID"})
     out = judgments.attach(forms, gathered, ["Dataset", "ID"]).withColumn("Cognacy", judgments.cognacy(C("Cognacy"), C("sets"))).drop("sets")
     out = enrich.attach_parent(out, languages, "Language_ID", "ID", ["Glottocode", "Glottolog_Name"])
-    return in_order(out, ["Language_ID", "ID"])
+    parameters = t("part").where("p_size > 10").select(fn.prefix_id(d, C("p_partkey").cast("string")).alias("ID"), C("p_brand").alias("Concepticon_ID"), C("p_name").alias("Concepticon_Gloss"))
+    return enrich.attach_parent(out, parameters, "Parameter_ID", "ID", ["Concepticon_ID", "Concepticon_Gloss"])
 
 
 @query("""
@@ -169,9 +173,8 @@ def extract_descriptor(t):
             F.when(C("user_id") % 2 == 0, F.concat(item("Glottolog", user(5)), F.lit(","))).otherwise(""), item("Repository", user(7)), F.lit("]}"),
         ).alias("value"),
     )
-    doc = descriptor.metadata(told, F.lit(False)).select("Dataset", "Title", "CLDF_Module", "Form_Count", "Repository_Version")
-    out = doc.join(descriptor.references(told).select("Dataset", "Glottolog_Version", "CLTS_Version"), "Dataset")
-    return out.withColumn("event_id", C("Dataset").cast("long")).drop("Dataset")
+    both = descriptor.described(told).select("Dataset", *descriptor.metadata_columns(F.lit(False)), *descriptor.reference_columns())
+    return both.select(C("Dataset").cast("long").alias("event_id"), "Title", "CLDF_Module", "Form_Count", "Repository_Version", "Glottolog_Version", "CLTS_Version")
 
 
 def _labelled(t) -> DataFrame:
@@ -340,10 +343,12 @@ def collection_pivot(t):
     return membership.compare(rolled, ["forms", "datasets", "chars"])
 
 
-@query("SELECT source AS \"Dataset\", quality, toxic, doc_id FROM documents LEFT JOIN labels USING (doc_id)")
+@query("""
+SELECT source AS "Dataset", quality, toxic, doc_id, row_number() OVER (ORDER BY source NULLS LAST, quality NULLS LAST, toxic NULLS LAST, doc_id NULLS LAST) AS place FROM documents LEFT JOIN labels USING (doc_id)
+""")
 def sorted_nulls_last(t):
     docs = _labelled(t).select(C("source").alias("Dataset"), "quality", "toxic", "doc_id")
-    return in_order(docs, ["quality", "toxic", "doc_id"])
+    return numbered(docs, ["quality", "toxic", "doc_id"], "place")
 
 
 @query("""
@@ -378,13 +383,31 @@ def release_gate(t):
 SQL["incremental_stats"] = "SELECT event_type, count(*) AS n_rows, count(value) AS n_value, count(props) AS n_props FROM events GROUP BY event_type"
 
 
+SQL["windowed_stats"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n_rows, count(value) AS n_value FROM events GROUP BY ALL"
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of several files, a micro-batch for each, so that state goes on from one to the next."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = fresh_path(spark, "events")
+    events.repartition(MICRO_BATCHES).write.parquet(path)
+    return ingest.read_stream(spark, path, events.schema)
+
+
 def _incremental_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of files, counted over micro-batches; the last state is the result."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    rows = ingest.read_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    """Events counted over micro-batches; the last state is the result."""
     out = fresh_path(spark, "running-stats")
-    ingest.run_to_table(ingest.running_stats(rows, ["event_type"], ["value", "props"]), f"{out}/table", f"{out}/state")
+    ingest.run_to_table(ingest.running_stats(_streamed(spark, sf_dir), ["event_type"], ["value", "props"]), f"{out}/table", f"{out}/state")
     return spark.read.parquet(f"{out}/table")
 
 
+def _windowed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted by day over micro-batches, all days kept."""
+    out = fresh_path(spark, "windowed-stats")
+    rows = _streamed(spark, sf_dir).withColumn("ts", C("ts").cast("timestamp"))
+    ingest.run_to_table(ingest.windowed_stats(rows, "ts", "1 day", "2 days", ["event_type"], ["value"]), f"{out}/table", f"{out}/state")
+    return spark.read.parquet(f"{out}/table").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n_rows", "n_value")
+
+
 QUERIES["incremental_stats"] = _incremental_stats
+QUERIES["windowed_stats"] = _windowed_stats

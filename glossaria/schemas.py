@@ -40,6 +40,15 @@ DESCRIPTOR = (
     "`prov:wasGeneratedBy`:array<struct<`dc:title`:string,`dc:description`:string>>>"
 )
 
+REPORT = (
+    "summary struct<total_datasets:bigint,total_forms:bigint,total_languages:bigint,total_parameters:bigint,datasets_with_cognates:bigint,datasets_with_partial_cognacy:bigint>,"
+    "data_quality struct<glottocode_coverage_percent:double,concepticon_coverage_percent:double,forms_with_cognate_data_percent:double,forms_with_segments_percent:double,forms_with_alignment_percent:double>,"
+    "partial_cognacy struct<datasets_with_morpheme_index:array<string>,datasets_with_segment_slice:array<string>,forms_with_morpheme_index:bigint,forms_with_segment_slice:bigint>,"
+    "completeness map<string,struct<forms:bigint,languages:bigint,parameters:bigint,has_cognates:boolean,Segments_null_pct:double,Comment_null_pct:double,Loan_null_pct:double,Cognacy_null_pct:double,Alignment_null_pct:double,columns_present:array<string>>>,"
+    "referential_integrity struct<orphan_language_ids:bigint,orphan_parameter_ids:bigint,forms_without_glottocode:bigint,forms_without_concepticon_id:bigint>,"
+    "version_distribution map<string,map<string,bigint>>"
+)
+
 
 def kind_of(column: str) -> T.DataType:
     if column in BOOLEANS or column == "Has_Cognates":

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -15,9 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaria.schemas import RELEASE_FILES, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
+from glossaria.schemas import FORMS_WORKING, JUDGMENT_COLUMNS, LANGUAGES, OPTIONAL_FILES, PARAMETERS, RELEASE_FILES, REPORT, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
+#: Columns that have a meaning somewhere, by their name in lower case.
+_KNOWN = {c.lower(): c for c in (*FORMS_WORKING, *LANGUAGES, *PARAMETERS, *JUDGMENT_COLUMNS, *(c for cols in REQUIRED_COLUMNS.values() for c in cols))}
 
 
 def dataset_of(path: Column) -> Column:
@@ -45,77 +49,138 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return file_inventory(spark, root).where(F.col("file_name") == REQUIRED_FILES[0]).select("Dataset").distinct()
 
 
-def read_text(spark: SparkSession, root: str, file_name: str) -> DataFrame:
-    """``Dataset`` and ``value``, the whole text of the file, for the datasets that have it."""
-    load = lambda: spark.read.text(f"{root}/*/cldf/{file_name}", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    return _found(load, "value string, path string", spark).select(dataset_of(F.col("path")).alias("Dataset"), "value")
+@dataclass
+class Survey:
+    """What lies under a root, as found by one listing and one reading of header lines: a few lines for each dataset, on the driver."""
+
+    root: str
+    #: Path of each file by its dataset and name; datasets without a descriptor are not in it.
+    paths: dict[str, dict[str, str]]
+    #: Columns of each CSV file by its dataset and name, as its header spells them.
+    headers: dict[tuple[str, str], list[str]]
 
+    def of(self, file_name: str) -> dict[str, str]:
+        """Path of this file by dataset."""
+        return {d: held[file_name] for d, held in sorted(self.paths.items()) if file_name in held}
 
-def read_descriptors(spark: SparkSession, root: str) -> DataFrame:
-    return read_text(spark, root, REQUIRED_FILES[0])
+    def without(self, datasets: set[str]) -> Survey:
+        return Survey(self.root, {d: p for d, p in self.paths.items() if d not in datasets}, self.headers)
 
 
-def headers(spark: SparkSession, root: str, file_name: str) -> DataFrame:
-    """``Dataset``, ``path``, ``line``: the first line of each such file."""
-    load = lambda: spark.read.text(f"{root}/*/cldf/{file_name}").select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-    lines = _found(load, "value string, path string, at bigint", spark)
-    return lines.groupBy("path").agg(F.min_by("value", "at").alias("line")).select(dataset_of(F.col("path")).alias("Dataset"), "path", F.regexp_replace("line", "^﻿|\r$", "").alias("line"))
+def survey(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> Survey:
+    """The files of all datasets (or those named) and the header of each table. Of a file larger than a block only the first is looked at."""
+    listed = file_inventory(spark, root).where(F.col("file_name").isin(*REQUIRED_FILES, *OPTIONAL_FILES))
+    if datasets is not None:
+        listed = listed.where(F.col("Dataset").isin(list(datasets)))
+    paths: dict[str, dict[str, str]] = defaultdict(dict)
+    for r in listed.select("Dataset", "file_name", "path").collect():
+        paths[r["Dataset"]][r["file_name"]] = r["path"]
+    paths = {d: held for d, held in paths.items() if REQUIRED_FILES[0] in held}
+    tables = [p for held in paths.values() for name, p in held.items() if name in REQUIRED_COLUMNS]
+    found = {(r["Dataset"], r["file_name"]): header_columns(r["line"]) for r in _first_lines(spark, tables).collect()} if tables else {}
+    headers = {(d, n): found.get((d, n), []) for d, held in paths.items() for n in held if n in REQUIRED_COLUMNS}
+    return Survey(root, paths, headers)
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``Dataset``, ``file_name``, ``line`` of every file that is not empty."""
+    path = F.col("_metadata.file_path")
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", path.alias("path"), F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return first.select(dataset_of(F.col("path")).alias("Dataset"), F.element_at(F.split("path", "/"), -1).alias("file_name"), F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
+
+
+def read_text(spark: SparkSession, root: str, file_name: str, found: Survey | None = None) -> DataFrame:
+    """``Dataset`` and ``value``, the whole text of the file, for the datasets that have it (or those of ``found``)."""
+    where = f"{root}/*/cldf/{file_name}" if found is None else list(found.of(file_name).values())
+    if not where:
+        return spark.createDataFrame([], "Dataset string, value string")
+    load = lambda: spark.read.text(where, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    return _found(load, "value string, path string", spark).select(dataset_of(F.col("path")).alias("Dataset"), "value")
+
+
+def read_descriptors(spark: SparkSession, root: str, found: Survey | None = None) -> DataFrame:
+    return read_text(spark, root, REQUIRED_FILES[0], found)
 
 
 def header_columns(line: str) -> list[str]:
     return next(csv.reader([line]), [])
 
 
-def read_table(spark: SparkSession, root: str, file_name: str, datasets: list[str] | None = None) -> DataFrame:
-    """A CSV table of all datasets, each file read by its own header.
+def column_names(header: list[str]) -> list[str]:
+    """Names to read a header's columns by, different from each other whatever their case.
+
+    Of a name that comes twice the first stays and the next ones get a number. A name that differs from a known one in
+    case only is another column and gets a mark; so does one that the readers add, and an empty one a number.
+    """
+    names, taken = [], {c.lower() for c in ("Dataset", EXTRA, POSITION, HEADER, "__dataset")}
+    for at, c in enumerate(header):
+        plain = c or f"unnamed.{at}"
+        name, k = plain if _KNOWN.get(plain.lower(), plain) == plain else f"{plain}.other", 0
+        base = name
+        while name.lower() in taken:
+            k += 1
+            name = f"{base}.{k}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def read_table(spark: SparkSession, root: str, file_name: str, datasets: list[str] | None = None, found: Survey | None = None) -> DataFrame:
+    """A CSV table of all datasets (or those of ``found``), each file read by its own header.
 
     Files are grouped by header line and each group gets a reader of its own, for Spark's reader binds the columns of
     several files by position. Only header lines and paths reach the driver. All cells are strings, ``NA`` is text, an
-    empty cell is null. Adds ``Dataset`` (replacing a column of that name), ``_pos`` (orders the rows of a file as in the
-    file), ``_header`` (the file's columns; null-ness of a cell doesn't tell if its column is there) and ``_extra``
-    (what stands beyond the last column). No such file at all gives an empty table of these four.
+    empty cell is null; columns are named by :func:`column_names`. Adds ``Dataset`` (a column of that name is left out of
+    account), ``_pos`` (orders the rows of a file as in the file), ``_header`` (the file's columns; null-ness of a cell
+    doesn't tell if its column is there) and ``_extra`` (what stands beyond the last column). No such file at all gives an
+    empty table of these four.
     """
-    first = headers(spark, root, file_name)
-    if datasets is not None:
-        first = first.where(F.col("Dataset").isin(datasets))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in first.select("line", "path").collect():
-        groups[r["line"]].append(r["path"])
-    parts = [_read_alike(spark, header_columns(line), sorted(paths)) for line, paths in sorted(groups.items())]
+    found = survey(spark, root, datasets) if found is None else found
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for dataset, path in found.of(file_name).items():
+        groups[tuple(found.headers[dataset, file_name])].append(path)
+    parts = [_read_alike(spark, list(header), sorted(paths)) for header, paths in sorted(groups.items())]
     if not parts:
         return spark.createDataFrame([], f"Dataset string, {POSITION} bigint, {HEADER} array<string>, {EXTRA} string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _read_alike(spark: SparkSession, columns: list[str], paths: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, EXTRA]])
-    reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE")
-    rows = reader.csv(paths).select("*", dataset_of(F.col("_metadata.file_path")).alias("__dataset"), F.monotonically_increasing_id().alias(POSITION))
-    return rows.drop("Dataset").withColumnRenamed("__dataset", "Dataset").withColumn(HEADER, F.array(*map(F.lit, columns)).cast("array<string>"))
+def _read_alike(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
+    names = column_names(header)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, EXTRA]])
+    reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE", enforceSchema=True)
+    rows = reader.csv(paths)
+    return rows.select("*", dataset_of(F.col("_metadata.file_path")).alias("Dataset"), F.monotonically_increasing_id().alias(POSITION), F.array(*map(F.lit, header)).cast("array<string>").alias(HEADER))
+
 
+_REJECTS = "Dataset string, file_name string, reason string"
 
-def rejects(spark: SparkSession, root: str) -> DataFrame:
-    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a missing key column, a row with too many cells.
 
-    Structural faults are found by query before the main plan, so that one bad dataset does not stop the others.
+def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> DataFrame:
+    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a missing key column, a descriptor that is no JSON object, a row with too many cells.
+
+    Structural faults are found before the main plan, so that one bad dataset does not stop the others. Rows are only
+    read of datasets that have no other fault.
     """
-    there = file_inventory(spark, root)
-    names = discover(spark, root)
-    held = there.groupBy("Dataset").agg(F.collect_set("file_name").alias("files"))
-    missing = names.join(held, "Dataset").select("Dataset", F.explode(F.array_except(F.array(*map(F.lit, REQUIRED_FILES)), F.col("files"))).alias("file_name"), F.lit("missing file").alias("reason"))
-    out = [missing]
-    for name, needed in REQUIRED_COLUMNS.items():
-        first = headers(spark, root, name)
-        bad = [(r["Dataset"], name, f"missing column {c}") for r in first.collect() for c in needed if c not in header_columns(r["line"])]
-        out.append(spark.createDataFrame(bad, "Dataset string, file_name string, reason string"))
-        rows = read_table(spark, root, name)
+    found = survey(spark, root) if found is None else found
+    bad = [(d, n, "missing file") for d, held in found.paths.items() for n in REQUIRED_FILES if n not in held]
+    bad += [(d, n, f"missing column {c}") for (d, n), header in found.headers.items() if d in found.paths for c in REQUIRED_COLUMNS[n] if c not in header]
+    told = read_descriptors(spark, root, found)
+    broken = told.where(F.try_parse_json("value").isNull() | ~F.col("value").rlike(r"^\s*\{")).select("Dataset").collect()  # names of directories
+    bad += [(r["Dataset"], REQUIRED_FILES[0], "broken descriptor") for r in broken]
+    rest = found.without({b[0] for b in bad})
+    out = [spark.createDataFrame(sorted(bad), _REJECTS)]
+    for name in REQUIRED_COLUMNS:
+        rows = read_table(spark, root, name, found=rest)
         out.append(rows.where(F.col(EXTRA).isNotNull()).select("Dataset", F.lit(name).alias("file_name"), F.lit("too many cells").alias("reason")).distinct())
     return reduce(DataFrame.union, out)
 
 
-def accepted(spark: SparkSession, root: str) -> DataFrame:
-    """The datasets that nothing keeps out."""
-    return discover(spark, root).join(rejects(spark, root).select("Dataset").distinct(), "Dataset", "left_anti")
+def accepted(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> Survey:
+    """The survey of the datasets that nothing keeps out (of all or of those named). Finding faults reads each table once."""
+    found = survey(spark, root, datasets)
+    return found.without({r["Dataset"] for r in rejects(spark, root, found).select("Dataset").distinct().collect()})  # names of directories
 
 
 def skipped(rejected: DataFrame) -> DataFrame:
@@ -145,11 +210,24 @@ def read_published(spark: SparkSession, path: str, columns: tuple[str, ...]) ->
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """A report that was written as JSON; a missing file is an error."""
-    return spark.read.json(path, multiLine=True)
+    """A report that was written as JSON; a missing file is an error. Sections by dataset or system are maps."""
+    return spark.read.schema(REPORT).json(path)
 
 
 def release_files(spark: SparkSession, folder: str, names: tuple[str, ...] = RELEASE_FILES) -> DataFrame:
-    """``file_name``, ``path``, ``length``, ``sha256`` of a collection's files that are there."""
-    kept = spark.read.format("binaryFile").load(f"{folder}/*").withColumn("file_name", F.element_at(F.split("path", "/"), -1)).where(F.col("file_name").isin(*names))
-    return kept.select("file_name", "path", "length", F.sha2("content", 256).alias("sha256"))
+    """``file_name``, ``path``, ``length``, ``n_parts``, ``sha256`` of a collection's files that are there.
+
+    A file may be a folder of part files, as Spark writes one. Its length is that of all parts and its hash is the
+    SHA-256 of their SHA-256 in the order of their names, so no file is put together in one place; a file alone, or of
+    one part, has its own.
+    """
+    split = F.split("path", "/")
+    load = lambda: spark.read.format("binaryFile").load(f"{folder}/*").withColumn("above", F.element_at(split, -2)).withColumn("last", F.element_at(split, -1))
+    there = _found(load, "path string, length bigint, content binary, above string, last string", spark)
+    inside = F.col("above").isin(*names)
+    held = there.where(inside | F.col("last").isin(*names)).select(
+        F.when(inside, F.col("above")).otherwise(F.col("last")).alias("file_name"), F.when(inside, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path")).alias("path"), "last", "length", F.sha2("content", 256).alias("hash"),
+    )
+    hashes = F.transform(F.array_sort(F.collect_list(F.struct("last", "hash"))), lambda p: p["hash"])
+    out = held.groupBy("file_name", "path").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("n_parts"), hashes.alias("hashes"))
+    return out.select("file_name", "path", "length", "n_parts", F.when(F.col("n_parts") == 1, F.col("hashes")[0]).otherwise(F.sha2(F.array_join("hashes", ""), 256)).alias("sha256"))

@@ -151,6 +151,7 @@ def test_registry_and_collections(spark, root, tmp_path):
     assert membership.registry_counts(registry).first() == (5, 4, 3)
     assert {r["name"] for r in files.registry_datasets(registry, core_only=True, corecog_only=True).collect()} == {"alpha", "absent"}
     out = corpus.build_corpus(spark, root[0], root[1], str(tmp_path / "out"))
+    assert files.registry_datasets(registry).where("name = 'nourl'").count() == 0
     names = lambda c: {r[0] for r in c.forms.select("Dataset").distinct().collect()}
     assert names(out["core"]) == {"alpha", "gamma"} and names(out["corecog"]) == {"alpha", "delta"} and names(out["full"]) > names(out["core"])
     written = spark.read.json(str(tmp_path / "out/core/report")).first()
@@ -171,10 +172,6 @@ def test_exports(spark, full, tmp_path):
     assert text.index("alpha_K1") < text.index("alpha_K2") < text.index("epsilon_K1")
     part = next(f for f in os.listdir(f"{tmp_path}/validation_report.json") if f.startswith("part"))
     assert json.loads(open(f"{tmp_path}/validation_report.json/{part}").read())["summary"]["total_datasets"] == 7
-    found = files.release_files(spark, str(tmp_path))
-    assert found.count() == 0  # they are folders of part files
-    listed = release.manifest(files.release_files(spark, f"{tmp_path}/forms.csv", (os.path.basename(next(str(p) for p in (tmp_path / "forms.csv").glob("part*"))),)).withColumn("collection", F.lit("full")), "A.20251008")
-    assert listed.first()["archive_name"] == "corpus.A.full.20251008.zip"
 
 
 def test_row_multiplication(spark):
