@@ -10,14 +10,14 @@ digit on the differences among each run of 1, 2, ... digits stay within the run'
 first, one in the first three, five in the first eight. The first two shares make the join key (a digit and one of the
 next two are equal); the third prunes what meets there, then the whole rings are compared. Within the radius no pair is
 missed. Farther ones meet by the same keys more often than not, so those up to ``FAR`` differing digits are let through
-as well. All are judged by their whole sets of shingles, so no link is made up. In all, 99 of 100 pairs of the
-similarity are found (measured on 2,718 of them among 47,000 different texts; 97 of 100 of those below 0.83).
+as well. All are judged by their whole sets of shingles, so no link is made up. In all, 98 of 100 pairs of the
+similarity are found (measured on 2,718 of them among 47,000 different texts; 96 of 100 of those below 0.83).
 
 Copies fall together first, by a 64-bit hash of their words. Then the texts of a key are compared with the one whose
 keys are the most shared, which draws large groups together; after that only texts of different parts are compared,
 and the largest part of a key not with itself. Joins compare rings and sketches at once, so that of texts which are only
 somewhat alike no pair leaves them. A text has ``GAPS * DIGITS`` keys and meets by chance ``GAPS * DIGITS / (2 * SIDES)
-** 2`` of all other texts, so ``SIDES`` should grow with the square root of their number: 1,024 suits some 10 million
+** 2`` of all other texts, so ``SIDES`` should grow with the square root of their number: 2,048 suits some 50 million
 different texts, 16,384 some billions.
 """
 
@@ -41,7 +41,9 @@ SEED = 42
 #: Similarity from which texts are linked, as a fraction.
 OVER, UNDER = 4, 5
 #: Digits of a fingerprint, sums that each is the largest of (a power of two), digits that may differ.
-DIGITS, SIDES, RADIUS = 32, 1024, 21
+DIGITS, SIDES, RADIUS = 32, 2048, 21
+#: Bits that are summed up, each of them part of every side with a sign of its own.
+SUMS = 512
 #: The shares of the radius let one of the first ``GAPS + 1`` digits differ and five of the first ``WINDOW``.
 GAPS, WINDOW = 2, 8
 #: Differing digits up to which pairs that meet are looked at.
@@ -50,13 +52,11 @@ FAR = 26
 WINDOW_BITS = 10
 #: Longs of a sketch of parities.
 SKETCH = 8
-#: Keys that several texts share are broadcast up to this many (8 bytes each); beyond, the join shuffles.
-BROADCAST_KEYS = 500_000
 #: Texts turned at once, and shingles whose sums are added at once.
-TOGETHER, BLOCK = 16, 8192
+TOGETHER, BLOCK = 8, 8192
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1
-_STREAMS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1 for k in range(SIDES // 64)], np.uint64)
+_STREAMS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1 for k in range(SUMS // 64)], np.uint64)
 _SIGNS = np.where(np.random.RandomState(SEED).randint(0, 2, (SIDES, DIGITS)), 1, -1).astype(np.int16)
 
 
@@ -74,9 +74,9 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
 
 
 def bit_sums(found: np.ndarray) -> np.ndarray:
-    """For each of ``SIDES`` bits of the shingles' hashes how many more have it set than not."""
-    places = np.arange(SIDES // 8) << 8
-    counts = np.zeros(SIDES // 8 << 8, np.int64)
+    """For each of ``SUMS`` bits of the shingles' hashes how many more have it set than not."""
+    places = np.arange(SUMS // 8) << 8
+    counts = np.zeros(SUMS // 8 << 8, np.int64)
     for at in range(0, len(found), BLOCK):
         mixed = found[at : at + BLOCK].view(np.uint64)[:, None] * _STREAMS
         mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -86,11 +86,15 @@ def bit_sums(found: np.ndarray) -> np.ndarray:
 
 
 def digits(sums: np.ndarray) -> np.ndarray:
-    """``DIGITS`` digits for each row of bit sums: signs are changed, a Hadamard transform mixes the sums, the largest counts."""
-    total, shift = np.abs(sums).sum(1), np.zeros(len(sums), np.int64)
-    while (big := total >> shift > 31_000).any():
+    """``DIGITS`` digits for each row of bit sums: the sums, several times over, change signs, a Hadamard transform mixes them, the largest counts.
+
+    Sums of very long texts lose their lowest bits, so that mixed ones stay within 16 bits by far more than chance allows.
+    """
+    times = SIDES // SUMS
+    most, shift = 8 * np.sqrt(times * (sums.astype(float) ** 2).sum(1)), np.zeros(len(sums), np.int64)
+    while (big := most / 2.0**shift > 31_000).any():
         shift += big
-    x = ((sums >> shift[:, None]).astype(np.int16).T[:, :, None] * _SIGNS[:, None, :]).reshape(SIDES, -1)
+    x = (np.tile((sums >> shift[:, None]).astype(np.int16).T, (times, 1))[:, :, None] * _SIGNS[:, None, :]).reshape(SIDES, -1)
     step = 1
     while step < SIDES:
         y = x.reshape(-1, 2, step, x.shape[1])
@@ -195,7 +199,7 @@ def link_texts(marked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     texts = stage(drawn.repartition(shuffle_partitions(marked.sparkSession), "node"), "texts")  # many tasks open the keys
     rows = _rows(texts)
     shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "keys")
-    met = stage(rows.join(F.broadcast(shared) if shared.count() <= BROADCAST_KEYS else shared, "key"), "met")
+    met = stage(rows.join(shared, "key"), "met")
 
     score = met.groupBy("node").agg(F.sum("size").alias("score"))
     about = stage(texts.select("node", "ring", "sketch").join(score, "node"), "about")

@@ -98,7 +98,7 @@ def test_large_group_whose_members_are_only_like_one_text(spark):
 
 def test_digits_against_plain_sums():
     found = s.shingles(" ".join(f"w{k % 97}" for k in range(400)))
-    sums = np.zeros(s.SIDES, np.int64)
+    sums = np.zeros(s.SUMS, np.int64)
     for k, stream in enumerate(s._STREAMS):
         for h in found.view(np.uint64).tolist():
             m = h * int(stream) % 2**64
@@ -107,9 +107,11 @@ def test_digits_against_plain_sums():
             bits = [m >> (8 * (b // 8) + 7 - b % 8) & 1 for b in range(64)]
             sums[64 * k : 64 * k + 64] += 2 * np.array(bits) - 1
     assert (s.bit_sums(found) == sums).all()
-    turned = np.array([[(-1) ** bin(r & c).count("1") for c in range(s.SIDES)] for r in range(s.SIDES)])
+    turned = np.array([[1]])
+    while len(turned) < s.SIDES:
+        turned = np.block([[turned, turned], [turned, -turned]])
     for k, digit in enumerate(s.digits(sums[None])[0].tolist()):
-        y = turned @ (sums * s._SIGNS[:, k])
+        y = turned @ (np.tile(sums, s.SIDES // s.SUMS) * s._SIGNS[:, k])
         assert abs(y[digit // 2]) == abs(y).max() and (y[digit // 2] > 0) == digit % 2
     assert s.digits(np.array([sums, sums * 10**9]))[1].shape == (s.DIGITS,)
 
