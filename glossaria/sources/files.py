@@ -1,4 +1,4 @@
-"""Readers of ``<root>/<dataset>/cldf/<file>`` and of the registry.
+"""Readers of ``<root>/<dataset>/cldf/<file>`` and of the registry; a file may be a folder of part files, as Spark writes one.
 
 All paths go through Spark's readers, so a root may lie in any store that Spark reads. Every reader covers all
 datasets at once and adds ``Dataset``, the name of the directory.
@@ -20,12 +20,19 @@ from pyspark.sql import types as T
 from glossaria.schemas import FORMS_WORKING, JUDGMENT_COLUMNS, LANGUAGES, OPTIONAL_FILES, PARAMETERS, RELEASE_FILES, REPORT, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
+#: A file of a dataset, its dataset and its name, in the path of the file or of a part of it.
+_PLACE = r"^(.*?([^/]+)/cldf/([^/]+))(?:/[^/]+)?$"
 #: Columns that have a meaning somewhere, by their name in lower case.
 _KNOWN = {c.lower(): c for c in (*FORMS_WORKING, *LANGUAGES, *PARAMETERS, *JUDGMENT_COLUMNS, *(c for cols in REQUIRED_COLUMNS.values() for c in cols))}
 
 
 def dataset_of(path: Column) -> Column:
-    return F.url_decode(F.regexp_replace(F.regexp_extract(path, r"([^/]+)/cldf/[^/]+$", 1), r"\+", "%2B"))
+    return F.url_decode(F.regexp_replace(F.regexp_extract(path, _PLACE, 2), r"\+", "%2B"))
+
+
+def _file_of(path: Column) -> Column:
+    """The path of a dataset's file without the name of a part."""
+    return F.regexp_extract(path, _PLACE, 1)
 
 
 def _found(load, empty: str, spark: SparkSession) -> DataFrame:
@@ -41,7 +48,8 @@ def _found(load, empty: str, spark: SparkSession) -> DataFrame:
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """``Dataset``, ``file_name``, ``path``, ``length`` of every file of every dataset; contents are not read."""
     listed = _found(lambda: spark.read.format("binaryFile").load(f"{root}/*/cldf/*").select("path", "length"), "path string, length bigint", spark)
-    return listed.select(dataset_of(F.col("path")).alias("Dataset"), F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length")
+    held = listed.groupBy(_file_of(F.col("path")).alias("path")).agg(F.sum("length").alias("length"))
+    return held.select(dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"), "path", "length")
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
@@ -84,10 +92,10 @@ def survey(spark: SparkSession, root: str, datasets: Sequence[str] | None = None
 
 def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``Dataset``, ``file_name``, ``line`` of every file that is not empty."""
-    path = F.col("_metadata.file_path")
+    path = _file_of(F.col("_metadata.file_path"))
     lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", path.alias("path"), F.monotonically_increasing_id().alias("at"))
     first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    return first.select(dataset_of(F.col("path")).alias("Dataset"), F.element_at(F.split("path", "/"), -1).alias("file_name"), F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
+    return first.select(dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"), F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
 
 
 def read_text(spark: SparkSession, root: str, file_name: str, found: Survey | None = None) -> DataFrame:
@@ -161,7 +169,8 @@ def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> Data
     """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a missing key column, a descriptor that is no JSON object, a row with too many cells.
 
     Structural faults are found before the main plan, so that one bad dataset does not stop the others. Rows are only
-    read of datasets that have no other fault.
+    read of datasets that have no other fault. A file of no bytes counts as missing, for Spark doesn't list it; a directory
+    whose descriptor is missing is no dataset.
     """
     found = survey(spark, root) if found is None else found
     bad = [(d, n, "missing file") for d, held in found.paths.items() for n in REQUIRED_FILES if n not in held]

@@ -28,6 +28,7 @@ def root(tmp_path_factory):
     cldf.dataset(folder, "cased", forms="id,ID,Language_ID,Parameter_ID,value,_POS,dataset\nlow,1,L1,P1,other,7,own\n", **both)
     cldf.dataset(folder, "nameless", forms="ID,,Language_ID,Parameter_ID,Value,\n1,x,L1,P1,v,y\n", **both)
     cldf.dataset(folder, "blank", forms="", **both)
+    cldf.dataset(folder, "headless", forms="\n", **both)
     cldf.dataset(folder, "wide", forms="ID,Language_ID,Parameter_ID\n1,L1,P1,more\n", **both)
     for name, text in (("badjson", '{"dc:title": '), ("listed", "[1, 2]"), ("nothing", "")):
         cldf.dataset(folder, name, forms="ID,Language_ID,Parameter_ID\n1,L1,P1\n", **both)
@@ -45,8 +46,8 @@ def full(spark, root):
 
 def test_each_fault_is_a_row(spark, root):
     found = {(r["Dataset"], r["file_name"], r["reason"]) for r in files.rejects(spark, root).collect()}
-    broken = {(d, "cldf-metadata.json", "broken descriptor") for d in ("badjson", "listed", "nothing")}
-    assert found == broken | {("wide", "forms.csv", "too many cells")} | {("blank", "forms.csv", f"missing column {c}") for c in ("ID", "Language_ID", "Parameter_ID")}
+    broken = {(d, "cldf-metadata.json", "broken descriptor") for d in ("badjson", "listed")}
+    assert found == broken | {("wide", "forms.csv", "too many cells"), ("blank", "forms.csv", "missing file")} | {("headless", "forms.csv", f"missing column {c}") for c in ("ID", "Language_ID", "Parameter_ID")}
 
 
 def test_all_others_are_built(full):
