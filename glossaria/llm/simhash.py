@@ -123,12 +123,13 @@ def link_groups(fps: DataFrame) -> DataFrame:
     placed = fps.join(drawn, "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"), F.coalesce("size", F.lit(1)).alias("size"))
     parts = stage(placed.repartition(shuffle_partitions(fps.sparkSession), "fp"), "parts")  # many tasks open the keys
 
-    # Keys are found by aggregation and joined to plain scans, so that a key of many fingerprints can be split.
-    rows = _rows(parts)
-    keys = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max("own").alias("any"))
-    met = stage(rows.join(stage(keys.where("low <> high and any").select("key"), "keys"), "key"), "meeting")
-    main = met.groupBy("key").agg(F.max_by("part", "size").alias("main"))
-    met = stage(met.join(stage(main, "main"), "key").select("key", "fp", "part", "own", (F.col("part") == F.col("main")).alias("main")), "met")
+    # One shuffle of all keys; a window spills where many fingerprints share one, and the joins below are of plain scans.
+    per = Window.partitionBy("key")
+    met = _rows(parts).select(
+        "key", "fp", "part", "own", F.min("part").over(per).alias("low"), F.max("part").over(per).alias("high"),
+        F.max("own").over(per).alias("any"), F.max(F.struct("size", "part")).over(per)["part"].alias("main"),
+    )
+    met = stage(met.where("low <> high and any").select("key", "fp", "part", "own", (F.col("part") == F.col("main")).alias("main")), "met")
     right = met.select(F.col("key").alias("key2"), F.col("fp").alias("fp2"), F.col("part").alias("part2"), F.col("main").alias("main2"))
     apart = (F.col("key") == F.col("key2")) & (F.col("part") != F.col("part2")) & _close(F.col("fp"), F.col("fp2"), F.col("key"))
     few = met.where("own and not main").join(right, apart)

@@ -4,6 +4,7 @@ import os
 import corpus_pipeline as c
 from glossaria.llm import line_dedup, quality_rules, simhash
 from glossaria.llm.common import stage
+from glossaria.sources import staging
 from tests.conftest import SMALL
 
 from .odd import documents
@@ -27,7 +28,10 @@ def test_stages_against_brute_force(spark):
     group = groups([r["text"] for r in rows], lambda i, j: meet(ring[i], ring[j]))
     single = stage(c.near_dedup(spark, lined, SMALL), "t3")
     assert {r["doc_id"] for r in single.collect()} == {rows[g]["doc_id"] for g in set(group)} and single.columns == docs.columns
+    before = staging.staged(spark)
     assert {r["doc_id"] for r in c.run(spark, SMALL).collect()} == {r["doc_id"] for r in single.collect()}
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in staging.staged(spark) if p not in before}
+    assert left <= {"simhash_near_dedup", "pieces"}  # what the last stage reads; the rest is deleted on the way
 
 
 def test_odd_documents_pass_all_stages(spark):
