@@ -7,6 +7,8 @@ table is a folder of part files, written by Spark; the rows of a key stand in on
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from glossaria.operators import bibliography, release
 from glossaria.plans import corpus
 from glossaria.schemas import RELEASE_FILES
 from glossaria.sources import files
-from glossaria.sources.staging import fresh_path
+from glossaria.sources.staging import fresh_path, stage
 
 C = F.col
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate")
@@ -48,11 +50,12 @@ def write_datasets(spark: SparkSession, sf_dir: str) -> str:
     )
     languages = placed.select("ds", C("c_custkey").alias("ID"), C("c_name").alias("Name"), C("c_mktsegment").alias("Glottocode"), C("n_name").alias("Glottolog_Name"), C("c_acctbal").alias("Latitude"), F.when(C("c_custkey") % 2 == 0, "abc").otherwise("12").alias("Longitude"))
     parameters = t("orders").select(C("o_orderpriority").alias("ID")).distinct().select("ID", C("ID").alias("Name"), F.substring("ID", 1, 1).alias("Concepticon_ID"), F.when(C("ID") != "5-LOW", F.substring("ID", 3, 99)).alias("Concepticon_Gloss"))
-    judged = t("lineitem").join(orders.select("o_orderkey", "ds"), C("l_orderkey") == C("o_orderkey")).repartition("ds", "l_orderkey").sortWithinPartitions("ds", "l_orderkey", *LINE_ORDER)
-    judged = judged.select(
+    judged = t("lineitem").join(orders.select("o_orderkey", "ds"), C("l_orderkey") == C("o_orderkey")).select(
+        *LINE_ORDER,
         "ds", C("l_orderkey").alias("Form_ID"), F.concat("l_returnflag", C("l_linenumber").cast("string")).alias("Cognateset_ID"), F.nullif("l_linestatus", F.lit("F")).alias("Alignment"),
         F.when(C("l_returnflag") == "R", "true").when(C("l_returnflag") == "A", "false").otherwise("").alias("Doubt"), F.lit("K1").alias("Source"),
     )
+    forms, languages, parameters, judged = (stage(df, "demo") for df in (forms, languages, parameters, judged))  # joined once for all datasets
     region = t("region").select(F.replace(F.lower("r_name"), F.lit(" "), F.lit("")).alias("ds"), "r_regionkey")
     for ds in [*FORMS, *FAULTY]:
         own = C("ds") == FAULTY.get(ds, ds)
@@ -62,7 +65,8 @@ def write_datasets(spark: SparkSession, sf_dir: str) -> str:
         _csv(languages.where(own).drop("ds"), f"{to}/languages.csv")
         _csv(parameters, f"{to}/parameters.csv")
         if ds != WITHOUT_JUDGMENTS:
-            _csv(judged.where(own).drop("ds"), f"{to}/cognates.csv")
+            in_order = judged.where(own).repartition("Form_ID").sortWithinPartitions("Form_ID", *LINE_ORDER)
+            _csv(in_order.drop("ds", *LINE_ORDER), f"{to}/cognates.csv")
         table = lambda kind, n: F.struct(F.lit(f"http://x.org/terms#{kind}Table").alias("dc:conformsTo"), n.cast("long").alias("dc:extent"))
         made = lambda title, v: F.struct(F.lit(title).alias("dc:title"), F.concat(F.lit("v"), v.cast("string")).alias("dc:created"))
         described = F.to_json(
@@ -141,41 +145,33 @@ regions AS (SELECT collection, replace(lower(r_name), ' ', '') AS ds, r_regionke
 SELECT r.collection, count(DISTINCT r.ds) AS datasets_count, count(*) AS forms_count, (SELECT count(*) FROM placed p JOIN regions x USING (ds) WHERE x.collection = r.collection) AS languages_count,
   count(DISTINCT r.ds) FILTER (r.ds <> '{WITHOUT_JUDGMENTS}') AS cognates_datasets, round_even(100 * count(Cognacy) / count(*), 2) AS cognate_coverage, round_even(100 * count(Alignment) / count(*), 2) AS alignment_coverage,
   CASE WHEN min(r_regionkey % 2) = max(r_regionkey % 2) THEN concat('v', min(r_regionkey % 2)) ELSE 'v0-v1' END AS glottolog_versions, 'unknown' AS clts_versions, CAST(0 AS BIGINT) AS orphan_languages,
-  CAST(2 * (SELECT count(DISTINCT concat(ds, c_custkey % 7)) FROM placed p JOIN regions x USING (ds) WHERE x.collection = r.collection) AS BIGINT) AS sources_entries
+  CAST(2 * (SELECT count(DISTINCT concat(ds, c_custkey % 7)) FROM placed p JOIN regions x USING (ds) WHERE x.collection = r.collection) AS BIGINT) AS sources_entries,
+  CASE r.collection WHEN 'core' THEN 'forms_csv;languages_csv;metadata_csv;parameters_csv;sources_bib;validation_report_json' END AS released,
+  CASE r.collection WHEN 'core' THEN 'corpus.A.core.20240101.zip' END AS archive_name, CAST(CASE r.collection WHEN 'core' THEN 1 ELSE 0 END AS BIGINT) AS missing
 FROM forms f JOIN regions r ON r.ds = f.Dataset GROUP BY r.collection
 """)
 def built_release(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Release figures of each collection, from the reports and bibliographies that a build and an export wrote."""
+    """Figures of each collection, from the reports and bibliographies that a build wrote, and what the ledger has of the core collection, which is exported.
+
+    It is in the ledger from an earlier release and is replaced; one file that is asked of it is missing.
+    """
     root = write_datasets(spark, sf_dir)
     target = fresh_path(spark, "collections")
-    rows = []
-    for name, built in corpus.build_corpus(spark, root, f"{root}-registry.csv", target).items():
-        corpus.export(built, f"{target}/{name}/export")
-        report = files.read_report(spark, f"{target}/{name}/export/validation_report.json")
-        text = spark.read.text(f"{target}/{name}/export/sources.bib")
-        rows.append(release.report_statistics(report, bibliography.entry_counts(text)).withColumn("collection", F.lit(name)))
-    out = rows[0].union(rows[1]).union(rows[2])
-    return out.select("collection", "datasets_count", "forms_count", "languages_count", "cognates_datasets", "cognate_coverage", "alignment_coverage", "glottolog_versions", "clts_versions", "orphan_languages", "sources_entries")
-
-
-@query("""
-SELECT c AS collection, f AS file_name, replace(f, '.', '_') AS file_key, concat('corpus.A.', c, '.20240101.zip') AS archive_name, true AS hashed, true AS sized, c = 'core' AS was_released
-FROM (VALUES ('full'), ('core'), ('corecog')) AS x(c), (VALUES ('forms.csv'), ('languages.csv'), ('parameters.csv'), ('metadata.csv'), ('sources.bib'), ('validation_report.json')) AS y(f)
-""")
-def built_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger after a release of what was exported, with the core collection released once more; a release with a missing file doesn't get so far."""
-    target = fresh_path(spark, "exports")
-    root = write_datasets(spark, sf_dir)
-    listed = []
-    for name, built in corpus.build_corpus(spark, root, f"{root}-registry.csv", f"{target}/tables").items():
-        corpus.export(built, f"{target}/{name}")
-        listed.append(files.release_files(spark, f"{target}/{name}").withColumn("collection", F.lit(name)))
-    found = listed[0].union(listed[1]).union(listed[2])
-    needed = spark.createDataFrame([(c, n) for c in ("full", "core", "corecog") for n in RELEASE_FILES], "collection string, file_name string")
-    missing = release.gate(needed, found, ["collection", "file_name"])
+    built = corpus.build_corpus(spark, root, f"{root}-registry.csv", target)
+    told = []
+    for name, tables in built.items():
+        report = files.read_report(spark, f"{target}/{name}/report")
+        told.append(release.report_statistics(report, bibliography.entry_counts(tables.bibliography, "text")).withColumn("collection", F.lit(name)))
+    corpus.export(built["core"], f"{target}/export")
+    found = files.release_files(spark, f"{target}/export").withColumn("collection", F.lit("core"))
+    needed = spark.createDataFrame([("core", n) for n in (*RELEASE_FILES, "extra.csv")], "collection string, file_name string")
+    missing = release.gate(needed, found, ["collection", "file_name"]).groupBy("collection").agg(F.count(F.lit(1)).alias("missing"))
     rows = release.manifest(found, "A.20240101", expected=RELEASE_FILES)
-    before = rows.where("collection = 'core'").withColumn("released", F.lit(True))
-    ledger = release.ledger_upsert(before.drop("released"), rows, force=True)
-    again = before.select("version", "collection", "file_name", "released")
-    out = ledger.join(again, ["version", "collection", "file_name"], "left").join(missing.select(F.col("collection").alias("__lacks")).distinct(), F.col("collection") == F.col("__lacks"), "left_anti")
-    return out.select("collection", "file_name", "file_key", "archive_name", (F.length("sha256") == 64).alias("hashed"), (F.col("size") > 0).alias("sized"), F.coalesce("released", F.lit(False)).alias("was_released"))
+    before = rows.where("collection = 'core'").withColumn("sha256", F.lit("of an earlier release"))
+    ledger = release.ledger_upsert(before, rows, force=True).where((F.length("sha256") == 64) & (F.col("size") > 0))
+    held = ledger.groupBy("collection").agg(F.array_join(F.array_sort(F.collect_list("file_key")), ";").alias("released"), F.max("archive_name").alias("archive_name"))
+    out = reduce(DataFrame.union, told).join(held, "collection", "left").join(missing, "collection", "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
+    return out.select(
+        "collection", "datasets_count", "forms_count", "languages_count", "cognates_datasets", "cognate_coverage", "alignment_coverage", "glottolog_versions", "clts_versions", "orphan_languages", "sources_entries",
+        "released", "archive_name", "missing",
+    )
