@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from glossaria.operators import bibliography, normalize, release
 from glossaria.plans import corpus
 from glossaria.schemas import RELEASE_FILES
-from glossaria.sources import files, sinks
+from glossaria.sources import files, sinks, staging
 from glossaria.sources.staging import stage
 from glossaria.streaming import ingest
 
@@ -136,6 +136,15 @@ def test_places_follow_the_order(spark):
     assert corpus.numbered(df.limit(0), ["k"]).count() == 0
 
 
+def test_staged_folders_are_listed_and_deleted(spark):
+    before = staging.staged(spark)
+    df = stage(spark.range(3), "mine")
+    made = [p for p in staging.staged(spark) if p not in before]
+    assert len(made) == 1 and df.count() == 3
+    staging.delete(spark, [*made, f"{made[0]}-never-made"])
+    assert staging.staged(spark) == before and not os.path.exists(made[0])
+
+
 def test_late_rows_stay_out_of_a_stream(spark, tmp_path):
     schema = "ts timestamp, kind string, value int"
     for k, rows in enumerate(([("2024-01-10 00:00:00", "a", 1)], [("2024-01-01 00:00:00", "a", 1), ("2024-01-09 12:00:00", "a", None)], [("2024-01-20 00:00:00", "a", 1)])):
