@@ -57,19 +57,19 @@ def _laid(views: DataFrame, instructors: Sequence[str]) -> DataFrame:
 
     tail = F.lit(CLOSE + "\n")
     drawn = F.transform("said", lambda m: F.struct(head(m).alias("head"), F.concat(m["text"], tail).alias("body"), F.coalesce(m["role"] == F.col("speaker"), F.lit(False)).alias("own")))
-    sizes = F.aggregate(
-        F.transform("drawn", lambda p: (F.length(p["head"]) + F.length(p["body"])).cast("long")), F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
-    )
-
-    def message(p: Column, k: Column) -> Column:
-        start = F.get(F.col("starts"), k)
-        mask = start + F.length(p["head"])
-        return F.struct(
-            k.cast("long").alias("number"), start.alias("start"), F.concat(p["head"], p["body"]).alias("rendered"),
-            F.when(p["own"], mask).alias("mask_start"), F.when(p["own"], mask + F.length(p["body"]) - 1).alias("mask_end"),  # without the newline after the mark
+    none = F.array().cast("array<struct<number:bigint,start:bigint,rendered:string,mask_start:bigint,mask_end:bigint>>")
+
+    def step(acc: Column, p: Column) -> Column:
+        mask = acc["chars"] + F.length(p["head"])
+        end = mask + F.length(p["body"])
+        message = F.struct(
+            F.size(acc["messages"]).cast("long").alias("number"), acc["chars"].alias("start"), F.concat(p["head"], p["body"]).alias("rendered"),
+            F.when(p["own"], mask).alias("mask_start"), F.when(p["own"], end - 1).alias("mask_end"),  # without the newline after the mark
         )
+        return F.struct(end.cast("long").alias("chars"), F.concat(acc["messages"], F.array(message)).alias("messages"))
 
-    return views.withColumn("drawn", drawn).withColumn("starts", sizes).withColumn("messages", F.transform("drawn", message)).withColumn("chars", F.element_at("starts", -1)).drop("said", "drawn", "starts")
+    made = F.aggregate(drawn, F.struct(F.lit(0).cast("long").alias("chars"), none.alias("messages")), step)
+    return views.withColumn("made", made).select(*(c for c in views.columns if c != "said"), "made.messages", "made.chars")
 
 
 def _moved(messages: Column, numbers: Column, places: Column) -> Column:
