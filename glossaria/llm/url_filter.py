@@ -33,7 +33,7 @@ RULES = (
 )
 
 #: First hex digits of the MD5 of the contents that are on the list of the production query.
-LISTED_CONTENTS = ("0", "1")
+LISTED_CONTENTS = ("0", "1", "2", "3")
 
 
 def host_of(url: Column) -> Column:
@@ -120,7 +120,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
 
 
 def listed_pages(pages: DataFrame) -> DataFrame:
-    """The production list, as it might be handed in from elsewhere: URLs of reported contents, one in eight of all, each under another spelling.
+    """The production list, as it might be handed in from elsewhere: URLs of reported contents, one in four of all, each under another spelling.
 
     Hosts are mixed, so only the URL itself tells whether a page is listed.
     """
@@ -151,7 +151,7 @@ canonical AS (
       CASE WHEN len(kept) > 0 THEN concat('?', array_to_string(kept, '&')) ELSE '' END) END AS canon
   FROM parts),
 listed AS (
-  SELECT DISTINCT canon FROM canonical WHERE canon IS NOT NULL AND content IN ('0', '1')),
+  SELECT DISTINCT canon FROM canonical WHERE canon IS NOT NULL AND content IN ('0', '1', '2', '3')),
 rules(r_host, r_path, said) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 fits AS (

@@ -49,7 +49,7 @@ def test_filter_never_misses_and_join_removes_false_hits(spark):
 
 def test_production_list_needs_the_urls_themselves(spark):
     """Listed and other pages share their hosts, the filter lets some of the others through, and the join holds them back."""
-    pages = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/pages.parquet").select("page_id", "url", "html")
+    pages = spark.read.parquet(f"{SMALL.replace('0.001', '0.1')}/pages.parquet").select("page_id", "url", "html")
     judged = u.filter_urls(pages, u.listed_pages(pages)).where("rule is null").toPandas()
     listed = {r["canon"] for r in u.listed_pages(pages).collect()}
     assert (judged["verdict"] == "block").tolist() == [c in listed for c in judged["canon"]]
