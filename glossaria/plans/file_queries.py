@@ -8,6 +8,7 @@ table is a folder of part files, written by Spark; the rows of a key stand in on
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ FORMS = {
     "middleeast": ("ID", "Language_ID", "Parameter_ID", "Value", "Loan", "Source"),
 }
 WITHOUT_JUDGMENTS = "middleeast"
+#: Datasets that are written at once.
+WRITERS = 4
 #: A dataset whose forms lack a key column, and one whose descriptor is broken.
 FAULTY = {"lacking": "africa", "broken": "asia"}
 
@@ -57,7 +60,8 @@ def write_datasets(spark: SparkSession, sf_dir: str) -> str:
     )
     forms, languages, parameters, judged = (stage(df, "demo") for df in (forms, languages, parameters, judged))  # joined once for all datasets
     region = t("region").select(F.replace(F.lower("r_name"), F.lit(" "), F.lit("")).alias("ds"), "r_regionkey")
-    for ds in [*FORMS, *FAULTY]:
+
+    def write(ds: str) -> None:
         own = C("ds") == FAULTY.get(ds, ds)
         to = f"{root}/{ds}/cldf"
         columns = FORMS.get(ds) or ("ID", "Language_ID") + ("Parameter_ID",) * (ds != "lacking")
@@ -78,6 +82,9 @@ def write_datasets(spark: SparkSession, sf_dir: str) -> str:
         region.where(own).select(described if ds != "broken" else F.substring(described, 1, 40)).coalesce(1).write.text(f"{to}/cldf-metadata.json")
         entries = languages.where(own).select((C("ID") % 7).alias("k")).distinct().select(F.concat(F.lit("@misc{K"), C("k").cast("string"), F.lit(",\n note={a@b.c}}\n")).alias("value"))
         entries.coalesce(1).write.text(f"{to}/sources.bib")
+
+    with ThreadPool(WRITERS) as pool:  # small jobs, run side by side
+        pool.map(write, [*FORMS, *FAULTY])
     listed = region.select(C("ds").alias("NAME"), F.lit("https://x.org").alias("URL"), F.when(C("r_regionkey") % 2 == 0, "TRUE").alias("CoreCog"), F.when(C("r_regionkey") < 2, "TRUE").alias("CORE"))
     _csv(listed, f"{root}-registry.csv")
     return root
