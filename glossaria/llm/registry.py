@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from glossaria.llm import byte_bpe, chat_format, lexical_search, line_dedup, mixture_packing, packing, quality_rules, revisits, sharding, simhash, url_filter, webp
+from glossaria.llm import byte_bpe, chat_format, lexical_search, line_dedup, mixture_packing, packing, quality_rules, revisits, sharding, simhash, token_alignment, url_filter, webp
 
-MODULES = (url_filter, quality_rules, chat_format, sharding, revisits, line_dedup, packing, byte_bpe, simhash, webp, mixture_packing, lexical_search)
+MODULES = (url_filter, quality_rules, chat_format, sharding, revisits, line_dedup, packing, byte_bpe, simhash, webp, token_alignment, mixture_packing, lexical_search)
 
 
 def queries() -> dict:
