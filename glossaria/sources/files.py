@@ -1,16 +1,20 @@
 """Readers of ``<root>/<dataset>/cldf/<file>`` and of the registry; a file may be a folder of part files, as Spark writes one.
 
-All paths go through Spark's readers, so a root may lie in any store that Spark reads. Every reader covers all
-datasets at once and adds ``Dataset``, the name of the directory.
+All paths go through Spark's readers and Hadoop's file systems, so a root may lie in any store that Spark reads. Every
+reader covers all datasets at once and adds ``Dataset``, the name of the directory. Parts of a file are in the order of the
+first number in their names and then of the names; each is read by its own header.
 """
 
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +24,10 @@ from pyspark.sql import types as T
 from glossaria.schemas import FORMS_WORKING, JUDGMENT_COLUMNS, LANGUAGES, OPTIONAL_FILES, PARAMETERS, RELEASE_FILES, REPORT, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
+#: Where a row stands in a file: the number and name of its part, the start of the block read, and an ascending number in it.
+POSITION_TYPE = "struct<number:bigint,part:string,block:bigint,row:bigint>"
+#: Bytes at the start of a table that its header line must fit into, and tables whose headers are read at once.
+HEADER_BYTES, HEADERS_TOGETHER = 1 << 16, 16
 #: A file of a dataset, its dataset and its name, in the path of the file or of a part of it.
 _PLACE = r"^(.*?([^/]+)/cldf/([^/]+))(?:/[^/]+)?$"
 #: Columns that have a meaning somewhere, by their name in lower case.
@@ -59,43 +67,71 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
 
 @dataclass
 class Survey:
-    """What lies under a root, as found by one listing and one reading of header lines: a few lines for each dataset, on the driver."""
+    """What lies under a root, as found by one listing and the first bytes of each table: a few lines for each part of a file, on the driver."""
 
     root: str
     #: Path of each file by its dataset and name; datasets without a descriptor are not in it.
     paths: dict[str, dict[str, str]]
-    #: Columns of each CSV file by its dataset and name, as its header spells them.
+    #: Columns of each CSV file by its dataset and name, as its header spells them: those of all parts, in the order of parts.
     headers: dict[tuple[str, str], list[str]]
+    #: The header of each part of a CSV file, by the file's dataset and name and the part's path. Parts of no bytes are not in it.
+    parts: dict[tuple[str, str], dict[str, list[str]]] = field(default_factory=dict)
 
     def of(self, file_name: str) -> dict[str, str]:
         """Path of this file by dataset."""
         return {d: held[file_name] for d, held in sorted(self.paths.items()) if file_name in held}
 
     def without(self, datasets: set[str]) -> Survey:
-        return Survey(self.root, {d: p for d, p in self.paths.items() if d not in datasets}, self.headers)
+        return Survey(self.root, {d: p for d, p in self.paths.items() if d not in datasets}, self.headers, self.parts)
+
+
+def part_order(path: str) -> tuple[int, str]:
+    """The place of a part among the parts of its file."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    number = int(found[0]) if (found := re.search("[0-9]+", name)) else -1
+    return number if number < 1 << 63 else -1, name
+
+
+def _part_order(name: Column) -> list[Column]:
+    """The same of a column of names."""
+    return [F.coalesce(F.regexp_extract(name, "[0-9]+", 0).try_cast("long"), F.lit(-1).cast("long")).alias("number"), name.alias("part")]
 
 
 def survey(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> Survey:
-    """The files of all datasets (or those named) and the header of each table. Of a file larger than a block only the first is looked at."""
-    listed = file_inventory(spark, root).where(F.col("file_name").isin(*REQUIRED_FILES, *OPTIONAL_FILES))
+    """The files of all datasets (or those named) and the header of each table. Of the tables only their first bytes are read."""
+    listed = _found(lambda: spark.read.format("binaryFile").load(f"{root}/*/cldf/*").select("path"), "path string", spark)
+    told = listed.select("path", _file_of(F.col("path")).alias("file"), dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"))
+    told = told.where(F.col("file_name").isin(*REQUIRED_FILES, *OPTIONAL_FILES))
     if datasets is not None:
-        listed = listed.where(F.col("Dataset").isin(list(datasets)))
+        told = told.where(F.col("Dataset").isin(list(datasets)))
     paths: dict[str, dict[str, str]] = defaultdict(dict)
-    for r in listed.select("Dataset", "file_name", "path").collect():
-        paths[r["Dataset"]][r["file_name"]] = r["path"]
-    paths = {d: held for d, held in paths.items() if REQUIRED_FILES[0] in held}
-    tables = [p for held in paths.values() for name, p in held.items() if name in REQUIRED_COLUMNS]
-    found = {(r["Dataset"], r["file_name"]): header_columns(r["line"]) for r in _first_lines(spark, tables).collect()} if tables else {}
-    headers = {(d, n): found.get((d, n), []) for d, held in paths.items() for n in held if n in REQUIRED_COLUMNS}
-    return Survey(root, paths, headers)
-
-
-def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``Dataset``, ``file_name``, ``line`` of every file that is not empty."""
-    path = _file_of(F.col("_metadata.file_path"))
-    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", path.alias("path"), F.monotonically_increasing_id().alias("at"))
-    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    return first.select(dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"), F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
+    held: dict[tuple[str, str], list[str]] = defaultdict(list)
+    for r in told.collect():  # names of files
+        paths[r["Dataset"]][r["file_name"]] = r["file"]
+        held[r["Dataset"], r["file_name"]].append(r["path"])
+    paths = {d: files for d, files in paths.items() if REQUIRED_FILES[0] in files}
+    tables = {k: sorted(held[k], key=part_order) for k in sorted(held) if k[0] in paths and k[1] in REQUIRED_COLUMNS}
+    flat = [p for parts in tables.values() for p in parts]
+    with ThreadPool(HEADERS_TOGETHER) as pool:
+        found = dict(zip(flat, pool.map(lambda p: header_columns(_first_bytes(spark, p)), flat), strict=True))
+    parts = {k: {p: found[p] for p in own if found[p]} for k, own in tables.items()}
+    headers = {k: list(dict.fromkeys(c for columns in _numbered(own.values()) for c in columns)) for k, own in parts.items()}
+    return Survey(root, paths, {k: [c for c, _ in columns] for k, columns in headers.items()}, parts)
+
+
+def _numbered(headers) -> list[list[tuple[str, int]]]:
+    """Columns of headers, each with how often the header had it before, so that repeated names of one header stay."""
+    return [[(c, header[:k].count(c)) for k, c in enumerate(header)] for header in headers]
+
+
+def _first_bytes(spark: SparkSession, path: str) -> str:
+    """The start of a file as text, with its header line."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return bytes(stream.readNBytes(HEADER_BYTES)).decode("utf-8-sig", "replace")
+    finally:
+        stream.close()
 
 
 def read_text(spark: SparkSession, root: str, file_name: str, found: Survey | None = None) -> DataFrame:
@@ -111,8 +147,9 @@ def read_descriptors(spark: SparkSession, root: str, found: Survey | None = None
     return read_text(spark, root, REQUIRED_FILES[0], found)
 
 
-def header_columns(line: str) -> list[str]:
-    return next(csv.reader([line]), [])
+def header_columns(text: str) -> list[str]:
+    """The columns of the first line that is not empty."""
+    return next((row for row in csv.reader(io.StringIO(text, newline="")) if row), [])
 
 
 def column_names(header: list[str]) -> list[str]:
@@ -135,38 +172,41 @@ def column_names(header: list[str]) -> list[str]:
 
 
 def read_table(spark: SparkSession, root: str, file_name: str, datasets: list[str] | None = None, found: Survey | None = None) -> DataFrame:
-    """A CSV table of all datasets (or those of ``found``), each file read by its own header.
+    """A CSV table of all datasets (or those of ``found``), each part of each file read by its own header.
 
-    Files are grouped by header line and each group gets a reader of its own, for Spark's reader binds the columns of
+    Parts are grouped by header line and each group gets a reader of its own, for Spark's reader binds the columns of
     several files by position. Only header lines and paths reach the driver. All cells are strings, ``NA`` is text, an
     empty cell is null; columns are named by :func:`column_names`. Adds ``Dataset`` (a column of that name is left out of
-    account), ``_pos`` (orders the rows of a file as in the file), ``_header`` (the file's columns; null-ness of a cell
-    doesn't tell if its column is there) and ``_extra`` (what stands beyond the last column). No such file at all gives an
-    empty table of these four.
+    account), ``_pos`` (orders the rows of a file as in the file, part after part), ``_header`` (the columns of the file: a
+    column that only some parts have counts as one of the file's, and as empty in the others; null-ness of a cell doesn't
+    tell if its column is there) and ``_extra`` (what stands beyond the last column). No such file at all gives an empty
+    table of these four.
     """
     found = survey(spark, root, datasets) if found is None else found
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for dataset, path in found.of(file_name).items():
-        groups[tuple(found.headers[dataset, file_name])].append(path)
-    parts = [_read_alike(spark, list(header), sorted(paths)) for header, paths in sorted(groups.items())]
+    groups: dict[tuple[tuple[str, ...], tuple[str, ...]], list[str]] = defaultdict(list)
+    for dataset in found.of(file_name):
+        for path, header in found.parts[dataset, file_name].items():
+            groups[tuple(header), tuple(found.headers[dataset, file_name])].append(path)
+    parts = [_read_alike(spark, list(header), list(whole), sorted(paths)) for (header, whole), paths in sorted(groups.items())]
     if not parts:
-        return spark.createDataFrame([], f"Dataset string, {POSITION} bigint, {HEADER} array<string>, {EXTRA} string")
+        return spark.createDataFrame([], f"Dataset string, {POSITION} {POSITION_TYPE}, {HEADER} array<string>, {EXTRA} string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _read_alike(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
+def _read_alike(spark: SparkSession, header: list[str], whole: list[str], paths: list[str]) -> DataFrame:
     names = column_names(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, EXTRA]])
     reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE", enforceSchema=True)
-    rows = reader.csv(paths)
-    return rows.select("*", dataset_of(F.col("_metadata.file_path")).alias("Dataset"), F.monotonically_increasing_id().alias(POSITION), F.array(*map(F.lit, header)).cast("array<string>").alias(HEADER))
+    rows, place = reader.csv(paths), F.col("_metadata.file_path")
+    position = F.struct(*_part_order(F.col("_metadata.file_name")), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", dataset_of(place).alias("Dataset"), position.cast(POSITION_TYPE).alias(POSITION), F.array(*map(F.lit, whole)).cast("array<string>").alias(HEADER))
 
 
 _REJECTS = "Dataset string, file_name string, reason string"
 
 
 def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> DataFrame:
-    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a missing key column, a descriptor that is no JSON object, a row with too many cells.
+    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a key column that a part of a file lacks, a descriptor that is no JSON object, a row with too many cells.
 
     Structural faults are found before the main plan, so that one bad dataset does not stop the others. Rows are only
     read of datasets that have no other fault. A file of no bytes counts as missing, for Spark doesn't list it; a directory
@@ -174,7 +214,9 @@ def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> Data
     """
     found = survey(spark, root) if found is None else found
     bad = [(d, n, "missing file") for d, held in found.paths.items() for n in REQUIRED_FILES if n not in held]
-    bad += [(d, n, f"missing column {c}") for (d, n), header in found.headers.items() if d in found.paths for c in REQUIRED_COLUMNS[n] if c not in header]
+    for (d, n), parts in found.parts.items():
+        if d in found.paths:
+            bad += [(d, n, f"missing column {c}") for c in REQUIRED_COLUMNS[n] if not parts or any(c not in header for header in parts.values())]
     told = read_descriptors(spark, root, found)
     broken = told.where(F.try_parse_json("value").isNull() | ~F.col("value").rlike(r"^\s*\{")).select("Dataset").collect()  # names of directories
     bad += [(r["Dataset"], REQUIRED_FILES[0], "broken descriptor") for r in broken]

@@ -54,6 +54,51 @@ def test_files_are_read_by_their_own_header(spark, root):
     assert rows["1"]["_header"] == ["Form", "Loan", "ID", "Extra", "Parameter_ID", "Language_ID", "Value"]
 
 
+def _folder(root, ds, name, parts):
+    """A table as a folder of parts."""
+    os.makedirs(f"{root}/{ds}/cldf/{name}")
+    for part, text in parts.items():
+        open(f"{root}/{ds}/cldf/{name}/{part}", "w").write(text)
+
+
+@pytest.mark.parametrize("most", ["128m", "4k"])
+def test_judgments_of_many_parts_are_in_the_order_of_parts(spark, tmp_path, most):
+    """Parts of any sizes, in blocks of any size; Spark reads the largest first."""
+    cldf.dataset(tmp_path, "ds", forms="ID,Language_ID,Parameter_ID\nf1,L1,P1\nf2,L1,P1\n", languages=cldf.LANGUAGES, parameters=cldf.PARAMETERS)
+    filler = "".join(f"x{i},c{i},\n" for i in range(2000))
+    parts = {"part-00000.csv": "f1,first,\nf2,a,\n", "part-00001.csv": "f1,second,\n" + filler + "f2,b,b2\nf2,c,\n", "part-00002.csv": "f1,third,x\nf2,d,d4\n", "part-100000.csv": "f1,last,y\n", "part-99999.csv": "f1,last but one,\n"}
+    _folder(tmp_path, "ds", "cognates.csv", {k: "Form_ID,Cognateset_ID,Alignment\n" + v for k, v in parts.items()})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    try:
+        rows = {r["ID"]: (r["Cognacy"], r["Alignment"]) for r in corpus.process(spark, str(tmp_path)).forms.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == {"ds_f1": ("ds_first;ds_second;ds_third;ds_last but one;ds_last", "x"), "ds_f2": ("ds_a;ds_b;ds_c;ds_d", "b2")}
+
+
+def test_parts_are_read_by_their_own_header(spark, tmp_path):
+    """Columns in another order, and a column that only one part has: it is the file's, empty in the others."""
+    cldf.dataset(tmp_path, "ds", languages="ID,Glottocode\nL1,aaaa1111\n", parameters=cldf.PARAMETERS)
+    _folder(tmp_path, "ds", "forms.csv", {"part-0.csv": "ID,Language_ID,Parameter_ID,Value,Form\n1,L1,P1,VAL,FORM\n", "part-1.csv": "ID,Language_ID,Parameter_ID,Form,Value,Glottocode\n2,L1,P1,FORM,VAL,own0001\n", "part-2.csv": ""})
+    assert files.rejects(spark, str(tmp_path)).count() == 0
+    raw = files.read_table(spark, str(tmp_path), "forms.csv")
+    assert {tuple(r["_header"]) for r in raw.collect()} == {("ID", "Language_ID", "Parameter_ID", "Value", "Form", "Glottocode")}
+    rows = {r["ID"]: r for r in corpus.process(spark, str(tmp_path)).forms.collect()}
+    assert [(rows[k]["Value"], rows[k]["Form"], rows[k]["Glottocode"]) for k in ("ds_1", "ds_2")] == [("VAL", "FORM", None), ("VAL", "FORM", "own0001")]
+    flags = normalize.column_flags(raw, ["Glottocode", "Alignment"]).select("has_Glottocode", "has_Alignment").distinct().collect()
+    assert [tuple(r) for r in flags] == [(True, False)]
+    _folder(tmp_path, "lacks", "forms.csv", {"part-0.csv": "ID,Language_ID,Parameter_ID\n1,L1,P1\n", "part-1.csv": "ID,Language_ID\n2,L1\n"})
+    for name in ("cldf-metadata.json", "languages.csv", "parameters.csv"):
+        os.symlink(f"{tmp_path}/ds/cldf/{name}", f"{tmp_path}/lacks/cldf/{name}")
+    assert {tuple(r) for r in files.rejects(spark, str(tmp_path)).collect()} == {("lacks", "forms.csv", "missing column Parameter_ID")}
+
+
+def test_headers_take_the_first_bytes_only(spark, tmp_path):
+    cldf.dataset(tmp_path, "ds", forms="\ufeff\n\"ID\",\"a\nb\",Language_ID,Parameter_ID,a,a\n" + "1,x,L1,P1,2,3\n" * 20_000, languages=cldf.LANGUAGES, parameters=cldf.PARAMETERS)
+    assert files.survey(spark, str(tmp_path)).headers["ds", "forms.csv"] == ["ID", "a\nb", "Language_ID", "Parameter_ID", "a", "a"]
+
+
 def test_forms_have_the_working_columns(full, forms):
     assert tuple(full.forms.columns) == FORMS_WORKING and tuple(full.written_forms().columns) == FORMS_WRITTEN
     assert len(forms) == 15
