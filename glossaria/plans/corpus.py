@@ -95,7 +95,7 @@ def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -
     told = [(d, "cognates.csv" in held, good.headers[d, "forms.csv"]) for d, held in sorted(good.paths.items())]
     known = spark.createDataFrame(told, "Dataset string, Has_Cognates boolean, columns array<string>")  # a row for each dataset
     meta = descriptor.metadata(described.join(known.select("Dataset", "Has_Cognates"), "Dataset"), F.col("Has_Cognates"))
-    books = bibliography.entries(bibliography.rekey(files.read_text(spark, root, "sources.bib", good)))
+    books = bibliography.rekeyed_entries(files.read_text(spark, root, "sources.bib", good))
     return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), meta, descriptor.references(described), books, known.select("Dataset", "columns"))
 
 

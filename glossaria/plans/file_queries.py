@@ -139,7 +139,7 @@ def built_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What descriptors, headers and bibliographies of the files tell of each dataset, and which datasets were left out."""
     root = write_datasets(spark, sf_dir)
     full = corpus.process(spark, root)
-    cited = full.bibliography.groupBy("Dataset").agg(F.count(F.lit(1)).alias("n_entries"))
+    cited = full.bibliography.groupBy("Dataset").agg(F.count("key").alias("n_entries"))
     out = full.metadata.join(full.references.select("Dataset", "Glottolog_Version"), "Dataset").join(full.headers.select("Dataset", F.array_join("columns", ",").alias("header")), "Dataset").join(cited, "Dataset")
     skipped = files.skipped(files.rejects(spark, root)).select("skipped")  # one row
     return out.join(skipped).select("Dataset", "Title", "CLDF_Module", "Repository_Version", "Form_Count", "Language_Count", "Parameter_Count", "Has_Cognates", "Glottolog_Version", "header", "n_entries", "skipped")

@@ -154,10 +154,32 @@ def rekey_entries(t):
     i = C("page_id").cast("string")
     texts = t("pages").select("page_id", F.concat(F.lit("d"), (C("page_id") % 5).cast("string")).alias("Dataset"), F.concat(F.lit("@misc{p"), i, F.lit(", url={"), "url", F.lit("}}\n@comment{note, x}\n@Article{k"), i, F.lit(",}")).alias("value"))
     out = bibliography.rekey(texts)
-    n = bibliography.entries(out.withColumn("Dataset", i)).groupBy(C("Dataset").cast("long").alias("page_id")).agg(F.count(F.lit(1)).alias("n_entries"))
+    n = bibliography.entries(out.withColumn("Dataset", i)).groupBy(C("Dataset").cast("long").alias("page_id")).agg(F.count("key").alias("n_entries"))
     return out.withColumn("at_signs", fn.count_character(C("value"), "@")).drop("Dataset").join(n, "page_id")
 
 
+@query("""
+WITH t AS (SELECT page_id, concat('d', page_id % 3) AS ds, url FROM pages)
+SELECT page_id, 0 AS pos, CAST(NULL AS VARCHAR) AS key, concat('% of page ', page_id) AS text FROM t
+UNION ALL SELECT page_id, 1, NULL, concat('@string{site = "', url, '"}') FROM t
+UNION ALL SELECT page_id, 3, concat(ds, '_a', page_id), concat('@misc{', ds, '_a', page_id, ', note={mail to', chr(10), '@home now {and then}}, url="', url, ' } {@x{y, "}"}"', chr(10), '}') FROM t
+UNION ALL SELECT page_id, 5, concat(ds, '_b', page_id), concat('@Book(', ds, '_b', page_id, ', title={a) "b}, note = site # "(c)")') FROM t
+UNION ALL SELECT page_id, 6, NULL, '@comment{@misc{c, note={d}}}' FROM t
+""")
+def entry_texts(t):
+    """Every part of a bibliography as a text of its own: nested braces, quotations, entries that share a line, and lines that begin with an ``@``."""
+    i, url = C("page_id").cast("string"), C("url")
+    text = F.concat(
+        F.lit("% of page "), i, F.lit('\n@string{site = "'), url, F.lit('"}\n\n@misc{a'), i, F.lit(', note={mail to\n@home now {and then}}, url="'), url, F.lit(' } {@x{y, "}"}"\n} @Book(b'), i,
+        F.lit(', title={a) "b}, note = site # "(c)")@comment{@misc{c, note={d}}}\n'),
+    )
+    texts = t("pages").select("page_id", F.concat(F.lit("d"), (C("page_id") % 3).cast("string")).alias("Dataset"), text.alias("value"))
+    parts = bibliography.rekeyed_entries(texts.withColumn("Dataset", F.concat_ws("|", "Dataset", i)))  # a text for each page
+    key = F.concat(F.substring_index("Dataset", "|", 1), F.lit("_"), F.substring_index("key", "_", -1))
+    whole = F.replace("text", F.concat(F.lit("|"), F.substring_index("Dataset", "|", -1), F.lit("_")), F.lit("_"))
+    return parts.select(F.substring_index("Dataset", "|", -1).cast("long").alias("page_id"), C("pos").cast("int").alias("pos"), F.when(C("key").isNotNull(), key).alias("key"), whole.alias("text"))
+
+
 @query("""
 SELECT event_id, event_type AS "Title", event_type AS "CLDF_Module", CASE WHEN user_id % 3 = 0 THEN 0 ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS "Form_Count",
   concat('v', user_id % 7) AS "Repository_Version", CASE WHEN user_id % 2 = 0 THEN concat('v', user_id % 5) END AS "Glottolog_Version", CAST(NULL AS VARCHAR) AS "CLTS_Version"

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,14 +154,54 @@ def test_metadata_and_references(full):
 
 
 def test_bibliography(spark, full):
-    rows = [(r["Dataset"], r["key"]) for r in full.bibliography.orderBy("Dataset", "pos").collect()]
-    assert rows == [("alpha", "alpha_K1"), ("alpha", "alpha_K2"), ("epsilon", "epsilon_K1")]
-    text = spark.createDataFrame([("d", "@article{Key2019b,\n}\n@comment{a, b}"), ("d", " ")], "Dataset string, value string")
+    rows = [(r["Dataset"], r["key"], r["text"].split("{")[0]) for r in full.bibliography.orderBy("Dataset", "pos").collect()]
+    assert rows == [("alpha", "alpha_K1", "@article"), ("alpha", "alpha_K2", "@book"), ("alpha", None, "@comment"), ("epsilon", "epsilon_K1", "@misc")]
+    text = spark.createDataFrame([("d", "@article{Key2019b,\n}\n@comment{a, b}"), ("d", " "), ("d", ""), ("d", None)], "Dataset string, value string")
     assert bibliography.rekey(text).first()["value"] == "@article{d_Key2019b,\n}\n@comment{a, b}"
     assert bibliography.entry_counts(text).first() == (2, 1)
     assert {tuple(r) for r in bibliography.unresolved(full.forms, full.bibliography).collect()} == {("epsilon", "epsilon_K9")}
 
 
+def test_entries_are_kept_whole(spark):
+    """Lines that begin with an at sign, entries on one line, strings and preambles, quotations and parentheses."""
+    parts = [
+        "% a note, me@x.y {\n", "@misc{A, note={mail to\n@home now}, journal=jrn}", "\n", '@string{jrn = "The } Journal @ {@misc{no, }}"}', "@misc{B, x={y}}", " ", "@misc{C, title={a {b} c}\n, n=\"{\"}\"}", "\n@preamble\n",
+        "@Preamble{ \"x\" }", "@misc(D, t={ ) }, u=\") (\")", "@comment{@misc{E, }}", "@misc{F}", "@misc {\n G ,a=1}", "@misc{, x=1}", "@misc{H$1\\\\, x={never closed\n@misc{I, y=1}\n",
+    ]
+    df = spark.createDataFrame([("d$", "".join(parts))], "Dataset string, value string")
+    assert df.select(bibliography.pieces(F.col("value")).alias("p")).first()["p"] == parts
+    keys = [r["key"] for r in bibliography.rekeyed_entries(df).orderBy("pos").collect() if r["key"]]
+    assert keys == ["d$_A", "d$_B", "d$_C", "d$_D", "d$_F", "d$_G", "d$_H$1\\\\"]
+    whole = bibliography.rekey(df).first()["value"]
+    assert whole == "".join(parts).replace("@misc{A", "@misc{d$_A").replace("@misc{B", "@misc{d$_B").replace("@misc{C", "@misc{d$_C").replace("(D", "(d$_D").replace("{F", "{d$_F").replace(" G ,", " d$_G ,").replace("{H", "{d$_H")
+
+
+def test_random_entries_come_back(spark):
+    rng = random.Random(11)
+
+    def value(depth):
+        inner = "".join(rng.choice(["a", " ", "\n@home ", "@x", '"', "(", ")", ",", "é", "\n@misc{z, ", "{"]) if rng.random() < 0.8 or depth > 2 else value(depth + 1) for _ in range(rng.randint(0, 5)))
+        return "{" + inner + "}" * (1 + inner.count("{") - inner.count("}"))
+
+    def quoted():
+        return '"' + "".join(rng.choice(["a", "@", "}", " ", "\n@home", value(0)]) for _ in range(rng.randint(0, 4))) + '"'
+
+    texts, made = [], []
+    for t in range(150):
+        found, text = [], ""
+        for k in range(rng.randint(0, 6)):
+            fields = ",".join(f"\n f{j} = {rng.choice([value(0), quoted(), '12', 'jrn'])}" for j in range(rng.randint(0, 4)))
+            kind, key = rng.choice(["misc", "Article", "string", "comment"]), f"K{t}.{k}"
+            found.append((None if kind in ("string", "comment") else key, f"@{kind}{{{key},{fields}}}"))
+            text += found[-1][1] + rng.choice(["", " ", "\n\n", "\n% loose\n"])
+        texts.append((str(t), text))
+        made += [(str(t), *f) for f in found]
+    df = spark.createDataFrame(texts, "Dataset string, value string")
+    rows = [tuple(r) for r in bibliography.entries(df).where("text like '@%'").orderBy(F.col("Dataset").cast("int"), "pos").select("Dataset", "key", "text").collect()]
+    assert rows == made
+    assert {(r["Dataset"], r["whole"]) for r in df.select("Dataset", F.array_join(bibliography.pieces(F.col("value")), "").alias("whole")).collect()} == set(texts)
+
+
 def test_report(full):
     r = full.report().first()
     assert r["summary"]["total_datasets"] == 7 and r["summary"]["total_forms"] == 18
