@@ -134,9 +134,12 @@ def _overflow_rows(pending: DataFrame, limit: int, row: str) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> None:
-    """Writes ``docs`` as Parquet with a folder per shard, each row once; ids may repeat or be null. ``shard`` in the input is replaced."""
+    """Writes ``docs`` as Parquet with a folder per shard, each row once; ids may repeat or be null. ``shard`` in the input is replaced.
+
+    A folder's name is the shard's with a ``b`` in front, so that a plain reader takes it for text, leading zeros and all.
+    """
     held = stage(docs.drop("shard").withColumn("__row", F.monotonically_increasing_id()), "shard-input")
-    placed = held.join(_assign(held, limit, ("__row",)).select("__row", "shard"), "__row").drop("__row")
+    placed = held.join(_assign(held, limit, ("__row",)).select("__row", "shard"), "__row").drop("__row").withColumn("shard", F.concat(F.lit("b"), "shard"))
     placed.repartition("shard").write.partitionBy("shard").parquet(path)
 
 

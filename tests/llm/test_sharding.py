@@ -1,6 +1,9 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from glossaria.llm import sharding as s
 
 from .odd import ROWS, documents
@@ -43,7 +46,12 @@ def test_one_key_and_equal_rows_beyond_the_limit(spark):
     assert sum(r["count(1)"] for r in found) == 600 and max(r["sum(bytes)"] for r in found) <= 1000
 
 
-def test_written_shards(spark, tmp_path):
+@pytest.mark.parametrize("limit", [1000, 400, 10**9])
+def test_written_shards(spark, tmp_path, limit):
+    """A plain reader finds the shards that were assigned, one alone included, whose name has no bits."""
     docs = documents(spark, [r for r in ROWS if r[0] is not None and r[0] != 2]).drop("id")
-    s.write_shards(docs, str(tmp_path / "out"), 1000)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+    s.write_shards(docs, str(tmp_path / "out"), limit)
+    found = {(r["doc_id"], r["shard"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    assert found == {(r["doc_id"], "b" + r["shard"]) for r in s._assign(numbered, limit, ("__row",)).collect()}
+    assert limit < 10**9 or {x for _, x in found} == {"b"}
