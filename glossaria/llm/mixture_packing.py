@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,8 +33,10 @@ CAPACITY = 2048
 END_ID = 1
 #: Ids of a packet at most: how far a source may be ahead of or behind its share.
 GRAIN = 64
-#: Bytes of text that a worker holds the ids of.
-BATCH_BYTES = 2 << 20
+#: Bytes of text that a worker holds the ids of, and chunks that the tokenizer gets at once.
+BATCH_BYTES, TOGETHER = 2 << 20, 1000
+#: A character that is a token by itself where white space surrounds it.
+SEPARATOR = "\x01"
 
 
 class _Words:
@@ -45,10 +48,39 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        (self.separator,) = self.tokenizer.encode(SEPARATOR).ids
         self.chunks = ChunkEncoder(self._chunks)
 
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each whole text."""
+        return self.chunks(_spelled_alike(texts))
+
     def _chunks(self, chunks: list[str], heads: int) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """Texts' first chunks, and those that hold the separator, go to the tokenizer each alone, the others in rows with a separator between them."""
+        ids = lambda texts: [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = [x.tobytes() for x in ids(chunks[:heads])]
+        for at in range(heads, len(chunks), TOGETHER):
+            part = chunks[at : at + TOGETHER]
+            (row,) = ids([f" {SEPARATOR}".join(part)])
+            cuts = np.flatnonzero(row == self.separator)
+            if len(cuts) >= len(part):
+                out += [x.tobytes() for x in ids(part)]
+                continue
+            data, begins, ends = row.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(row)]
+            out += [data[a:b] for a, b in zip(begins, ends, strict=True)]
+        return out
+
+
+def _spelled_alike(texts: pa.Array) -> pa.Array:
+    """The texts in a spelling that has the same ids and fewer different chunks: A-Z lower-cased, one space for white space, one before punctuation.
+
+    The tokenizer does the same, after it has looked for special tokens and put letters and their marks together; so texts
+    where that might tell stay as they are.
+    """
+    texts = texts.cast(pa.string())
+    apart = pc.match_substring_regex(texts, r"<\||[A-Z]\p{M}")
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"[\t-\r][\t-\r ]*| [\t-\r ]+", " ")
+    return pc.if_else(apart, texts, pc.replace_substring_regex(plain, r"([a-z0-9])([.,;:!?])", r"\1 \2"))
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +106,7 @@ def token_rows(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             for at, texts in slices(batch.column(1), BATCH_BYTES):
                 here, begins, sizes, packed = batch.slice(at, len(texts)), [], [], []
-                for queue, ids in zip(here.column(2).to_pylist(), words.chunks(texts), strict=True):
+                for queue, ids in zip(here.column(2).to_pylist(), words(texts), strict=True):
                     begins.append(before[queue])
                     sizes.append(len(ids) // 4 + 1)
                     before[queue] += sizes[-1]
