@@ -71,32 +71,32 @@ def _keys(raw: DataFrame, cols: Sequence[str]) -> DataFrame:
     return raw.withColumns({c: F.when(_there(c), fn.prefix_id(d, F.col(c))) for c in cols if c in raw.columns})
 
 
-def forms(raw: DataFrame) -> DataFrame:
-    """Rows of ``forms.csv``: the working columns with ``_pos`` and ``_header``."""
+def forms(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``forms.csv``: the working columns with ``_pos``, ``_header`` and what else is named, here and below."""
     out = _keys(raw, ("ID", "Language_ID", "Parameter_ID"))
     out = decode_boolean(empty_to_null(prefix_key_list(out, ["Source"])), ["Loan"])
     plain = [c for c in FORMS_WORKING if c not in out.columns]
-    return out.withColumns({c: F.lit(None).cast(kind_of(c)) for c in plain}).select(*FORMS_WORKING, POSITION, HEADER)
+    return out.withColumns({c: F.lit(None).cast(kind_of(c)) for c in plain}).select(*FORMS_WORKING, POSITION, HEADER, *carry)
 
 
-def languages(raw: DataFrame) -> DataFrame:
-    return _with_header(coerce_number(empty_to_null(_keys(raw, ["ID"])), ["Latitude", "Longitude"]), LANGUAGES)
+def languages(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return _with_header(coerce_number(empty_to_null(_keys(raw, ["ID"])), ["Latitude", "Longitude"]), LANGUAGES, carry)
 
 
-def parameters(raw: DataFrame) -> DataFrame:
-    return _with_header(empty_to_null(_keys(raw, ["ID"])), PARAMETERS)
+def parameters(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return _with_header(empty_to_null(_keys(raw, ["ID"])), PARAMETERS, carry)
 
 
-def judgments(raw: DataFrame) -> DataFrame:
+def judgments(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Rows of ``cognates.csv``: the keys, the optional columns, ``_pos`` and ``_header``."""
     out = _keys(raw, ("Form_ID", "Cognateset_ID"))
     out = decode_boolean(empty_to_null(prefix_key_list(out, ["Source"])), ["Doubt"])
     columns = ("Dataset", "Form_ID", "Cognateset_ID", *JUDGMENT_COLUMNS)
-    return out.withColumns({c: F.lit(None).cast(kind_of(c)) for c in columns if c not in out.columns}).select(*columns, POSITION, HEADER)
+    return out.withColumns({c: F.lit(None).cast(kind_of(c)) for c in columns if c not in out.columns}).select(*columns, POSITION, HEADER, *carry)
 
 
-def _with_header(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.lit(None).cast(kind_of(c)) for c in columns if c not in df.columns}).select(*columns, HEADER)
+def _with_header(df: DataFrame, columns: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.lit(None).cast(kind_of(c)) for c in columns if c not in df.columns}).select(*columns, HEADER, *carry)
 
 
 def empty(spark, columns: Sequence[str]) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.functions.figures import archive_name, directory_name, file_key, human_size, version_parts
 from glossaria.operators.quality import COVERAGE
+from glossaria.sources import versions
 
 SYSTEMS = ("glottolog", "concepticon", "clts")
 
@@ -83,3 +85,26 @@ def ledger_upsert(ledger: DataFrame, rows: DataFrame, force: bool = False, key:
     if not force and not rows.select("version").join(ledger.select("version"), "version", "left_semi").isEmpty():
         raise ValueError("this version has been released; pass force to replace it")
     return ledger.join(rows.select(*key), list(key), "left_anti").unionByName(rows)
+
+
+#: Columns of the ledger: what :func:`manifest` has.
+LEDGER = "version string, collection string, file_name string, file_key string, size long, size_shown string, sha256 string, archive_name string, directory_name string"
+
+
+def load_ledger(spark: SparkSession, folder: str) -> tuple[int, DataFrame]:
+    """The stored ledger's version, to be handed to :func:`save_ledger`, and its rows; 0 and none if nothing is stored."""
+    number, name = versions.current(spark, folder)
+    return number, spark.createDataFrame([], LEDGER) if name is None else spark.read.schema(LEDGER).parquet(f"{folder}/{name}")
+
+
+def save_ledger(ledger: DataFrame, folder: str, read: int) -> int:
+    """Stores the ledger as the version after ``read``; if another one has been stored since, :class:`versions.LostRace` is raised and nothing changes."""
+    name = f"ledger-{uuid.uuid4().hex}"
+    ledger.select(*(c.split()[0] for c in LEDGER.split(", "))).coalesce(1).write.parquet(f"{folder}/{name}")  # a row for each released file
+    return versions.publish(ledger.sparkSession, folder, read, name)
+
+
+def record_release(rows: DataFrame, folder: str, force: bool = False) -> int:
+    """Puts the rows of a manifest into the stored ledger; a version that it has already is refused without ``force``."""
+    read, ledger = load_ledger(rows.sparkSession, folder)
+    return save_ledger(ledger_upsert(ledger, rows, force), folder, read)

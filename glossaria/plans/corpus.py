@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,10 +13,12 @@ from glossaria.functions.text import prefix_value
 from glossaria.operators import bibliography, enrich, judgments, membership, normalize, quality
 from glossaria.schemas import FORMS_WORKING, FORMS_WRITTEN, JUDGMENT_COLUMNS, JUDGMENT_NAMES, LANGUAGES, PARAMETERS
 from glossaria.sources import files, sinks
-from glossaria.sources.files import HEADER, POSITION
-from glossaria.sources.staging import stage
+from glossaria.sources.files import EXTRA, HEADER, POSITION, TOO_MANY, Survey
+from glossaria.sources.staging import delete, stage, staged
 
 SORT = ("Parameter_ID", "Language_ID", "Local_ID", "ID")
+#: Marks the rows that keep their dataset out, in tables that are written before these are known.
+FAULT = "_fault"
 
 
 @dataclass
@@ -61,8 +63,8 @@ def numbered(df: DataFrame, columns: Sequence[str] = SORT, name: str = "place",
     return placed.withColumn(name, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).select(*df.columns, name)
 
 
-def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFrame, parameters: DataFrame) -> DataFrame:
-    """Forms with their judgments and their parents' columns, in the 24 working columns, and the file's header.
+def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFrame, parameters: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Forms with their judgments and their parents' columns, in the 24 working columns, and what else of the forms is named.
 
     One shuffle, on dataset and form, gathers and attaches the judgments; parents are joined as their size allows.
     What a file's own column says wins over joined values in the whole file, nulls included.
@@ -77,7 +79,7 @@ def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFr
         out = out.withColumn("Cognacy", judgments.cognacy(F.col("Cognacy"), F.col("__sets"))).drop("__sets")
     out = enrich.attach_parent(out, languages, "Language_ID", "ID", ["Glottocode", "Glottolog_Name"], "Dataset", has)
     out = enrich.attach_parent(out, parameters, "Parameter_ID", "ID", ["Concepticon_ID", "Concepticon_Gloss"], "Dataset", has)
-    return out.select(*FORMS_WORKING)
+    return out.select(*FORMS_WORKING, *carry)
 
 
 def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -> Corpus:
@@ -91,12 +93,53 @@ def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -
     languages, parameters = normalize.languages(raw["languages.csv"]), normalize.parameters(raw["parameters.csv"])
     judged = normalize.judgments(raw["cognates.csv"]) if good.of("cognates.csv") else None
     forms = enriched_forms(normalize.forms(raw["forms.csv"]), judged, languages, parameters)
+    return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), **_told(spark, root, good))
+
+
+def _told(spark: SparkSession, root: str, good: Survey) -> dict[str, DataFrame]:
+    """The tables that descriptors, headers and bibliographies make."""
     described = descriptor.described(files.read_descriptors(spark, root, good))
     told = [(d, "cognates.csv" in held, good.headers[d, "forms.csv"]) for d, held in sorted(good.paths.items())]
     known = spark.createDataFrame(told, "Dataset string, Has_Cognates boolean, columns array<string>")  # a row for each dataset
     meta = descriptor.metadata(described.join(known.select("Dataset", "Has_Cognates"), "Dataset"), F.col("Has_Cognates"))
     books = bibliography.rekeyed_entries(files.read_text(spark, root, "sources.bib", good))
-    return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), meta, descriptor.references(described), books, known.select("Dataset", "columns"))
+    return {"metadata": meta, "references": descriptor.references(described), "bibliography": books, "headers": known.select("Dataset", "columns")}
+
+
+def write_full(spark: SparkSession, root: str, place: Callable[[str], str], datasets: Sequence[str] | None = None) -> tuple[Corpus, list[tuple[str, str, str]]]:
+    """Writes the tables of the full collection (or of the datasets named) to ``place(table)``, each a folder per dataset, and reads each file of a table once.
+
+    Returns the tables as written and what keeps datasets out: dataset, file, reason. Rows with too many cells are found
+    by the same scan that everything else is made of, so rows of their datasets may lie in the folders; the returned
+    tables leave them out, and so must whoever names the datasets of a folder.
+    """
+    found = files.survey(spark, root, datasets)
+    bad = files.faults(spark, root, found)
+    before = staged(spark)
+    flag = lambda name: files.read_table(spark, root, name, found=found.without({b[0] for b in bad})).withColumn(FAULT, F.col(EXTRA).isNotNull())
+    faulty = lambda df, name: bad.extend((r["Dataset"], name, TOO_MANY) for r in df.where(FAULT).select("Dataset").distinct().orderBy("Dataset").collect())  # noqa: E731  names of directories
+
+    def kept(df: DataFrame, table: str, source: str) -> DataFrame:
+        sinks.write_table(df, place(table))
+        back = spark.read.schema(df.schema).parquet(place(table)).select(*df.columns)
+        faulty(back, source)
+        return back
+
+    languages = kept(normalize.languages(flag("languages.csv"), [FAULT]), "languages", "languages.csv")
+    parameters = kept(normalize.parameters(flag("parameters.csv"), [FAULT]), "parameters", "parameters.csv")
+    judged = None
+    if found.without({b[0] for b in bad}).of("cognates.csv"):
+        judged = stage(normalize.judgments(flag("cognates.csv"), [FAULT]), "judgments")
+        faulty(judged, "cognates.csv")
+    forms = kept(enriched_forms(normalize.forms(flag("forms.csv"), [FAULT]), judged, languages, parameters, [FAULT]), "forms", "forms.csv")
+    delete(spark, [p for p in staged(spark) if p not in before])
+    told = _told(spark, root, found.without({b[0] for b in bad}))
+    for table, df in told.items():
+        sinks.write_table(df, place(table))
+        told[table] = spark.read.schema(df.schema).parquet(place(table)).select(*df.columns)
+    out = ~F.col("Dataset").isin(sorted({b[0] for b in bad}))
+    rows = {"forms": forms.select(*FORMS_WORKING), "languages": languages.select(*LANGUAGES), "parameters": parameters.select(*PARAMETERS)}
+    return Corpus(**{table: df.where(out) for table, df in rows.items()}, **told), sorted(bad)
 
 
 def select_members(corpus: Corpus, registry: DataFrame, flag: str | None) -> Corpus:
@@ -104,19 +147,12 @@ def select_members(corpus: Corpus, registry: DataFrame, flag: str | None) -> Cor
 
 
 def build_corpus(spark: SparkSession, root: str, registry_path: str, target: str | None = None, datasets: list[str] | None = None) -> dict[str, Corpus]:
-    """All collections. With ``target``, the full one is written once as Parquet and the others are read from it.
+    """All collections. With ``target``, the full one is written once by :func:`write_full` and the others are read from it.
 
     Without a target nothing is written (a dry run) and every table stays lazy.
     """
-    full = process(spark, root, datasets)
+    full = process(spark, root, datasets) if target is None else write_full(spark, root, lambda table: f"{target}/full/{table}", datasets)[0]
     registry = files.read_registry(spark, registry_path)
-    if target is not None:
-        tables = {}
-        for name in Corpus.__dataclass_fields__:
-            df = getattr(full, name)
-            sinks.write_table(df, f"{target}/full/{name}")
-            tables[name] = spark.read.schema(df.schema).parquet(f"{target}/full/{name}").select(*df.columns)
-        full = Corpus(**tables)
     out = {name: select_members(full, registry, flag) for name, flag in membership.COLLECTIONS.items()}
     if target is not None:
         for name, corpus in out.items():

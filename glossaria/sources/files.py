@@ -60,6 +60,18 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return held.select(dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"), "path", "length")
 
 
+def fingerprints(spark: SparkSession, root: str, by_content: bool = False) -> DataFrame:
+    """``Dataset`` and ``fingerprint``, which changes with the names, lengths and times of the dataset's files, or, ``by_content``, with their bytes.
+
+    Without ``by_content`` no file is read.
+    """
+    told = [F.sha2("content", 256) if by_content else F.col("modificationTime").cast("string")]
+    load = lambda: spark.read.format("binaryFile").load(f"{root}/*/cldf/*").select("path", "length", told[0].alias("state"))
+    listed = _found(load, "path string, length bigint, state string", spark).select(dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"), "path", "length", "state")
+    held = listed.where(F.col("file_name").isin(*REQUIRED_FILES, *OPTIONAL_FILES)).groupBy("Dataset").agg(F.array_sort(F.collect_list(F.struct("path", "length", "state"))).alias("files"), F.count_if(F.col("file_name") == REQUIRED_FILES[0]).alias("described"))
+    return held.where("described > 0").select("Dataset", F.sha2(F.to_json("files"), 256).alias("fingerprint"))
+
+
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """The datasets: directories that hold a descriptor, whether or not a registry names them."""
     return file_inventory(spark, root).where(F.col("file_name") == REQUIRED_FILES[0]).select("Dataset").distinct()
@@ -202,29 +214,34 @@ def _read_alike(spark: SparkSession, header: list[str], whole: list[str], paths:
     return rows.select("*", dataset_of(place).alias("Dataset"), position.cast(POSITION_TYPE).alias(POSITION), F.array(*map(F.lit, whole)).cast("array<string>").alias(HEADER))
 
 
+TOO_MANY = "too many cells"
 _REJECTS = "Dataset string, file_name string, reason string"
 
 
-def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> DataFrame:
-    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a key column that a part of a file lacks, a descriptor that is no JSON object, a row with too many cells.
-
-    Structural faults are found before the main plan, so that one bad dataset does not stop the others. Rows are only
-    read of datasets that have no other fault. A file of no bytes counts as missing, for Spark doesn't list it; a directory
-    whose descriptor is missing is no dataset.
-    """
-    found = survey(spark, root) if found is None else found
+def faults(spark: SparkSession, root: str, found: Survey) -> list[tuple[str, str, str]]:
+    """``Dataset``, ``file_name``, ``reason`` for what keeps datasets out and shows without reading a table: some rows for each of them."""
     bad = [(d, n, "missing file") for d, held in found.paths.items() for n in REQUIRED_FILES if n not in held]
     for (d, n), parts in found.parts.items():
         if d in found.paths:
             bad += [(d, n, f"missing column {c}") for c in REQUIRED_COLUMNS[n] if not parts or any(c not in header for header in parts.values())]
     told = read_descriptors(spark, root, found)
     broken = told.where(F.try_parse_json("value").isNull() | ~F.col("value").rlike(r"^\s*\{")).select("Dataset").collect()  # names of directories
-    bad += [(r["Dataset"], REQUIRED_FILES[0], "broken descriptor") for r in broken]
+    return sorted(bad + [(r["Dataset"], REQUIRED_FILES[0], "broken descriptor") for r in broken])
+
+
+def rejects(spark: SparkSession, root: str, found: Survey | None = None) -> DataFrame:
+    """``Dataset``, ``file_name``, ``reason`` for whatever keeps a dataset out: a missing file, a key column that a part of a file lacks, a descriptor that is no JSON object, a row with too many cells.
+
+    Rows are only read of datasets that have no other fault. A file of no bytes counts as missing, for Spark doesn't list
+    it; a directory whose descriptor is missing is no dataset.
+    """
+    found = survey(spark, root) if found is None else found
+    bad = faults(spark, root, found)
     rest = found.without({b[0] for b in bad})
-    out = [spark.createDataFrame(sorted(bad), _REJECTS)]
+    out = [spark.createDataFrame(bad, _REJECTS)]
     for name in REQUIRED_COLUMNS:
         rows = read_table(spark, root, name, found=rest)
-        out.append(rows.where(F.col(EXTRA).isNotNull()).select("Dataset", F.lit(name).alias("file_name"), F.lit("too many cells").alias("reason")).distinct())
+        out.append(rows.where(F.col(EXTRA).isNotNull()).select("Dataset", F.lit(name).alias("file_name"), F.lit(TOO_MANY).alias("reason")).distinct())
     return reduce(DataFrame.union, out)
 
 

@@ -1,36 +1,97 @@
-"""New datasets as they arrive, and counts that go on over micro-batches."""
+"""Datasets as they arrive, change and go, and counts that go on over micro-batches.
+
+A batch's tables lie in folders of their own, ``<table>/batch=<name>/Dataset=<name>``. A manifest says for each dataset which
+batch has it; a version (:mod:`glossaria.sources.versions`) names the manifest that counts. So all tables of a batch are
+there at once or not at all, and what a later batch replaces is no longer named.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from glossaria.plans import corpus
-from glossaria.sources import sinks
-from glossaria.sources.files import dataset_of
+from glossaria.schemas import FORMS_WORKING, LANGUAGES, METADATA, PARAMETERS, REFERENCES, schema_of
+from glossaria.sources import files, versions
+
+#: ``batch`` is null for a dataset that something keeps out, and ``reason`` says what.
+MANIFEST = "Dataset string, fingerprint string, batch string, reason string"
+_SCHEMAS = {
+    "forms": schema_of(FORMS_WORKING), "languages": schema_of(LANGUAGES), "parameters": schema_of(PARAMETERS), "metadata": schema_of(METADATA), "references": schema_of(REFERENCES),
+    "bibliography": "Dataset string, pos long, key string, text string", "headers": "Dataset string, columns array<string>",
+}
+
+
+def manifest(spark: SparkSession, target: str) -> tuple[int, DataFrame]:
+    """The version that counts, and its manifest: a row per dataset. Without a version, 0 and no rows."""
+    number, name = versions.current(spark, target)
+    return number, spark.createDataFrame([], MANIFEST) if name is None else spark.read.schema(MANIFEST).parquet(f"{target}/_manifests/{name}")
+
+
+def read(spark: SparkSession, target: str) -> corpus.Corpus:
+    """The tables of the version that counts; what others have written since, or left unfinished, is not seen."""
+    _, named = manifest(spark, target)
+    named = named.where("batch is not null").select("batch", "Dataset")
+    made = spark.createDataFrame([], "batch string, Dataset string") if named.isEmpty() else named
+
+    def table(name: str) -> DataFrame:
+        schema = T.StructType.fromDDL(s) if isinstance(s := _SCHEMAS[name], str) else s
+        if made is not named:
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.StringType())])).parquet(f"{target}/{name}")
+        return rows.join(made, ["batch", "Dataset"], "left_semi").select(*schema.names)
+
+    return corpus.Corpus(**{name: table(name) for name in _SCHEMAS})
+
+
+def changes(found: DataFrame, held: DataFrame) -> DataFrame:
+    """``Dataset`` and ``change`` (``new``, ``changed``, ``gone`` or ``same``) by the fingerprints of what is there and what is held."""
+    both = found.select("Dataset", F.col("fingerprint").alias("now")).join(held.select("Dataset", F.col("fingerprint").alias("before")), "Dataset", "full")
+    change = F.when(F.col("before").isNull(), "new").when(F.col("now").isNull(), "gone").when(F.col("now") != F.col("before"), "changed").otherwise("same")
+    return both.select("Dataset", change.alias("change"))
 
 
-def ingest(spark: SparkSession, root: str, target: str, checkpoint: str, timeout: int | None = None) -> None:
-    """Adds the datasets whose descriptor is new since the last call to the tables under ``target``.
+def ingest(spark: SparkSession, root: str, target: str, by_content: bool = False) -> int:
+    """Brings the tables under ``target`` to what lies under ``root``, and returns their version.
 
-    A dataset's folders are overwritten as a whole, so a batch that is run again after a failure leaves the same tables.
+    Datasets that are new or whose files have changed since are built; those that are gone are no longer named. If nothing
+    has changed, nothing is done. A batch that fails leaves the version before it; of two that run at once the later one
+    fails with :class:`versions.LostRace` and can be run again.
     """
-    arrivals = spark.readStream.option("wholetext", True).text(f"{root}/*/cldf/cldf-metadata.json").select(dataset_of(F.col("_metadata.file_path")).alias("Dataset"))
-
-    def add(batch: DataFrame, _: int) -> None:
-        names = sorted(r["Dataset"] for r in batch.distinct().collect())  # names of directories
-        if not names:
-            return
-        found = corpus.process(batch.sparkSession, root, names)
-        for name in corpus.Corpus.__dataclass_fields__:
-            sinks.write_table(getattr(found, name), f"{target}/{name}")
-        sinks.write_table(found.stats(), f"{target}/stats")
-
-    query = arrivals.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination(timeout) if timeout else query.awaitTermination()
+    number, held = manifest(spark, target)
+    found = files.fingerprints(spark, root, by_content).cache()
+    try:
+        told = {r["Dataset"]: r["change"] for r in changes(found, held).collect()}  # names of directories
+        names = sorted(d for d, c in told.items() if c in ("new", "changed"))
+        if number and set(told.values()) <= {"same"}:
+            return number
+        batch = f"{number + 1:012d}-{uuid.uuid4().hex[:8]}"
+        bad = corpus.write_full(spark, root, lambda table: f"{target}/{table}/batch={batch}", names)[1] if names else []
+        why = spark.createDataFrame([(d, f"{n}: {r}") for d, n, r in bad], "Dataset string, reason string").groupBy("Dataset").agg(F.min("reason").alias("reason"))
+        built = found.where(F.col("Dataset").isin(names)).join(why, "Dataset", "left").select("Dataset", "fingerprint", F.when(F.col("reason").isNull(), F.lit(batch)).alias("batch"), "reason")
+        kept = held.where(F.col("Dataset").isin([d for d, c in told.items() if c == "same"]))
+        kept.unionByName(built).coalesce(1).write.parquet(f"{target}/_manifests/{batch}")
+        return versions.publish(spark, target, number, batch)
+    finally:
+        found.unpersist()
+
+
+def watch(spark: SparkSession, root: str, target: str, checkpoint: str, every: str = "1 minute", by_content: bool = False) -> StreamingQuery:
+    """:func:`ingest` again and again, as the micro-batches of a stream; a batch that loses a race is left to the next one."""
+
+    def look(_: DataFrame, __: int) -> None:
+        try:
+            ingest(spark, root, target, by_content)
+        except versions.LostRace:
+            pass
+
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    return ticks.writeStream.foreachBatch(look).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
 def running_stats(rows: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -12,7 +12,6 @@ from glossaria.plans import corpus
 from glossaria.schemas import FORMS_WORKING, FORMS_WRITTEN, LANGUAGES
 from glossaria.sources import files, sinks
 from glossaria.sources.staging import stage
-from glossaria.streaming import ingest
 
 from . import cldf
 
@@ -291,21 +290,6 @@ def test_release_statistics(full):
     assert (r["forms_count"], r["orphan_languages"], r["glottolog_versions"], r["concepticon_versions"]) == (18, 2, "v4.7", "unknown")
 
 
-def test_stream_equals_batch(spark, root, tmp_path, full):
-    first = tmp_path / "data"
-    first.mkdir()
-    os.symlink(f"{root[0]}/alpha", first / "alpha")
-    run = lambda: ingest.ingest(spark, str(first), str(tmp_path / "out"), str(tmp_path / "state"))
-    run()
-    for name in ("beta", "delta"):
-        os.symlink(f"{root[0]}/{name}", first / name)
-    run()
-    run()
-    got = spark.read.schema(full.forms.schema).parquet(f"{tmp_path}/out/forms").select(*FORMS_WORKING)
-    assert sorted(map(str, got.collect())) == sorted(map(str, full.forms.where("Dataset in ('alpha', 'beta', 'delta')").collect()))
-    assert spark.read.parquet(f"{tmp_path}/out/stats").agg(F.sum("forms")).first()[0] == 12
-
-
 def test_column_flags_and_split(spark, root):
     raw = files.read_table(spark, root[0], "forms.csv", ["alpha", "beta"])
     flags = normalize.column_flags(raw, ["Cognacy"]).select("Dataset", "has_Cognacy").distinct().collect()
