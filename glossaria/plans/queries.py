@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glossaria.functions import descriptor, figures
 from glossaria.functions import text as fn
 from glossaria.operators import bibliography, enrich, judgments, membership, normalize, quality, release
-from glossaria.plans import file_queries
+from glossaria.plans import file_queries, store_queries
 from glossaria.plans.corpus import numbered
 from glossaria.schemas import LANGUAGES
 from glossaria.sources.staging import fresh_path
@@ -432,7 +432,7 @@ def _windowed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n_rows", "n_value")
 
 
-QUERIES.update(file_queries.QUERIES)
-SQL.update(file_queries.SQL)
+QUERIES.update(file_queries.QUERIES | store_queries.QUERIES)
+SQL.update(file_queries.SQL | store_queries.SQL)
 QUERIES["incremental_stats"] = _incremental_stats
 QUERIES["windowed_stats"] = _windowed_stats
