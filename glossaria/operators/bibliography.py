@@ -93,3 +93,8 @@ def unresolved(forms: DataFrame, found: DataFrame, source: str = "Source", datas
     """Distinct ``Dataset`` and ``key`` that forms cite and no entry has."""
     cited = forms.select(F.col(dataset).alias("Dataset"), F.explode(key_list(F.col(source))).alias("key")).distinct()
     return cited.join(found.select(F.col(dataset).alias("Dataset"), F.col(key).alias("key")), ["Dataset", "key"], "left_anti")
+
+
+def unresolved_count(forms: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: ``invalid_bibtex_references``, the keys of :func:`unresolved`."""
+    return unresolved(forms, found).agg(F.count(F.lit(1)).alias("invalid_bibtex_references"))

@@ -21,13 +21,13 @@ def first_filled(c: str, order: Sequence[str]) -> Column:
     return F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order)))
 
 
-def aggregate(df: DataFrame, key: Sequence[str], order: Sequence[str], concat_cols: dict[str, str], first_cols: dict[str, str], sep: str = ";") -> DataFrame:
-    """A row per key: lists of ``concat_cols`` and first values of ``first_cols`` (input name to output name).
+def aggregate(df: DataFrame, key: Sequence[str], order: Sequence[str], concat_cols: dict[str, str], first_cols: dict[str, str], sep: str = ";", more: Sequence[Column] = ()) -> DataFrame:
+    """A row per key: lists of ``concat_cols``, first values of ``first_cols`` (input name to output name), and ``more`` aggregates.
 
     ``order`` must tell the rows of a key apart, or ties are broken by the value. One shuffle, on the key.
     """
     lists = [in_order(c, order, sep).alias(out) for c, out in concat_cols.items()]
-    return df.groupBy(*key).agg(*lists, *(first_filled(c, order).alias(out) for c, out in first_cols.items()))
+    return df.groupBy(*key).agg(*lists, *(first_filled(c, order).alias(out) for c, out in first_cols.items()), *more)
 
 
 def attach(forms: DataFrame, gathered: DataFrame, on: Sequence[str], has_col: dict[str, Column] | None = None) -> DataFrame:

@@ -61,6 +61,18 @@ def absent_columns(expected: Sequence[str], header: str = HEADER) -> Column:
     return F.array_except(F.array(*map(F.lit, expected)), F.col(header))
 
 
+#: Columns of a forms file whose cells are told apart into filled, empty and absent, a bit for each in :func:`cell_masks`.
+CELLS = tuple(c for c in FORMS_WORKING if c != "Dataset")
+FILLED, HAS = "_filled", "_has"
+
+
+def cell_masks(raw: DataFrame) -> DataFrame:
+    """Rows of ``forms.csv`` with ``_filled`` and ``_has``: bits of the columns whose cell is filled, and of those that the file has, before empty cells become null."""
+    bits = lambda held: sum((F.when(h, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, h in held), F.lit(0).cast("long"))
+    filled = bits((k, F.coalesce(F.col(f"`{c}`"), F.lit("")) != "") for k, c in enumerate(CELLS) if c in raw.columns)
+    return raw.withColumns({FILLED: filled, HAS: bits((k, _there(c)) for k, c in enumerate(CELLS))})
+
+
 def _there(c: str) -> Column:
     return F.array_contains(HEADER, c)
 

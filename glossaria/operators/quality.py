@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossaria.functions.figures import percentage
+from glossaria.operators.normalize import CELLS, FILLED, HAS
 
 #: Columns whose coverage is reported, those of whose nulls the share is, and those of partial judgments.
 COVERAGE = {"Glottocode": "glottocode_coverage_percent", "Concepticon_ID": "concepticon_coverage_percent", "Cognacy": "forms_with_cognate_data_percent", "Segments": "forms_with_segments_percent", "Alignment": "forms_with_alignment_percent"}
@@ -49,12 +50,41 @@ def dataset_stats(forms: DataFrame, languages: DataFrame, parameters: DataFrame,
     return out.fillna(0)
 
 
+#: Judgments of a form, and different alignments among them, as :func:`tallies` takes them.
+JUDGED, ALIGNED = "_judged", "_aligned"
+TALLIES = "Dataset string, cells map<string,struct<filled:bigint,empty_string:bigint,missing_na:bigint>>, multiple_cognatesets bigint, multiple_alignments bigint, duplicate_ids bigint"
+
+
+def tallies(forms: DataFrame) -> DataFrame:
+    """Per dataset, by one aggregation: how many cells of each column are filled, empty, or of a file without the column, and what judgments multiply.
+
+    ``forms`` has the masks of :func:`normalize.cell_masks` and ``_judged`` and ``_aligned`` for each row.
+    ``multiple_cognatesets`` counts forms with several judgments, ``multiple_alignments`` those whose judgments differ in
+    their alignment, and ``duplicate_ids`` the rows that a row per judgment would add for these.
+    """
+    bit = lambda mask, k: F.sum(F.shiftright(mask, k).bitwiseAND(F.lit(1).cast("long")))
+    many = F.col(ALIGNED) > 1
+    counted = forms.groupBy("Dataset").agg(
+        F.count(F.lit(1)).alias("__n"), *(f for k, _ in enumerate(CELLS) for f in (bit(FILLED, k).alias(f"__f{k}"), bit(HAS, k).alias(f"__h{k}"))),
+        F.count_if(F.col(JUDGED) > 1).alias("multiple_cognatesets"), F.count_if(many).alias("multiple_alignments"), F.coalesce(F.sum(F.when(many, F.col(JUDGED) - 1)), F.lit(0)).cast("long").alias("duplicate_ids"),
+    )
+    cell = lambda k: F.struct(F.col(f"__f{k}").alias("filled"), (F.col(f"__h{k}") - F.col(f"__f{k}")).alias("empty_string"), (F.col("__n") - F.col(f"__h{k}")).alias("missing_na"))
+    cells = F.create_map(*(x for k, c in enumerate(CELLS) for x in (F.lit(c), cell(k))))
+    return counted.select("Dataset", cells.alias("cells"), "multiple_cognatesets", "multiple_alignments", "duplicate_ids")
+
+
 def completeness(stats: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Per dataset: counts, flag, null percentages, and the columns of its forms file if ``headers`` (``Dataset``, ``columns``) are given."""
     out = stats.select("Dataset", "forms", "languages", "parameters", "has_cognates", *(percentage(F.col("forms") - F.col(f"n_{c}"), F.col("forms"), 1).alias(f"{c}_null_pct") for c in NULLS))
     return out if headers is None else out.join(headers.select("Dataset", F.col("columns").alias("columns_present")), "Dataset", "left")
 
 
+def cell_completeness(complete: DataFrame, counted: DataFrame) -> DataFrame:
+    """:func:`completeness` with ``columns_absent``, of those a forms file may have, and ``empty_vs_missing`` for each of them; both empty for a dataset without forms."""
+    absent = F.array_except(F.array(*map(F.lit, CELLS)), F.coalesce("columns_present", F.array().cast("array<string>")))
+    return complete.withColumn("columns_absent", absent).join(counted.select("Dataset", F.col("cells").alias("empty_vs_missing")), "Dataset", "left")
+
+
 def declared_completeness(complete: DataFrame, metadata: DataFrame) -> DataFrame:
     """:func:`completeness` with the counts that descriptors declare in place of counted rows, as a report over stored metadata has them."""
     pairs = {"forms": "Form_Count", "languages": "Language_Count", "parameters": "Parameter_Count"}
@@ -90,12 +120,17 @@ def declared_against_actual(declared: DataFrame, actual: DataFrame, key: Sequenc
     return out.select(*key, *(c for p in pairs.items() for c in p), *(F.col(a).eqNullSafe(F.coalesce(F.col(b), F.lit(0))).alias(f"{a}_agrees") for a, b in pairs.items()))
 
 
-def report(rolled: DataFrame, complete: DataFrame, versions: DataFrame, integrity: DataFrame) -> DataFrame:
-    """The whole report as one row of nested sections, ready for a JSON sink. All inputs are per dataset or smaller."""
+def report(rolled: DataFrame, complete: DataFrame, versions: DataFrame, integrity: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """The whole report as one row of nested sections, ready for a JSON sink. All inputs are per dataset or smaller; ``counted`` is that of :func:`tallies`."""
     summary = ["total_datasets", "total_forms", "total_languages", "total_parameters", "datasets_with_cognates", "datasets_with_partial_cognacy"]
     partial = [f"{w}_with_{n}" for w in ("datasets", "forms") for n in PARTIAL.values()]
     per_dataset = complete.agg(F.map_from_entries(F.collect_list(F.struct("Dataset", F.struct(*(c for c in complete.columns if c != "Dataset"))))).alias("completeness"))
     by_system = versions.groupBy("system").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("version", "datasets")))).alias("v"))
     dist = by_system.agg(F.map_from_entries(F.collect_list(F.struct("system", "v"))).alias("version_distribution"))
-    one = rolled.select(F.struct(*summary).alias("summary"), F.struct(*COVERAGE.values()).alias("data_quality"), F.struct(*partial).alias("partial_cognacy"))
+    if counted is not None:
+        total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+        rolled = rolled.join(counted.agg(total("multiple_cognatesets", "forms_with_multiple_cognatesets"), total("multiple_alignments", "forms_with_multiple_alignments"), total("duplicate_ids", "total_duplicate_ids_from_cognates")))  # one row each
+        summary.append("forms_with_multiple_cognatesets")
+    more = [] if counted is None else [F.struct("forms_with_multiple_alignments", "total_duplicate_ids_from_cognates").alias("row_multiplication")]
+    one = rolled.select(F.struct(*summary).alias("summary"), F.struct(*COVERAGE.values()).alias("data_quality"), F.struct(*partial).alias("partial_cognacy"), *more)
     return one.join(per_dataset).join(integrity.select(F.struct("*").alias("referential_integrity"))).join(dist)  # one row each

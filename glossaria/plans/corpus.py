@@ -19,6 +19,8 @@ from glossaria.sources.staging import delete, stage, staged
 SORT = ("Parameter_ID", "Language_ID", "Local_ID", "ID")
 #: Marks the rows that keep their dataset out, in tables that are written before these are known.
 FAULT = "_fault"
+#: What rows of forms carry for the tallies.
+MASKS = (normalize.FILLED, normalize.HAS)
 
 
 @dataclass
@@ -32,6 +34,7 @@ class Corpus:
     references: DataFrame
     bibliography: DataFrame
     headers: DataFrame
+    tallies: DataFrame
 
     def stats(self) -> DataFrame:
         return quality.dataset_stats(self.forms, self.languages, self.parameters, self.metadata)
@@ -43,7 +46,9 @@ class Corpus:
         stats = self.stats()
         systems = {f"{s}_Version": s.lower() for s in ("Glottolog", "Concepticon", "CLTS")}
         versions = quality.version_distribution(self.references, systems)
-        return quality.report(quality.rollup(stats), quality.completeness(stats, self.headers), versions, enrich.integrity(self.forms, self.languages, self.parameters))
+        complete = quality.cell_completeness(quality.completeness(stats, self.headers), self.tallies)
+        whole = enrich.integrity(self.forms, self.languages, self.parameters).join(bibliography.unresolved_count(self.forms, self.bibliography))  # one row each
+        return quality.report(quality.rollup(stats), complete, versions, whole, self.tallies)
 
 
 def in_order(df: DataFrame, columns: Sequence[str] = SORT, dataset: str = "Dataset") -> DataFrame:
@@ -64,7 +69,7 @@ def numbered(df: DataFrame, columns: Sequence[str] = SORT, name: str = "place",
 
 
 def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFrame, parameters: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Forms with their judgments and their parents' columns, in the 24 working columns, and what else of the forms is named.
+    """Forms with their judgments and their parents' columns: the 24 working columns, how many judgments each has, and what else of the forms is named.
 
     One shuffle, on dataset and form, gathers and attaches the judgments; parents are joined as their size allows.
     What a file's own column says wins over joined values in the whole file, nulls included.
@@ -74,12 +79,13 @@ def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFr
     out = forms.withColumn("Cognacy", own)
     if judged is not None:
         names = {c: JUDGMENT_NAMES.get(c, c) for c in JUDGMENT_COLUMNS}
-        gathered = judgments.aggregate(judged.withColumnRenamed("Form_ID", "ID"), ["Dataset", "ID"], [POSITION], {"Cognateset_ID": "__sets"}, names)
+        gathered = judgments.aggregate(judged.withColumnRenamed("Form_ID", "ID"), ["Dataset", "ID"], [POSITION], {"Cognateset_ID": "__sets"}, names, more=[F.count(F.lit(1)).alias(quality.JUDGED), F.size(F.collect_set("Alignment")).cast("long").alias(quality.ALIGNED)])
         out = judgments.attach(out, gathered, ["Dataset", "ID"], {c: has[c] for c in names.values()})
         out = out.withColumn("Cognacy", judgments.cognacy(F.col("Cognacy"), F.col("__sets"))).drop("__sets")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("long")) if c in out.columns else F.lit(0).cast("long") for c in (quality.JUDGED, quality.ALIGNED)})
     out = enrich.attach_parent(out, languages, "Language_ID", "ID", ["Glottocode", "Glottolog_Name"], "Dataset", has)
     out = enrich.attach_parent(out, parameters, "Parameter_ID", "ID", ["Concepticon_ID", "Concepticon_Gloss"], "Dataset", has)
-    return out.select(*FORMS_WORKING, *carry)
+    return out.select(*FORMS_WORKING, quality.JUDGED, quality.ALIGNED, *carry)
 
 
 def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -> Corpus:
@@ -92,8 +98,8 @@ def process(spark: SparkSession, root: str, datasets: list[str] | None = None) -
     raw = {n: files.read_table(spark, root, n, found=good) for n in ("forms.csv", "languages.csv", "parameters.csv", "cognates.csv")}
     languages, parameters = normalize.languages(raw["languages.csv"]), normalize.parameters(raw["parameters.csv"])
     judged = normalize.judgments(raw["cognates.csv"]) if good.of("cognates.csv") else None
-    forms = enriched_forms(normalize.forms(raw["forms.csv"]), judged, languages, parameters)
-    return Corpus(forms, languages.select(*LANGUAGES), parameters.select(*PARAMETERS), **_told(spark, root, good))
+    forms = enriched_forms(normalize.forms(normalize.cell_masks(raw["forms.csv"]), MASKS), judged, languages, parameters, MASKS)
+    return Corpus(forms.select(*FORMS_WORKING), languages.select(*LANGUAGES), parameters.select(*PARAMETERS), **_told(spark, root, good), tallies=quality.tallies(forms))
 
 
 def _told(spark: SparkSession, root: str, good: Survey) -> dict[str, DataFrame]:
@@ -131,9 +137,10 @@ def write_full(spark: SparkSession, root: str, place: Callable[[str], str], data
     if found.without({b[0] for b in bad}).of("cognates.csv"):
         judged = stage(normalize.judgments(flag("cognates.csv"), [FAULT]), "judgments")
         faulty(judged, "cognates.csv")
-    forms = kept(enriched_forms(normalize.forms(flag("forms.csv"), [FAULT]), judged, languages, parameters, [FAULT]), "forms", "forms.csv")
+    carry = [FAULT, *MASKS]
+    forms = kept(enriched_forms(normalize.forms(normalize.cell_masks(flag("forms.csv")), carry), judged, languages, parameters, carry), "forms", "forms.csv")
     delete(spark, [p for p in staged(spark) if p not in before])
-    told = _told(spark, root, found.without({b[0] for b in bad}))
+    told = _told(spark, root, found.without({b[0] for b in bad})) | {"tallies": quality.tallies(forms.where(~F.col("Dataset").isin(sorted({b[0] for b in bad}))))}
     for table, df in told.items():
         sinks.write_table(df, place(table))
         told[table] = spark.read.schema(df.schema).parquet(place(table)).select(*df.columns)

@@ -41,11 +41,13 @@ DESCRIPTOR = (
 )
 
 REPORT = (
-    "summary struct<total_datasets:bigint,total_forms:bigint,total_languages:bigint,total_parameters:bigint,datasets_with_cognates:bigint,datasets_with_partial_cognacy:bigint>,"
+    "summary struct<total_datasets:bigint,total_forms:bigint,total_languages:bigint,total_parameters:bigint,datasets_with_cognates:bigint,datasets_with_partial_cognacy:bigint,forms_with_multiple_cognatesets:bigint>,"
     "data_quality struct<glottocode_coverage_percent:double,concepticon_coverage_percent:double,forms_with_cognate_data_percent:double,forms_with_segments_percent:double,forms_with_alignment_percent:double>,"
     "partial_cognacy struct<datasets_with_morpheme_index:array<string>,datasets_with_segment_slice:array<string>,forms_with_morpheme_index:bigint,forms_with_segment_slice:bigint>,"
-    "completeness map<string,struct<forms:bigint,languages:bigint,parameters:bigint,has_cognates:boolean,Segments_null_pct:double,Comment_null_pct:double,Loan_null_pct:double,Cognacy_null_pct:double,Alignment_null_pct:double,columns_present:array<string>>>,"
-    "referential_integrity struct<orphan_language_ids:bigint,orphan_parameter_ids:bigint,forms_without_glottocode:bigint,forms_without_concepticon_id:bigint>,"
+    "completeness map<string,struct<forms:bigint,languages:bigint,parameters:bigint,has_cognates:boolean,Segments_null_pct:double,Comment_null_pct:double,Loan_null_pct:double,Cognacy_null_pct:double,Alignment_null_pct:double,columns_present:array<string>,columns_absent:array<string>,"
+    "empty_vs_missing:map<string,struct<filled:bigint,empty_string:bigint,missing_na:bigint>>>>,"
+    "referential_integrity struct<orphan_language_ids:bigint,orphan_parameter_ids:bigint,forms_without_glottocode:bigint,forms_without_concepticon_id:bigint,invalid_bibtex_references:bigint>,"
+    "row_multiplication struct<forms_with_multiple_alignments:bigint,total_duplicate_ids_from_cognates:bigint>,"
     "version_distribution map<string,map<string,bigint>>"
 )
 

@@ -8,6 +8,7 @@ first number in their names and then of the names; each is read by its own heade
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import re
 from collections import defaultdict
@@ -28,6 +29,8 @@ EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
 POSITION_TYPE = "struct<number:bigint,part:string,block:bigint,row:bigint>"
 #: Bytes at the start of a table that its header line must fit into, and tables whose headers are read at once.
 HEADER_BYTES, HEADERS_TOGETHER = 1 << 16, 16
+#: The buffer that bytes of a file run through.
+COPY_BYTES = 1 << 20
 #: A file of a dataset, its dataset and its name, in the path of the file or of a part of it.
 _PLACE = r"^(.*?([^/]+)/cldf/([^/]+))(?:/[^/]+)?$"
 #: Columns that have a meaning somewhere, by their name in lower case.
@@ -283,19 +286,35 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def release_files(spark: SparkSession, folder: str, names: tuple[str, ...] = RELEASE_FILES) -> DataFrame:
-    """``file_name``, ``path``, ``length``, ``n_parts``, ``sha256`` of a collection's files that are there.
+    """``file_name``, ``path``, ``length``, ``n_parts``, ``sha256`` of a collection's files that are there, of any length.
 
-    A file may be a folder of part files, as Spark writes one. Its length is that of all parts and its hash is the
-    SHA-256 of their SHA-256 in the order of their names, so no file is put together in one place; a file alone, or of
-    one part, has its own.
+    A file may be a folder of part files, as Spark writes one; its length is that of all parts and its hash the SHA-256 of
+    their SHA-256 in the order of parts. A file alone has its own. Bytes run through buffers of the driver's JVM, several
+    files side by side.
     """
-    split = F.split("path", "/")
-    load = lambda: spark.read.format("binaryFile").load(f"{folder}/*").withColumn("above", F.element_at(split, -2)).withColumn("last", F.element_at(split, -1))
-    there = _found(load, "path string, length bigint, content binary, above string, last string", spark)
-    inside = F.col("above").isin(*names)
-    held = there.where(inside | F.col("last").isin(*names)).select(
-        F.when(inside, F.col("above")).otherwise(F.col("last")).alias("file_name"), F.when(inside, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path")).alias("path"), "last", "length", F.sha2("content", 256).alias("hash"),
-    )
-    hashes = F.transform(F.array_sort(F.collect_list(F.struct("last", "hash"))), lambda p: p["hash"])
-    out = held.groupBy("file_name", "path").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("n_parts"), hashes.alias("hashes"))
-    return out.select("file_name", "path", "length", "n_parts", F.when(F.col("n_parts") == 1, F.col("hashes")[0]).otherwise(F.sha2(F.array_join("hashes", ""), 256)).alias("sha256"))
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = [s for s in fs.listStatus(made) if s.getPath().getName() in names] if fs.exists(made) else []
+
+    def told(status) -> tuple[str, str, int, int, str]:
+        path = status.getPath()
+        parts = [status]
+        if status.isDirectory():
+            parts = sorted((s for s in fs.listStatus(path) if s.isFile() and not s.getPath().getName().startswith(("_", "."))), key=lambda s: part_order(s.getPath().getName()))
+        hashes = [_sha256(spark, s.getPath()) for s in parts]
+        whole = hashes[0] if len(hashes) == 1 else hashlib.sha256("".join(hashes).encode()).hexdigest()
+        return path.getName(), path.toString(), sum(s.getLen() for s in parts), len(parts), whole
+
+    with ThreadPool(HEADERS_TOGETHER) as pool:
+        return spark.createDataFrame(sorted(pool.map(told, listed)), "file_name string, path string, length bigint, n_parts bigint, sha256 string")
+
+
+def _sha256(spark: SparkSession, path) -> str:
+    jvm = spark.sparkContext._jvm
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, jvm.java.security.DigestOutputStream(jvm.java.io.OutputStream.nullOutputStream(), digest), COPY_BYTES, False)
+    finally:
+        stream.close()
+    return bytes(digest.digest()).hex()

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossaria.sources.files import COPY_BYTES, part_order
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = "Dataset", mode: str = "overwrite") -> None:
     """Parquet, a folder per dataset; only the datasets in ``df`` are replaced, so that a repeated write changes nothing.
@@ -19,22 +24,67 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = "Dataset",
     df.hint("rebalance", partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """CSV with a header: null as an empty cell, booleans as ``True`` and ``False``, quotes doubled."""
+def _shown(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     out = df.select(*columns) if columns else df
-    shown = [F.initcap(F.col(c).cast("string")).alias(c) if kind == "boolean" else F.col(c) for c, kind in out.dtypes]
-    out.select(*shown).write.mode(mode).csv(path, header=True, escape='"', nullValue="", emptyValue="")
+    return out.select(*(F.initcap(F.col(c).cast("string")).alias(c) if kind == "boolean" else F.col(c) for c, kind in out.dtypes))
+
+
+def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> tuple[int, str]:
+    """One CSV file with a header, the rows in the order of ``df``: null as an empty cell, booleans as ``True`` and ``False``, quotes doubled. Returns its length and hash."""
+    shown, parts = _shown(df, columns), _parts_of(path)
+    shown.write.csv(parts, escape='"', nullValue="", emptyValue="")
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(shown.columns)
+    return _joined(df.sparkSession, parts, path, header.getvalue())
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """JSON, one object a row; nulls stay visible."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_report(df: DataFrame, path: str) -> tuple[int, str]:
+    """One file of JSON, an object a row; nulls stay visible. Returns its length and hash."""
+    parts = _parts_of(path)
+    df.write.option("ignoreNullFields", "false").json(parts)
+    return _joined(df.sparkSession, parts, path)
 
 
-def write_bibliography(entries: DataFrame, path: str) -> None:
-    """Entries (``Dataset``, ``pos``, ``text``) in order, a blank line between them."""
+def write_bibliography(entries: DataFrame, path: str) -> tuple[int, str]:
+    """One file of the entries (``Dataset``, ``pos``, ``text``) in order, a blank line between them. Returns its length and hash."""
+    parts = _parts_of(path)
     rows = entries.where(F.col("text").rlike(r"\S")).orderBy("Dataset", "pos").select(F.concat(F.rtrim("text"), F.lit("\n")).alias("value"))
-    rows.write.mode("overwrite").text(path)
+    rows.write.text(parts)
+    return _joined(entries.sparkSession, parts, path)
+
+
+def _parts_of(path: str) -> str:
+    """A folder beside the file, for its parts: not read by anyone, for its name begins with an underscore."""
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/_parts-{name}-{uuid.uuid4().hex}"
+
+
+def _joined(spark: SparkSession, parts: str, path: str, header: str = "") -> tuple[int, str]:
+    """Strings the parts of a folder, in the order of their names, together to a file, which is there once it is whole; the folder goes.
+
+    Bytes run through a buffer of the driver's JVM, and through the digest on the way; nobody holds the file.
+    """
+    jvm = spark.sparkContext._jvm
+    at, draft, final = (jvm.org.apache.hadoop.fs.Path(p) for p in (parts, f"{parts}/_whole", path))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")), key=lambda p: part_order(p.getName()))
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    out = jvm.java.security.DigestOutputStream(fs.create(draft, True), digest)
+    try:
+        out.write(bytearray(header.encode()))
+        for part in found:
+            stream = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, COPY_BYTES, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    length = fs.getFileStatus(draft).getLen()
+    fs.delete(final, True)
+    fs.rename(draft, final)
+    fs.delete(at, True)
+    return length, bytes(digest.digest()).hex()
 
 
 def dry_run(df: DataFrame) -> None:

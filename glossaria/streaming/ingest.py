@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from glossaria.operators.quality import TALLIES
 from glossaria.plans import corpus
 from glossaria.schemas import FORMS_WORKING, LANGUAGES, METADATA, PARAMETERS, REFERENCES, schema_of
 from glossaria.sources import files, versions
@@ -23,7 +24,7 @@ from glossaria.sources import files, versions
 MANIFEST = "Dataset string, fingerprint string, batch string, reason string"
 _SCHEMAS = {
     "forms": schema_of(FORMS_WORKING), "languages": schema_of(LANGUAGES), "parameters": schema_of(PARAMETERS), "metadata": schema_of(METADATA), "references": schema_of(REFERENCES),
-    "bibliography": "Dataset string, pos long, key string, text string", "headers": "Dataset string, columns array<string>",
+    "bibliography": "Dataset string, pos long, key string, text string", "headers": "Dataset string, columns array<string>", "tallies": TALLIES,
 }
 
 

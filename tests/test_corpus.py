@@ -1,15 +1,17 @@
 """The build of collections from files, trap by trap."""
 
+import hashlib
 import json
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from glossaria.operators import bibliography, enrich, judgments, membership, normalize, quality, release
 from glossaria.plans import corpus
-from glossaria.schemas import FORMS_WORKING, FORMS_WRITTEN, LANGUAGES
+from glossaria.schemas import FORMS_WORKING, FORMS_WRITTEN, LANGUAGES, RELEASE_FILES, REPORT
 from glossaria.sources import files, sinks
 from glossaria.sources.staging import stage
 
@@ -212,6 +214,27 @@ def test_report(full):
     assert r["version_distribution"]["glottolog"] == {"v4.7": 6}
 
 
+def test_whole_report(spark, full):
+    r = full.report().first()
+    alpha, beta, delta = (r["completeness"][d] for d in ("alpha", "beta", "delta"))
+    assert alpha["empty_vs_missing"]["Cognacy"] == (2, 4, 0) and beta["empty_vs_missing"]["Cognacy"] == (0, 0, 4)
+    assert alpha["empty_vs_missing"]["Source"] == (3, 3, 0) and beta["empty_vs_missing"]["Value"] == (3, 1, 0)
+    assert "Alignment" in alpha["columns_absent"] and "Segments" not in alpha["columns_absent"] and set(beta["columns_absent"]) & {"ID", "Form", "Value"} == set()
+    assert delta["empty_vs_missing"]["Alignment"] == (0, 0, 2) and r["completeness"]["zeta"]["empty_vs_missing"] is None
+    assert r["summary"]["forms_with_multiple_cognatesets"] == 3  # of alpha 1, of delta 2
+    assert tuple(r["row_multiplication"]) == (1, 1) and r["referential_integrity"]["invalid_bibtex_references"] == 1
+    written = spark.createDataFrame([full.report().toJSON().first()], "string").select(F.from_json("value", REPORT).alias("r")).first()["r"]
+    assert written == full.report().select(*written.asDict()).first()
+
+
+def test_tallies_of_parts_equal_the_whole(full):
+    """Per-dataset counts add up the same however datasets are split."""
+    counts = ["multiple_cognatesets", "multiple_alignments", "duplicate_ids"]
+    whole = tuple(full.tallies.agg(*(F.sum(c) for c in counts)).first())
+    halves = full.tallies.groupBy((F.crc32("Dataset") % 3).alias("part")).agg(*(F.sum(c).alias(c) for c in counts))
+    assert tuple(halves.agg(*(F.sum(c) for c in counts)).first()) == whole == (3, 1, 1)
+
+
 def test_rollup_of_parts_equals_whole(spark, full):
     stats = full.stats()
     parts = stats.withColumn("half", F.crc32("Dataset") % 2)
@@ -253,10 +276,27 @@ def test_exports(spark, full, tmp_path):
     assert tuple(back.columns) == FORMS_WRITTEN and rows["beta_1"]["Loan"] == "True" and rows["beta_1"]["Form"] == 'a, "q"' and rows["beta_3"]["Loan"] is None
     typed = files.read_published(spark, f"{tmp_path}/forms.csv", FORMS_WRITTEN)
     assert sorted(map(str, typed.collect())) == sorted(map(str, full.written_forms().collect()))
-    text = "".join(open(f"{tmp_path}/sources.bib/{f}").read() for f in sorted(os.listdir(f"{tmp_path}/sources.bib")) if f.startswith("part"))
-    assert text.index("alpha_K1") < text.index("alpha_K2") < text.index("epsilon_K1")
-    part = next(f for f in os.listdir(f"{tmp_path}/validation_report.json") if f.startswith("part"))
-    assert json.loads(open(f"{tmp_path}/validation_report.json/{part}").read())["summary"]["total_datasets"] == 7
+    text = open(f"{tmp_path}/sources.bib").read()
+    assert text.index("alpha_K1") < text.index("alpha_K2") < text.index("@comment{x, y}") < text.index("epsilon_K1") and "}\n\n@book{alpha_K2,\n title={Two}" in text
+    assert json.loads(open(f"{tmp_path}/validation_report.json").read())["summary"]["total_datasets"] == 7
+    assert {f for f in os.listdir(tmp_path) if not f.endswith(".crc")} == set(RELEASE_FILES)
+
+
+def test_exported_files_are_what_other_tools_read(spark, full, tmp_path):
+    """One file with one header, in order, from several parts; its hash is that of its bytes."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        length, sha = sinks.export_csv(corpus.in_order(full.forms), f"{tmp_path}/forms.csv", FORMS_WRITTEN)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    data = (tmp_path / "forms.csv").read_bytes()
+    assert (length, sha) == (len(data), hashlib.sha256(data).hexdigest())
+    frame = pd.read_csv(tmp_path / "forms.csv", keep_default_na=False)
+    assert tuple(frame.columns) == FORMS_WRITTEN and len(frame) == 18
+    assert frame["Dataset"].tolist() == sorted(frame["Dataset"]) and frame.set_index("ID").loc["beta_2", "Value"] == "two\nlines"
+    again = sinks.export_csv(full.languages.limit(0), f"{tmp_path}/forms.csv")  # takes the place of the file before
+    assert (tmp_path / "forms.csv").read_text() == ",".join(LANGUAGES) + "\n" and again[0] == len(",".join(LANGUAGES)) + 1
 
 
 def test_row_multiplication(spark):

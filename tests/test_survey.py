@@ -92,10 +92,8 @@ def test_release_of_what_was_exported(spark, full, tmp_path):
     rows = {r["file_name"]: r for r in found.collect()}
     assert set(rows) == set(RELEASE_FILES)
     for name, r in rows.items():
-        parts = sorted(p for p in (tmp_path / "full" / name).iterdir() if p.name.startswith("part"))
-        hashes = [hashlib.sha256(p.read_bytes()).hexdigest() for p in parts]
-        assert r["length"] == sum(p.stat().st_size for p in parts) and r["n_parts"] == len(parts)
-        assert r["sha256"] == (hashes[0] if len(parts) == 1 else hashlib.sha256("".join(hashes).encode()).hexdigest())
+        whole = (tmp_path / "full" / name).read_bytes()
+        assert (r["length"], r["n_parts"], r["sha256"]) == (len(whole), 1, hashlib.sha256(whole).hexdigest())
     needed = spark.createDataFrame([("full", n) for n in RELEASE_FILES] + [("core", "forms.csv")], "collection string, file_name string")
     assert [tuple(r) for r in release.gate(needed, found, ["collection", "file_name"]).collect()] == [("core", "forms.csv")]
     listed = stage(release.manifest(found, "A.20251008", expected=RELEASE_FILES), "listed")
@@ -110,7 +108,13 @@ def test_release_of_what_was_exported(spark, full, tmp_path):
 def test_single_files_have_their_own_hash(spark, tmp_path):
     (tmp_path / "forms.csv").write_text("ID\n1\n")
     (tmp_path / "notes.txt").write_text("x")
-    assert [(r["file_name"], r["length"], r["sha256"]) for r in files.release_files(spark, str(tmp_path)).collect()] == [("forms.csv", 5, hashlib.sha256(b"ID\n1\n").hexdigest())]
+    (tmp_path / "languages.csv").mkdir()
+    for k, text in ((10, "b"), (9, "a"), (100, "c")):
+        (tmp_path / f"languages.csv/part-{k}.csv").write_text(text)
+    (tmp_path / "languages.csv/_SUCCESS").write_text("")
+    of_parts = hashlib.sha256("".join(hashlib.sha256(x).hexdigest() for x in (b"a", b"b", b"c")).encode()).hexdigest()
+    assert [(r["file_name"], r["length"], r["n_parts"], r["sha256"]) for r in files.release_files(spark, str(tmp_path)).collect()] == [("forms.csv", 5, 1, hashlib.sha256(b"ID\n1\n").hexdigest()), ("languages.csv", 3, 3, of_parts)]
+    assert files.release_files(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_statistics_of_a_stored_report(spark, full, tmp_path):
