@@ -76,6 +76,37 @@ def test_groups_against_all_pairs(spark):
         assert dict(s.similar_texts(docs).collect()) == dict(enumerate(want))
 
 
+def test_exact_groups_are_those_of_all_pairs(spark):
+    """Nothing of the operator's own rule is in what is expected: all pairs of sets are compared. Many are just above or below the similarity."""
+    rng = random.Random(21)
+    texts = corpus(5)
+    for size in (20, 45, 90, 250):
+        for _ in range(12):
+            base = [f"v{rng.randrange(10**6)}" for _ in range(size)]
+            texts += [" ".join(base), *(edited(rng, base, max(1, round(size * part))) for part in (0.015, 0.02, 0.022, 0.025))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = groups(texts)
+    assert dict(s.similar_texts(docs, exact=True).collect()) == dict(enumerate(want))
+
+
+def test_recall_by_similarity(spark):
+    """Without ``exact``: no link is made up, and of the pairs of each band of similarity most are linked; told by all pairs of sets."""
+    rng = random.Random(31)
+    bases = [[f"w{rng.randrange(10**7)}" for _ in range(rng.choice((60, 150, 400)))] for _ in range(160)]
+    texts = [t for b in bases for t in (" ".join(b), edited(rng, b, max(1, round(len(b) * rng.choice((0.005, 0.01, 0.015, 0.02))))))]
+    sets = [plain(t) for t in texts]
+    root = dict(s.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    seen = Counter()
+    for i in range(0, len(texts), 2):
+        j = len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1])
+        linked = root[i] == root[i + 1]
+        assert j >= 0.8 or not linked
+        if j >= 0.8:
+            seen[min(int((j - 0.8) / 0.05), 2), linked] += 1
+    print({band: seen[band, True] / (seen[band, True] + seen[band, False]) for band in range(3)}, seen)
+    assert all(seen[band, True] >= 0.9 * (seen[band, True] + seen[band, False]) for band in range(3)) and min(seen[b, True] for b in range(3)) > 10
+
+
 def test_key_shares_hold_for_every_ring_in_the_radius():
     """The pigeonring: from some digit on none of the first, one of the first three and five of the first eight may differ."""
     rng = np.random.RandomState(5)
