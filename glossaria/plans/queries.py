@@ -432,7 +432,24 @@ def _windowed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n_rows", "n_value")
 
 
+SQL["revised_stats"] = """
+WITH e AS (SELECT *, CAST(user_id % 3 AS INTEGER) AS revision, user_id % 17 AS dataset FROM events WHERE user_id % 17 <> user_id % 3)
+SELECT CAST(dataset AS BIGINT) AS dataset, max(revision) AS revision, count(*) AS n_rows, count(value) AS n_value, (SELECT count(*) FROM e x WHERE revision = (SELECT max(revision) FROM e y WHERE y.dataset = x.dataset)) AS n_all
+FROM e WHERE revision = (SELECT max(revision) FROM e z WHERE z.dataset = e.dataset) GROUP BY dataset
+"""
+
+
+def _revised_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted over micro-batches by a number of their user as dataset; rows of an older revision, early or late, count no more."""
+    out = fresh_path(spark, "revised-stats")
+    rows = _streamed(spark, sf_dir).withColumns({"revision": (C("user_id") % 3).cast("int"), "dataset": (C("user_id") % 17).cast("long")}).where("dataset <> revision")
+    ingest.run_revised(rows, f"{out}/table", f"{out}/state", "dataset", "revision", ["value"])
+    held = ingest.read_revised(spark, f"{out}/table")
+    return held.join(held.agg(F.sum("n_rows").alias("n_all"))).select("dataset", "revision", "n_rows", "n_value", "n_all")  # one row
+
+
 QUERIES.update(file_queries.QUERIES | store_queries.QUERIES)
 SQL.update(file_queries.SQL | store_queries.SQL)
 QUERIES["incremental_stats"] = _incremental_stats
 QUERIES["windowed_stats"] = _windowed_stats
+QUERIES["revised_stats"] = _revised_stats

@@ -117,3 +117,47 @@ def run_to_table(stream: DataFrame, target: str, checkpoint: str, mode: str = "c
         batch.write.mode("overwrite").parquet(target)
 
     stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def revised_stats(rows: DataFrame, dataset: str, revision: str, cols: Sequence[str]) -> DataFrame:
+    """:func:`running_stats` of each dataset's newest revision: rows of older ones count no more. A null revision is the oldest."""
+    return _newest(running_stats(rows, [dataset, revision], cols), dataset, revision)
+
+
+def _newest(counts: DataFrame, dataset: str, revision: str) -> DataFrame:
+    newest = counts.groupBy(F.col(dataset).alias("__dataset")).agg(F.max(revision).alias("__revision"))
+    return counts.join(newest, F.col(dataset).eqNullSafe(F.col("__dataset")) & F.col(revision).eqNullSafe(F.col("__revision"))).select(*counts.columns)
+
+
+def merged_stats(held: DataFrame, more: DataFrame, dataset: str, revision: str) -> DataFrame:
+    """Counts of two sets of rows as if counted together: of one revision they add up, a newer one takes the place of an older one, in whatever order they come."""
+    counts = [c for c in held.columns if c not in (dataset, revision)]
+    summed = held.unionByName(more).groupBy(dataset, revision).agg(*(F.sum(c).alias(c) for c in counts))
+    return _newest(summed, dataset, revision)
+
+
+def run_revised(stream: DataFrame, folder: str, checkpoint: str, dataset: str, revision: str, cols: Sequence[str]) -> None:
+    """Counts a stream as :func:`revised_stats` does, over whatever is there; :func:`read_revised` gives the result.
+
+    The state has a row per dataset and is a version of ``folder`` after each micro-batch. A micro-batch that is run again
+    after its state was stored counts once.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        version, name = versions.current(spark, folder)
+        if name is not None and int(name.split("-")[1]) >= number:
+            return
+        counts = revised_stats(batch, dataset, revision, cols)
+        if name is not None:
+            counts = merged_stats(spark.read.schema(counts.schema).parquet(f"{folder}/{name}"), counts, dataset, revision)
+        made = f"state-{number}-{uuid.uuid4().hex}"
+        counts.write.parquet(f"{folder}/{made}")
+        versions.publish(spark, folder, version, made)
+
+    stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_revised(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of the newest state; an error if there is none."""
+    return spark.read.parquet(f"{folder}/{versions.current(spark, folder)[1]}")

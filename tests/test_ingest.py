@@ -154,3 +154,21 @@ def test_a_build_reads_each_table_once(spark, tmp_path):
     assert size <= read <= 1.1 * size, read / size
     assert full.forms.count() == 120_000 and full.forms.agg(F.count("Cognacy")).first()[0] == 120_000
     assert {r["Dataset"] for r in full.metadata.collect()} == {"one", "two"} and full.languages.count() == 4
+
+
+def test_counters_take_back(spark, tmp_path):
+    """A dataset that comes again, or changed, takes the place of what was counted before; so in one stream, in its batches, and in a batch that is run twice."""
+    schema, source, state = "ds string, revision int, value string", f"{tmp_path}/in", f"{tmp_path}/state"
+    batches = [[("a", 1, "x"), ("a", 1, None), ("b", 1, "x"), (None, None, "x")], [("a", 2, "x"), ("a", 1, "late"), ("c", 1, "x")], [("a", 2, "y"), ("b", 1, "more"), ("b", 0, "late")], [("b", 3, None), (None, 1, "y")]]
+    so_far = []
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        so_far += rows
+        stream = ingest.read_stream(spark, source, spark.read.parquet(source).schema)
+        ingest.run_revised(stream, f"{tmp_path}/out", state, "ds", "revision", ["value"])
+        got = {tuple(r) for r in ingest.read_revised(spark, f"{tmp_path}/out").select("ds", "revision", "n_rows", "n_value").collect()}
+        assert got == {tuple(r) for r in ingest.revised_stats(spark.createDataFrame(so_far, schema), "ds", "revision", ["value"]).select("ds", "revision", "n_rows", "n_value").collect()}, k
+    assert got == {("a", 2, 2, 2), ("b", 3, 1, 0), ("c", 1, 1, 1), (None, 1, 1, 1)}
+    shutil.rmtree(state)  # the stream begins anew, its first batches have the numbers that the state has seen
+    ingest.run_revised(ingest.read_stream(spark, source, spark.read.parquet(source).schema), f"{tmp_path}/out", state, "ds", "revision", ["value"])
+    assert got == {tuple(r) for r in ingest.read_revised(spark, f"{tmp_path}/out").select("ds", "revision", "n_rows", "n_value").collect()}
