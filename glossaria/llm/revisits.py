@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glossaria.llm.common import table
-from glossaria.llm.url_filter import OP1_SQL, canonical_url
+from glossaria.llm.common import LOWER, UPPER, table
+from glossaria.llm.url_filter import OP1_SQL, canonical_url, host_of, path_of
 
 #: Seconds of a time slice.
 SLICE_SECONDS = 3600
@@ -97,11 +97,17 @@ def _merged(status: Column) -> Column:
 def captures(pages: DataFrame) -> DataFrame:
     """Captures derived from ``pages``: each page as a full response and, later or earlier, as a revisit under another spelling of its URL.
 
-    Some revisits lack validators or carry those of another version.
+    Revisits name their page under another spelling: scheme, ``www.``, port, closing slash, order of parameters and fragment
+    differ. Some lack validators or carry those of another version.
     """
     i, tag = F.col("page_id"), F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
     body = F.md5("html")
     day = lambda x: F.concat(F.lit("day "), F.floor(x / 86400).cast("string"))
+    url = F.col("url")
+    host = F.translate(F.regexp_replace(host_of(url), r"^(www|m)\.|:(80|443)$", ""), LOWER, UPPER)
+    query = F.array_join(F.reverse(F.split(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1), F.lit("")), "&")), "&")
+    spelled = F.concat(F.lit("HTTPS://WWW."), host, F.lit(":443"), path_of(url), F.lit("/?utm_source=again&"), query, F.lit("#again"))
+    again = F.when(F.instr(url, "://") > 0, spelled).otherwise(F.concat(F.regexp_replace(url, "#.*$", ""), F.lit("#again")))
     response = pages.select(
         (2 * i).alias("record_id"), "url", (600 * i).alias("at"), F.lit("response").alias("kind"),
         F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.octet_length("html").cast("string"), F.lit("ETag"), tag, F.lit("Last-Modified"), day(600 * i), F.lit("Date"), (600 * i).cast("string")).alias("headers"),
@@ -110,7 +116,7 @@ def captures(pages: DataFrame) -> DataFrame:
     at = 600 * i + F.when(i % 17 == 0, -50).otherwise((i % 29) * 1000)
     sent = F.when(i % 11 == 0, F.lit('"other"')).when(i % 5 != 0, F.concat(F.lit("W/"), tag))
     revisit = pages.select(
-        (2 * i + 1).alias("record_id"), F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")).alias("url"), at.alias("at"), F.lit("revisit").alias("kind"),
+        (2 * i + 1).alias("record_id"), again.alias("url"), at.alias("at"), F.lit("revisit").alias("kind"),
         F.create_map(F.lit("Date"), at.cast("string"), F.lit("Etag"), sent, F.lit("Last-Modified"), F.when(i % 7 != 0, day(600 * i)), F.lit("Cache-Control"), F.lit("max-age=60"), F.lit("Content-Length"), F.lit("0")).alias("headers"),
         F.when(i % 23 == 0, body).alias("digest"),
     )
@@ -129,7 +135,11 @@ WITH captured AS (
   SELECT 2 * page_id AS record_id, url, 600 * page_id AS "at", true AS is_full, md5(html) AS digest, '"' || md5(html) || '"' AS etag,
     'day ' || CAST(floor(600 * page_id / 86400) AS BIGINT) AS modified, CAST(strlen(html) AS VARCHAR) AS size FROM pages
   UNION ALL BY NAME
-  SELECT 2 * page_id + 1 AS record_id, regexp_replace(url, '#.*$', '') || '#again' AS url,
+  SELECT 2 * page_id + 1 AS record_id,
+    CASE WHEN contains(url, '://') THEN concat('HTTPS://WWW.',
+      translate(regexp_replace(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '^(www|m)\.|:(80|443)$', '', 'g'), '{LOWER}', '{UPPER}'),
+      ':443', regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/?utm_source=again&', array_to_string(list_reverse(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&')), '&'), '#again')
+    ELSE regexp_replace(url, '#.*$', '') || '#again' END AS url,
     600 * page_id + CASE WHEN page_id % 17 = 0 THEN -50 ELSE (page_id % 29) * 1000 END AS "at", false AS is_full,
     CASE WHEN page_id % 23 = 0 THEN md5(html) END AS digest,
     CASE WHEN page_id % 11 = 0 THEN '"other"' WHEN page_id % 5 <> 0 THEN 'W/"' || md5(html) || '"' END AS etag,
