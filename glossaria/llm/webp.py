@@ -760,10 +760,20 @@ def _load(media: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"samples": samples, "feature": [s if s is None else feature(s) for s in samples]}, dtype=object)
 
 
-@F.pandas_udf(T.ArrayType(T.StructType().add("width", T.IntegerType()).add("height", T.IntegerType()).add("pixels", T.BinaryType())))
-def _pixels(media: pd.Series) -> pd.Series:
-    shown = lambda m: [{"width": p.shape[1], "height": p.shape[0], "pixels": channels(p).tobytes()} for p in images(m)]
-    return pd.Series([None if m is None else shown(m) for m in media], dtype=object)
+_IMAGES = T.ArrayType(T.StructType().add("width", T.IntegerType()).add("height", T.IntegerType()).add("pixels", T.BinaryType()))
+
+
+@F.pandas_udf(T.StructType().add("images", _IMAGES).add("reason", T.StringType()))
+def _pixels(media: pd.Series) -> pd.DataFrame:
+    found, reasons = [], []
+    for m in media:
+        try:
+            found.append(None if m is None else [{"width": p.shape[1], "height": p.shape[0], "pixels": channels(p).tobytes()} for p in images(m)])
+            reasons.append(None)
+        except (ValueError, IndexError, OverflowError, MemoryError) as e:  # whatever damaged bytes lead to
+            found.append(None)
+            reasons.append(str(e) or type(e).__name__)
+    return pd.DataFrame({"images": found, "reason": reasons}, dtype=object)
 
 
 def feature(samples: bytes) -> str:
@@ -782,14 +792,20 @@ def load_samples(media: Column) -> Column:
     return _load(media)
 
 
-def decode_pixels(media: Column) -> Column:
-    """``width``, ``height`` and ``pixels`` (blue, green, red, alpha bytes) of each lossless WebP image in a binary column.
+def try_decode(media: Column) -> Column:
+    """``images`` (``width``, ``height`` and ``pixels``: blue, green, red, alpha bytes) of each lossless WebP file in a binary column, and ``reason``.
 
-    Null stays null, empty bytes have no image; bytes that are no lossless WebP file raise :class:`WebpError`.
+    Null stays null, empty bytes have no image. A damaged file, or one that is no lossless WebP, has null images and the
+    reason, and stops no other.
     """
     return _pixels(media)
 
 
+def decode_pixels(media: Column) -> Column:
+    """The images of :func:`try_decode`; null for what can't be read."""
+    return _pixels(media)["images"]
+
+
 def media_columns(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``media``, ``samples`` read back from it, and ``feature``, for every document.
 

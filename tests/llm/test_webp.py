@@ -1,3 +1,4 @@
+import random
 import hashlib
 import itertools
 import zlib
@@ -106,3 +107,14 @@ def test_odd_rows_and_columns(spark):
     assert w.media_columns(documents(spark, [])).count() == 0
     shown = w.media_columns(documents(spark)).where("doc_id = 7").select(w.decode_pixels(w.F.col("media")).alias("p")).first()["p"]
     assert (shown[0]["width"], shown[0]["height"], bytes(shown[0]["pixels"][1::4])) == (64, 1, b"one" + bytes(61))
+
+
+def test_damaged_files_stop_no_others(spark):
+    whole = w.store_bytes(w.padded("some text and more of it"))
+    rng = random.Random(4)
+    broken = [whole[:n] for n in range(0, len(whole), 7)] + [bytes(b ^ (rng.random() < 0.05) * rng.randrange(256) for b in whole) for _ in range(60)] + [b"RIFF", b"not an image"]
+    df = spark.createDataFrame([(-1, whole), (-2, None), *enumerate(broken)], "k int, m binary")
+    rows = {r["k"]: r["d"] for r in df.select("k", w.try_decode(df["m"]).alias("d")).collect()}
+    assert len(rows) == len(broken) + 2 and rows[-1]["reason"] is None and rows[-1]["images"][0]["width"] > 0 and rows[-2] == (None, None)
+    assert rows[len(broken) - 1]["images"] is None and rows[len(broken) - 1]["reason"]
+    assert all((r["images"] is None) == (r["reason"] is not None) for k, r in rows.items() if k != -2)
