@@ -148,11 +148,11 @@ FROM members m
 """)
 def built_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What descriptors, headers and bibliographies of the files tell of each dataset, and which datasets were left out."""
-    root = write_datasets(spark, sf_dir)
-    full = corpus.process(spark, root)
+    target = fresh_path(spark, "full")
+    full, bad = corpus.write_full(spark, write_datasets(spark, sf_dir), lambda table: f"{target}/{table}")
     cited = full.bibliography.groupBy("Dataset").agg(F.count("key").alias("n_entries"))
     out = full.metadata.join(full.references.select("Dataset", "Glottolog_Version"), "Dataset").join(full.headers.select("Dataset", F.array_join("columns", ",").alias("header")), "Dataset").join(cited, "Dataset")
-    skipped = files.skipped(files.rejects(spark, root)).select("skipped")  # one row
+    skipped = files.skipped(spark.createDataFrame(bad, "Dataset string, file_name string, reason string")).select("skipped")  # one row
     return out.join(skipped).select("Dataset", "Title", "CLDF_Module", "Repository_Version", "Form_Count", "Language_Count", "Parameter_Count", "Has_Cognates", "Glottolog_Version", "header", "n_entries", "skipped")
 
 
@@ -174,9 +174,11 @@ FROM cells c LEFT JOIN multiple USING (ds)
 """)
 def built_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of the whole report, a row for each dataset: what judgments multiply, which cells are filled, empty or missing, columns that are absent, citations that don't resolve."""
-    report = corpus.process(spark, write_datasets(spark, sf_dir)).report()
+    target = fresh_path(spark, "full")
+    full, _ = corpus.write_full(spark, write_datasets(spark, sf_dir), lambda table: f"{target}/{table}")
+    report = full.report()
     rows = report.select("summary", "row_multiplication", "referential_integrity", F.explode("completeness").alias("Dataset", "of"))
-    counted = corpus.process(spark, write_datasets(spark, sf_dir)).tallies.select("Dataset", "multiple_cognatesets", "multiple_alignments", "duplicate_ids")
+    counted = full.tallies.select("Dataset", "multiple_cognatesets", "multiple_alignments", "duplicate_ids")
     cells = lambda c, kind: C("of.empty_vs_missing")[c][kind]
     return rows.join(counted, "Dataset").select(
         "Dataset", "multiple_cognatesets", "multiple_alignments", "duplicate_ids", cells("Alignment", "filled").alias("alignments_filled"), cells("Alignment", "empty_string").alias("alignments_empty"),
