@@ -82,6 +82,25 @@ def ingest(spark: SparkSession, root: str, target: str, by_content: bool = False
         found.unpersist()
 
 
+def clean(spark: SparkSession, target: str) -> int:
+    """Deletes the folders of batches that the version that counts no longer names, and returns how many; batches that come after it stay.
+
+    Readers that began with an earlier version lose their files.
+    """
+    number, held = manifest(spark, target)
+    named = {r["batch"] for r in held.select("batch").distinct().collect()}  # names of batches
+    gone = set()
+    for table in _SCHEMAS:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{table}")
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(at) if fs.exists(at) else []:
+            batch = status.getPath().getName().removeprefix("batch=")
+            if batch[:12].isdigit() and int(batch[:12]) <= number and batch not in named:
+                fs.delete(status.getPath(), True)
+                gone.add(batch)
+    return len(gone)
+
+
 def watch(spark: SparkSession, root: str, target: str, checkpoint: str, every: str = "1 minute", by_content: bool = False) -> StreamingQuery:
     """:func:`ingest` again and again, as the micro-batches of a stream; a batch that loses a race is left to the next one."""
 

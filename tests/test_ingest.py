@@ -57,6 +57,9 @@ def test_ingest_equals_batch_after_each_step(spark, places):
     shutil.rmtree(root / "alpha")
     assert ingest.ingest(spark, str(root), target) == 3
     assert_like_batch(spark, root, target)
+    assert ingest.clean(spark, target) == 1 and ingest.clean(spark, target) == 0  # of the first batch nothing is left, of the second some is
+    assert {p for p in os.listdir(f"{target}/forms") if p.startswith("batch=")} == {f"batch={r[0]}" for r in ingest.manifest(spark, target)[1].select("batch").distinct().collect() if r[0]}
+    assert_like_batch(spark, root, target)
     stats = ingest.read(spark, target).stats()
     assert quality.rollup(stats).first()["total_forms"] == corpus.process(spark, str(root)).forms.count()
 
