@@ -2,7 +2,7 @@
 
 A version is a small file in ``_versions`` that names what belongs to it. It is put there last, under its number, if nobody
 has put one there before: a reader sees all of a version or nothing of it, and of two writers that began with the same
-version one fails.
+version one fails. File systems that rename by a check and a move, as local ones do, leave a moment in which both may pass.
 """
 
 from __future__ import annotations
