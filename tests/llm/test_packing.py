@@ -28,7 +28,6 @@ def check_places(rows, capacity=p.CAPACITY):
 
 def expected(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(p.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     out = []
     for i, t in texts:
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]

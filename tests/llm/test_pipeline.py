@@ -54,5 +54,5 @@ def test_registry(spark):
     import __spark_entry__ as e
 
     names = e.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert simhash.RADIUS == 4
