@@ -14,7 +14,8 @@ as well. All are judged by their whole sets of shingles, so no link is made up,
 don't meet. ``exact`` finds these too, by a prefix filter: of a text's shingles, ordered by hash, one of the first fifth
 and one more is among those of every text that is similar enough. It has a key for each of them, of two parts only.
 
-Copies fall together first, by a 128-bit hash of their words. Then the texts of a key are compared with the one whose
+Copies fall together first, by a 64-bit hash of their words; where two different texts share it, which a second one tells,
+the second takes its place. Then the texts of a key are compared with the one whose
 keys are the most shared, which draws large groups together; after that only texts of different parts are compared,
 and the largest part of a key not with itself. Joins compare rings and sketches at once, so that of texts which are only
 somewhat alike no pair leaves them. A text has ``GAPS * DIGITS`` keys and meets by chance ``GAPS * DIGITS / (2 * SIDES)
@@ -110,9 +111,22 @@ def parities(found: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(found & 64 * SKETCH - 1, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
 
 
-def _node(text: Column) -> Column:
-    """The hash of a text's lower-cased words, 16 bytes: texts of one hash are taken for one."""
-    return F.unhex(F.md5(F.trim(F.regexp_replace(ascii_lower(text), r"[ \t-\r]+", " "))))
+def _hashes(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a text's lower-cased words."""
+    words = F.trim(F.regexp_replace(ascii_lower(text), r"[ \t-\r]+", " "))
+    return F.xxhash64(words), F.xxhash64(F.lit(1), words)
+
+
+def _told_apart(node: Column, check: Column, apart: dict[int, int]) -> Column:
+    """What stands for a text: its first hash, or the second one if another text has the same first one. ``apart`` has the least second hash of each such first one."""
+    if not apart:
+        return node
+    least = F.create_map(*(F.lit(x).cast("long") for pair in apart.items() for x in pair))[node]
+    return F.when(least.isNull() | (least == check), node).otherwise(check)
+
+
+def _node(text: Column, apart: dict[int, int]) -> Column:
+    return _told_apart(*_hashes(text), apart)
 
 
 def _shingles(text: Column, width: int) -> Column:
@@ -124,7 +138,7 @@ def _shingles(text: Column, width: int) -> Column:
 
 
 def marked_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id``, ``node`` (the text), ``n`` different shingles, ``digits``, ``ring`` (the low byte of each, eight in a long), ``sketch``."""
+    """``doc_id``, ``node`` and ``check`` (two hashes of the text), ``n`` different shingles, ``digits``, ``ring`` (the low byte of each, eight in a long), ``sketch``."""
 
     @F.pandas_udf("n int, digits array<short>, ring array<long>, sketch array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
@@ -138,7 +152,8 @@ def marked_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             sketches += map(parities, sets)
         return pd.DataFrame({"n": sizes, "digits": made, "ring": rings, "sketch": sketches})
 
-    return docs.select("doc_id", _node(F.col("text")).alias("node"), run("text").alias("r")).select("doc_id", "node", "r.*")
+    node, check = _hashes(F.col("text"))
+    return docs.select("doc_id", node.alias("node"), check.alias("check"), run("text").alias("r")).select("doc_id", "node", "check", "r.*")
 
 
 def _rows(texts: DataFrame) -> DataFrame:
@@ -183,18 +198,18 @@ def _alike(rows: DataFrame, others: DataFrame, apart: Column) -> DataFrame:
     return rows.join(right, meet).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, apart: dict[int, int]) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``, distinct) whose whole sets are similar enough."""
     ends = stage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
     ends = F.broadcast(ends) if ends.count() <= BROADCAST_IDS else ends
-    texts = docs.select(_node(F.col("text")).alias("node"), "text").join(ends, "node", "left_semi").dropDuplicates(["node"])
+    texts = docs.select(_node(F.col("text"), apart).alias("node"), "text").join(ends, "node", "left_semi").dropDuplicates(["node"])
     sets = stage(texts.select("node", _shingles(F.col("text"), width).alias("all")), "sets")
     left, right = sets.select(F.col("node").alias("a"), F.col("all").alias("x")), sets.select(F.col("node").alias("b"), F.col("all").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return pairs.join(left, "a").join(right, "b").where((OVER + UNDER) * both >= OVER * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def _prefixes(docs: DataFrame, width: int) -> DataFrame:
+def _prefixes(docs: DataFrame, width: int, apart: dict[int, int]) -> DataFrame:
     """``key`` and ``node``: each different text under the first of its shingles in the order of their hashes, as many as leave too few for the similarity."""
 
     @F.pandas_udf("array<long>")
@@ -202,23 +217,23 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
         found = (shingles(t, width) for t in texts)
         return pd.Series([f[: len(f) - -(-len(f) * OVER // UNDER) + 1] for f in found], dtype=object)
 
-    each = docs.select(_node(F.col("text")).alias("node"), run("text").alias("keys")).dropDuplicates(["node"])
+    each = docs.select(_node(F.col("text"), apart).alias("node"), run("text").alias("keys")).dropDuplicates(["node"])
     return each.select(F.explode("keys").alias("key"), "node")
 
 
-def _missed(docs: DataFrame, texts: DataFrame, parts: DataFrame, width: int) -> DataFrame:
+def _missed(docs: DataFrame, texts: DataFrame, parts: DataFrame, width: int, apart: dict[int, int]) -> DataFrame:
     """``a`` and ``b``: all similar texts of different ``parts``, found by their prefixes."""
-    rows = stage(_prefixes(docs, width), "prefixes")
+    rows = stage(_prefixes(docs, width, apart), "prefixes")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     told = stage(texts.select("node", "n", "sketch").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "told")
     met = stage(rows.join(shared, "key").join(told, "node").select("key", "node", "n", "sketch", "part"), "prefixes-met")
     right = met.select(*(F.col(c).alias(f"{c}2") for c in met.columns))
     meet = (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2")) & (F.col("part") != F.col("part2")) & _sets_close("sketch", "sketch2", "n", "n2")
     pairs = stage(met.join(right, meet).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct(), "missed")
-    return _verified(pairs, docs, width)
+    return _verified(pairs, docs, width, apart)
 
 
-def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool = False) -> DataFrame:
+def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool, told: dict[int, int]) -> DataFrame:
     """``node`` and ``root`` of the texts of ``docs``, of which ``marked`` is made, that have a link; the root is the group's smallest node."""
     drawn = marked.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "digits", "ring", "sketch")))
     texts = stage(drawn.repartition(shuffle_partitions(marked.sparkSession), "node"), "texts")  # many tasks open the keys
@@ -232,7 +247,7 @@ def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool = Fal
     full = met.join(about, "node").join(center, "key").select("key", "node", "n", "window", "ring", "sketch", (F.col("node") == F.col("center")).alias("central"))
     full = stage(full, "full")
     star = stage(_alike(full.where("not central"), full.where("central"), F.lit(True)), "star")
-    drawn = stage(_verified(star, docs, width), "drawn")
+    drawn = stage(_verified(star, docs, width, told), "drawn")
     parts = stage(connected_components(drawn), "parts").withColumnRenamed("root", "part")
 
     placed = full.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -240,11 +255,11 @@ def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool = Fal
     apart = placed.join(stage(sized, "sized"), "key").select("key", "node", "n", "window", "ring", "sketch", "part", (F.col("part") == F.col("most")).alias("main"))
     apart = stage(apart, "apart")
     pairs = stage(_alike(apart.where("not main"), apart, (F.col("part") != F.col("part2")) & (F.col("main2") | (F.col("node") < F.col("node2")))), "pairs")
-    links = drawn.union(_verified(pairs, docs, width))
+    links = drawn.union(_verified(pairs, docs, width, told))
     groups = stage(connected_components(links), "groups")
     if not exact:
         return groups
-    return stage(connected_components(links.union(_missed(docs, texts, groups.withColumnRenamed("root", "part"), width))), "all-groups")
+    return stage(connected_components(links.union(_missed(docs, texts, groups.withColumnRenamed("root", "part"), width, told))), "all-groups")
 
 
 def similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False) -> DataFrame:
@@ -258,11 +273,16 @@ def similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False) -> D
     """
     slim = id_and_text(docs)
     marked = stage(marked_texts(slim, width), "rings")
-    first = stage(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "first")
-    groups = link_texts(marked, slim, width, exact)
+    ids = [F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high")]
+    first = stage(marked.groupBy("node").agg(*ids), "first")
+    told = {r["node"]: r["low"] for r in first.where("low <> high").select("node", "low").collect()}  # hashes that texts share by chance: none below billions of texts
+    if told:
+        marked = marked.withColumn("node", _told_apart(F.col("node"), F.col("check"), told))
+        first = stage(marked.groupBy("node").agg(*ids), "first")
+    groups = link_texts(marked, slim, width, exact, told)
     smallest = groups.join(first, "node").groupBy("root").agg(F.min("first").alias("component_id"))
     linked = groups.join(smallest, "root").select("node", "component_id")
-    all_of = stage(first.join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), "components")
+    all_of = stage(first.select("node", "first").join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), "components")
     return marked.select("doc_id", "node").join(all_of, "node").select("doc_id", "component_id")
 
 

@@ -89,6 +89,15 @@ def test_exact_groups_are_those_of_all_pairs(spark):
     assert dict(s.similar_texts(docs, exact=True).collect()) == dict(enumerate(want))
 
 
+def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    """Whatever the first hash is worth, here one of three values, no text is taken for another."""
+    plain_hashes = s._hashes
+    monkeypatch.setattr(s, "_hashes", lambda text: (plain_hashes(text)[0] % 3, plain_hashes(text)[1]))
+    texts = corpus(6)[:60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert dict(s.similar_texts(docs, exact=True).collect()) == dict(enumerate(groups(texts)))
+
+
 def test_recall_by_similarity(spark):
     """Without ``exact``: no link is made up, and of the pairs of each band of similarity most are linked; told by all pairs of sets."""
     rng = random.Random(31)
