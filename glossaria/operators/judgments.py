@@ -10,24 +10,21 @@ from pyspark.sql import functions as F
 from glossaria.functions.text import combine, empty_to_null
 
 
-def in_order(c: str, order: Sequence[str], sep: str = ";") -> Column:
-    """Aggregate: the non-null values of ``c`` in the order of ``order``, repeats kept, joined; empty without one."""
-    rows = F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).cast("string").alias("__value")))))
-    return F.array_join(F.transform(rows, lambda r: r["__value"]), sep)
+def aggregate(df: DataFrame, key: Sequence[str], order: Sequence[str], concat_cols: dict[str, str], first_cols: dict[str, str], sep: str = ";", more: dict[str, Column] | None = None) -> DataFrame:
+    """A row per key: lists of ``concat_cols``, first values of ``first_cols`` (input name to output name), and ``more`` aggregates by name.
 
-
-def first_filled(c: str, order: Sequence[str]) -> Column:
-    """Aggregate: the first non-null value of ``c``. Columns may so take their values from different rows."""
-    return F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order)))
-
-
-def aggregate(df: DataFrame, key: Sequence[str], order: Sequence[str], concat_cols: dict[str, str], first_cols: dict[str, str], sep: str = ";", more: Sequence[Column] = ()) -> DataFrame:
-    """A row per key: lists of ``concat_cols``, first values of ``first_cols`` (input name to output name), and ``more`` aggregates.
-
-    ``order`` must tell the rows of a key apart, or ties are broken by the value. One shuffle, on the key.
+    A list has the non-null values in the order of ``order``, repeats kept, joined; it is empty without one. First values
+    are the first that are not null, so columns may take theirs from different rows. ``order`` must tell the rows of a key
+    apart, or ties are broken by the values. One shuffle, on the key, of plain rows, since lists gathered before it would not
+    be smaller; then one sorted list a key, from which all columns are taken.
     """
-    lists = [in_order(c, order, sep).alias(out) for c, out in concat_cols.items()]
-    return df.groupBy(*key).agg(*lists, *(first_filled(c, order).alias(out) for c, out in first_cols.items()), *more)
+    cells = {c: f"v{k}" for k, c in enumerate(dict.fromkeys([*concat_cols, *first_cols]))}
+    row = F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order)), *(F.col(c).alias(v) for c, v in cells.items()))
+    more = more or {}
+    gathered = df.repartition(*key).groupBy(*key).agg(F.sort_array(F.collect_list(row)).alias("__rows"), *(m.alias(c) for c, m in more.items()))
+    filled = lambda c: F.array_compact(F.col("__rows")[cells[c]])
+    lists = (F.array_join(filled(c).cast("array<string>"), sep).alias(out) for c, out in concat_cols.items())
+    return gathered.select(*key, *lists, *(F.get(filled(c), F.lit(0)).alias(out) for c, out in first_cols.items()), *more)
 
 
 def attach(forms: DataFrame, gathered: DataFrame, on: Sequence[str], has_col: dict[str, Column] | None = None) -> DataFrame:

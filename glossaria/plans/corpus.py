@@ -79,7 +79,7 @@ def enriched_forms(forms: DataFrame, judged: DataFrame | None, languages: DataFr
     out = forms.withColumn("Cognacy", own)
     if judged is not None:
         names = {c: JUDGMENT_NAMES.get(c, c) for c in JUDGMENT_COLUMNS}
-        gathered = judgments.aggregate(judged.withColumnRenamed("Form_ID", "ID"), ["Dataset", "ID"], [POSITION], {"Cognateset_ID": "__sets"}, names, more=[F.count(F.lit(1)).alias(quality.JUDGED), F.size(F.collect_set("Alignment")).cast("long").alias(quality.ALIGNED)])
+        gathered = judgments.aggregate(judged.withColumnRenamed("Form_ID", "ID"), ["Dataset", "ID"], [POSITION], {"Cognateset_ID": "__sets"}, names, more={quality.JUDGED: F.count(F.lit(1)), quality.ALIGNED: F.size(F.collect_set("Alignment")).cast("long")})
         out = judgments.attach(out, gathered, ["Dataset", "ID"], {c: has[c] for c in names.values()})
         out = out.withColumn("Cognacy", judgments.cognacy(F.col("Cognacy"), F.col("__sets"))).drop("__sets")
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("long")) if c in out.columns else F.lit(0).cast("long") for c in (quality.JUDGED, quality.ALIGNED)})
