@@ -30,9 +30,9 @@ def _shown(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> tuple[int, str]:
-    """One CSV file with a header, the rows in the order of ``df``: null as an empty cell, booleans as ``True`` and ``False``, quotes doubled. Returns its length and hash."""
+    """One CSV file with a header, the rows in the order of ``df``: null as an empty cell, booleans as ``True`` and ``False``, quotes doubled, white space kept. Returns its length and hash."""
     shown, parts = _shown(df, columns), _parts_of(path)
-    shown.write.csv(parts, escape='"', nullValue="", emptyValue="")
+    shown.write.csv(parts, escape='"', nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     header = io.StringIO()
     csv.writer(header, lineterminator="\n").writerow(shown.columns)
     return _joined(df.sparkSession, parts, path, header.getvalue())

@@ -336,3 +336,13 @@ def test_column_flags_and_split(spark, root):
     assert {tuple(r) for r in flags} == {("alpha", True), ("beta", False)}
     assert {(r["Dataset"], r["filled"], r["empty"], r["absent"]) for r in quality.missing_split(raw, ["Dataset"], ["Cognacy"], "_header").collect()} == {("alpha", 2, 4, 0), ("beta", 0, 0, 4)}
     assert raw.where("Dataset = 'beta'").select(normalize.absent_columns(["ID", "Cognacy"]).alias("a")).first()["a"] == ["Cognacy"]
+
+
+def test_cells_of_any_spelling_come_back(spark, tmp_path):
+    cells = ["  lead", "trail  ", " ", "\t", "a\n", "\n", "c\r\nd", "a\\b", "a\\", '"q"', 'a"', 'x,"\ny', '\\"x', "NA", "null", "\\n", "#c", "'", "\u2028x", "", None]
+    rows = spark.createDataFrame([(str(k), c) for k, c in enumerate(cells)], "ID string, Value string")
+    sinks.export_csv(normalize.align(rows, FORMS_WRITTEN), f"{tmp_path}/forms.csv")
+    want = {str(k): c or None for k, c in enumerate(cells)}
+    assert dict(files.read_published(spark, f"{tmp_path}/forms.csv", FORMS_WRITTEN).select("ID", "Value").collect()) == want
+    told = pd.read_csv(f"{tmp_path}/forms.csv", keep_default_na=False, dtype=str)  # as any other tool reads it
+    assert {k: v or None for k, v in zip(told["ID"], told["Value"], strict=True)} == want
