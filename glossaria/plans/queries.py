@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glossaria.functions import descriptor, figures
 from glossaria.functions import text as fn
 from glossaria.operators import bibliography, enrich, judgments, membership, normalize, quality, release
-from glossaria.plans import file_queries, store_queries
+from glossaria.plans import file_queries, sink_queries, store_queries
 from glossaria.plans.corpus import numbered
 from glossaria.schemas import LANGUAGES
 from glossaria.sources.staging import fresh_path
@@ -448,8 +448,8 @@ def _revised_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(held.agg(F.sum("n_rows").alias("n_all"))).select("dataset", "revision", "n_rows", "n_value", "n_all")  # one row
 
 
-QUERIES.update(file_queries.QUERIES | store_queries.QUERIES)
-SQL.update(file_queries.SQL | store_queries.SQL)
+QUERIES.update(file_queries.QUERIES | store_queries.QUERIES | sink_queries.QUERIES)
+SQL.update(file_queries.SQL | store_queries.SQL | sink_queries.SQL)
 QUERIES["incremental_stats"] = _incremental_stats
 QUERIES["windowed_stats"] = _windowed_stats
 QUERIES["revised_stats"] = _revised_stats
