@@ -19,13 +19,14 @@ the second takes its place. Then the texts of a key are compared with the one wh
 keys are the most shared, which draws large groups together; after that only texts of different parts are compared,
 and the largest part of a key not with itself. Joins compare rings and sketches at once, so that of texts which are only
 somewhat alike no pair leaves them. A text has ``GAPS * DIGITS`` keys and meets by chance ``GAPS * DIGITS / (2 * SIDES)
-** 2`` of all other texts, so ``SIDES`` should grow with the square root of their number: 2,048 suits some 50 million
-different texts, 16,384 some billions.
+** 2`` of all other texts, so the parameter ``sides`` should grow with the square root of their number (:func:`sides_for`):
+2,048 suits some 50 million different texts, 16,384 some billions. More sides make equal digits rarer, so that without
+``exact`` more pairs of a similarity just above 0.8 are missed.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 import numpy as np
@@ -42,8 +43,10 @@ WIDTH = 5
 SEED = 42
 #: Similarity from which texts are linked, as a fraction.
 OVER, UNDER = 4, 5
-#: Digits of a fingerprint, sums that each is the largest of (a power of two), digits that may differ.
-DIGITS, SIDES, RADIUS = 32, 2048, 21
+#: Digits of a fingerprint, sums that each is the largest of (a power of two, and the most that a digit of 16 bits can tell), digits that may differ.
+DIGITS, SIDES, MOST_SIDES, RADIUS = 32, 2048, 16384, 21
+#: Different texts that ``SIDES`` suits.
+SUITED = 50_000_000
 #: Bits that are summed up, each of them part of every side with a sign of its own.
 SUMS = 512
 #: The shares of the radius let one of the first ``GAPS + 1`` digits differ and five of the first ``WINDOW``.
@@ -59,7 +62,19 @@ TOGETHER, BLOCK = 8, 8192
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1
 _STREAMS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1 for k in range(SUMS // 64)], np.uint64)
-_SIGNS = np.where(np.random.RandomState(SEED).randint(0, 2, (SIDES, DIGITS)), 1, -1).astype(np.int16)
+
+
+@lru_cache
+def _signs(sides: int) -> np.ndarray:
+    return np.where(np.random.RandomState(SEED).randint(0, 2, (sides, DIGITS)), 1, -1).astype(np.int16)
+
+
+def sides_for(texts: int) -> int:
+    """``sides`` for so many different texts: each meets no more of the others by chance than at ``SUITED`` texts, as far as digits can tell."""
+    sides = SIDES
+    while sides < MOST_SIDES and texts * SIDES**2 > SUITED * sides**2:
+        sides *= 2
+    return sides
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -87,18 +102,18 @@ def bit_sums(found: np.ndarray) -> np.ndarray:
     return (counts.reshape(-1, 256) @ _BITS).ravel().astype(np.int64)  # whole numbers, exact as floats
 
 
-def digits(sums: np.ndarray) -> np.ndarray:
+def digits(sums: np.ndarray, sides: int = SIDES) -> np.ndarray:
     """``DIGITS`` digits for each row of bit sums: the sums, several times over, change signs, a Hadamard transform mixes them, the largest counts.
 
     Sums of very long texts lose their lowest bits, so that mixed ones stay within 16 bits by far more than chance allows.
     """
-    times = SIDES // SUMS
+    times = sides // SUMS
     most, shift = 8 * np.sqrt(times * (sums.astype(float) ** 2).sum(1)), np.zeros(len(sums), np.int64)
     while (big := most / 2.0**shift > 31_000).any():
         shift += big
-    x = (np.tile((sums >> shift[:, None]).astype(np.int16).T, (times, 1))[:, :, None] * _SIGNS[:, None, :]).reshape(SIDES, -1)
+    x = (np.tile((sums >> shift[:, None]).astype(np.int16).T, (times, 1))[:, :, None] * _signs(sides)[:, None, :]).reshape(sides, -1)
     step = 1
-    while step < SIDES:
+    while step < sides:
         y = x.reshape(-1, 2, step, x.shape[1])
         x = np.stack([y[:, 0] + y[:, 1], y[:, 0] - y[:, 1]], axis=1).reshape(x.shape)
         step *= 2
@@ -137,7 +152,7 @@ def _shingles(text: Column, width: int) -> Column:
     return run(text)
 
 
-def marked_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def marked_texts(docs: DataFrame, width: int = WIDTH, sides: int = SIDES) -> DataFrame:
     """``doc_id``, ``node`` and ``check`` (two hashes of the text), ``n`` different shingles, ``digits``, ``ring`` (the low byte of each, eight in a long), ``sketch``."""
 
     @F.pandas_udf("n int, digits array<short>, ring array<long>, sketch array<long>")
@@ -146,7 +161,7 @@ def marked_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for at in range(0, len(texts), TOGETHER):
             sets = [shingles(t, width) for t in texts[at : at + TOGETHER]]
             sizes += map(len, sets)
-            found = digits(np.array([bit_sums(s) for s in sets]))
+            found = digits(np.array([bit_sums(s) for s in sets]), sides)
             made += list(found)
             rings += list(found.astype(np.uint8).view(np.int64))
             sketches += map(parities, sets)
@@ -156,9 +171,9 @@ def marked_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select("doc_id", node.alias("node"), check.alias("check"), run("text").alias("r")).select("doc_id", "node", "check", "r.*")
 
 
-def _rows(texts: DataFrame) -> DataFrame:
+def _rows(texts: DataFrame, sides: int) -> DataFrame:
     """Each text under its keys: a digit, which of the next ``GAPS`` is equal too, both digits; ``window`` has the other digits of the third share."""
-    size = (2 * SIDES - 1).bit_length()
+    size = (2 * sides - 1).bit_length()
     digit = lambda k: F.get("digits", F.pmod(F.col("at") + k, F.lit(DIGITS)))
     opened = texts.select("node", "n", "digits", F.explode(F.sequence(F.lit(0), F.lit(DIGITS * GAPS - 1))).alias("e"))
     placed = opened.select("node", "n", "digits", "e", F.floor(F.col("e") / GAPS).cast("int").alias("at"), (F.col("e") % GAPS + 1).alias("gap"))
@@ -233,11 +248,11 @@ def _missed(docs: DataFrame, texts: DataFrame, parts: DataFrame, width: int, apa
     return _verified(pairs, docs, width, apart)
 
 
-def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool, told: dict[int, int]) -> DataFrame:
+def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool, told: dict[int, int], sides: int = SIDES) -> DataFrame:
     """``node`` and ``root`` of the texts of ``docs``, of which ``marked`` is made, that have a link; the root is the group's smallest node."""
     drawn = marked.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "digits", "ring", "sketch")))
     texts = stage(drawn.repartition(shuffle_partitions(marked.sparkSession), "node"), "texts")  # many tasks open the keys
-    rows = _rows(texts)
+    rows = _rows(texts, sides)
     shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "keys")
     met = stage(rows.join(shared, "key"), "met")
 
@@ -262,36 +277,39 @@ def link_texts(marked: DataFrame, docs: DataFrame, width: int, exact: bool, told
     return stage(connected_components(links.union(_missed(docs, texts, groups.withColumnRenamed("root", "part"), width, told))), "all-groups")
 
 
-def similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False) -> DataFrame:
+def similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False, sides: int = SIDES) -> DataFrame:
     """A row per document: ``doc_id``, ``component_id``: the smallest doc_id that links reach, its own included.
 
     ``exact`` loses no link, for more work: by itself the fingerprints' keys miss some pairs of a similarity below 0.85.
+    ``sides``, a power of two from ``SUMS`` to ``MOST_SIDES``, is for the number of different texts; see :func:`sides_for`.
 
     Null texts count as empty, and texts without words are alike. A null id is never the smallest and the component of
     documents without any id is null. Rows that share an id are judged each by their text. An empty table gives an
     empty result; columns but ``doc_id`` and ``text`` are not read.
     """
+    if sides not in (1 << k for k in range(SUMS.bit_length() - 1, MOST_SIDES.bit_length())):
+        raise ValueError(f"sides must be a power of two from {SUMS} to {MOST_SIDES}")
     slim = id_and_text(docs)
-    marked = stage(marked_texts(slim, width), "rings")
+    marked = stage(marked_texts(slim, width, sides), "rings")
     ids = [F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high")]
     first = stage(marked.groupBy("node").agg(*ids), "first")
     told = {r["node"]: r["low"] for r in first.where("low <> high").select("node", "low").collect()}  # hashes that texts share by chance: none below billions of texts
     if told:
         marked = marked.withColumn("node", _told_apart(F.col("node"), F.col("check"), told))
         first = stage(marked.groupBy("node").agg(*ids), "first")
-    groups = link_texts(marked, slim, width, exact, told)
+    groups = link_texts(marked, slim, width, exact, told, sides)
     smallest = groups.join(first, "node").groupBy("root").agg(F.min("first").alias("component_id"))
     linked = groups.join(smallest, "root").select("node", "component_id")
     all_of = stage(first.select("node", "first").join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), "components")
     return marked.select("doc_id", "node").join(all_of, "node").select("doc_id", "component_id")
 
 
-def drop_similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False) -> DataFrame:
+def drop_similar_texts(docs: DataFrame, width: int = WIDTH, exact: bool = False, sides: int = SIDES) -> DataFrame:
     """``docs`` with one document of each group of :func:`similar_texts`, the one with the smallest id; rows without an id stay.
 
     Rows that share an id are one document and stay or go together.
     """
-    gone = similar_texts(docs, width, exact).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
+    gone = similar_texts(docs, width, exact, sides).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
     gone = stage(gone, "copies")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")

@@ -3,6 +3,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from glossaria.llm import simhash_texts as s
 
 from .odd import CLASH, documents
@@ -89,6 +90,20 @@ def test_exact_groups_are_those_of_all_pairs(spark):
     assert dict(s.similar_texts(docs, exact=True).collect()) == dict(enumerate(want))
 
 
+@pytest.mark.parametrize("sides", [s.SUMS, s.MOST_SIDES])
+def test_exact_groups_with_few_or_many_sides(spark, sides):
+    """How many texts meet by chance depends on the sides; what is linked in the end does not."""
+    texts = corpus(8)[:120]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert dict(s.similar_texts(docs, exact=True, sides=sides).collect()) == dict(enumerate(groups(texts)))
+
+
+def test_sides_follow_the_number_of_texts(spark):
+    assert [s.sides_for(n) for n in (0, s.SUITED, s.SUITED + 1, 4 * s.SUITED, 10**9, 10**12)] == [2048, 2048, 4096, 4096, 16384, 16384]
+    with pytest.raises(ValueError, match="power of two"):
+        s.similar_texts(spark.createDataFrame([], "doc_id long, text string"), sides=3000)
+
+
 def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
     """Whatever the first hash is worth, here one of three values, no text is taken for another."""
     plain_hashes = s._hashes
@@ -151,7 +166,7 @@ def test_digits_against_plain_sums():
     while len(turned) < s.SIDES:
         turned = np.block([[turned, turned], [turned, -turned]])
     for k, digit in enumerate(s.digits(sums[None])[0].tolist()):
-        y = turned @ (np.tile(sums, s.SIDES // s.SUMS) * s._SIGNS[:, k])
+        y = turned @ (np.tile(sums, s.SIDES // s.SUMS) * s._signs(s.SIDES)[:, k])
         assert abs(y[digit // 2]) == abs(y).max() and (y[digit // 2] > 0) == digit % 2
     assert s.digits(np.array([sums, sums * 10**9]))[1].shape == (s.DIGITS,)
 
