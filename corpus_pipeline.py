@@ -19,21 +19,21 @@ from glossaria.llm.simhash_texts import drop_similar_texts
 from glossaria.sources import staging
 
 
-#: Folders that the latest stage made on its way to its result.
-_on_the_way: list[str] = []
+#: Folders that the latest stage of each session and input made on its way to its result.
+_on_the_way: dict[tuple[str, str], list[str]] = {}
 
 
 def _stage(apply):
-    """A stage that first deletes what the stage before it made on its way, for that one's result has been written by then."""
+    """A stage that first deletes what the stage before it, of the same session and input, made on its way: that one's result has been written by then."""
 
     @wraps(apply)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        staging.delete(spark, _on_the_way)
-        _on_the_way.clear()
+        key = spark.sparkContext.applicationId, sf_dir
+        staging.delete(spark, _on_the_way.pop(key, []))
         before = staging.staged(spark)
         bound_batches(spark)
         out = apply(spark, docs, sf_dir)
-        _on_the_way.extend(p for p in staging.staged(spark) if p not in before)
+        _on_the_way[key] = [p for p in staging.staged(spark) if p not in before]
         return out
 
     return run
