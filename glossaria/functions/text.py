@@ -10,7 +10,8 @@ _SPACE = r"[\s\x1c-\x1f]"
 
 def strip(c: Column) -> Column:
     """``c`` without white space of any script at its ends."""
-    return F.regexp_replace(F.regexp_replace(c, rf"(?U)^{_SPACE}+", ""), rf"(?U){_SPACE}+$", "")
+    bare = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)  # visible ASCII at both ends: nothing to look for
+    return F.when(bare, c).otherwise(F.regexp_replace(F.regexp_replace(c, rf"(?U)^{_SPACE}+", ""), rf"(?U){_SPACE}+$", ""))
 
 
 def empty_to_null(c: Column) -> Column:
@@ -33,7 +34,15 @@ def key_list(c: Column, sep: str = ";") -> Column:
 
 
 def prefix_keys(dataset: Column, c: Column, sep: str = ";") -> Column:
-    """A list cell with each element prefixed; null if nothing is left."""
+    """A list cell with each element prefixed; null if nothing is left.
+
+    With a separator of one visible character no list is made: separators and the white space around them become one
+    separator, those at the ends go.
+    """
+    if len(sep) == 1 and not sep.isspace():
+        runs = F.regexp_replace(c, rf"(?U){_SPACE}*\Q{sep}\E(?:{_SPACE}|\Q{sep}\E)*", rf"\{sep}" if sep in "\\$" else sep)
+        plain = empty_to_null(F.btrim(strip(F.when(c.contains(sep), runs).otherwise(c)), F.lit(sep)))
+        return F.concat(dataset, F.lit("_"), F.replace(plain, F.lit(sep), F.concat(F.lit(sep), dataset, F.lit("_"))))
     return empty_to_null(F.array_join(F.transform(key_list(c, sep), lambda k: F.concat(dataset, F.lit("_"), k)), sep))
 
 

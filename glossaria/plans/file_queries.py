@@ -8,6 +8,7 @@ one part and some in the next.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -37,8 +38,24 @@ WRITERS = 4
 FAULTY = {"lacking": "africa", "broken": "asia"}
 
 
-def _csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, escape='"', emptyValue="")
+def _csv(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    df.write.partitionBy(*by).csv(path, header=True, escape='"', emptyValue="")
+
+
+def _csv_each(df: DataFrame, root: str, name: str, datasets: Sequence[str]) -> None:
+    """Writes a table that has the same columns in all datasets by one job, each dataset's rows in the order of their partition, and puts each folder in its place."""
+    spark, made = df.sparkSession, f"{root}-{name}"
+    _csv(df, made, ("ds",))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(made).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for ds in datasets:
+        fs.mkdirs(path(f"{root}/{ds}/cldf"))
+        own, to = path(f"{made}/ds={ds}"), path(f"{root}/{ds}/cldf/{name}")
+        if not fs.exists(own):
+            _csv(df.where(C("ds") == ds).drop("ds"), f"{root}/{ds}/cldf/{name}")  # no rows: a header
+        elif not fs.rename(own, to):
+            raise OSError(f"{own} can't be moved to {to}")
+    fs.delete(path(made), True)
 
 
 #: Folders of datasets by application and input, as long as they have not been deleted.
@@ -65,12 +82,14 @@ def _write_datasets(spark: SparkSession, sf_dir: str) -> str:
     )
     languages = placed.select("ds", C("c_custkey").alias("ID"), C("c_name").alias("Name"), C("c_mktsegment").alias("Glottocode"), C("n_name").alias("Glottolog_Name"), C("c_acctbal").alias("Latitude"), F.when(C("c_custkey") % 2 == 0, "abc").otherwise("12").alias("Longitude"))
     parameters = t("orders").select(C("o_orderpriority").alias("ID")).distinct().select("ID", C("ID").alias("Name"), F.substring("ID", 1, 1).alias("Concepticon_ID"), F.when(C("ID") != "5-LOW", F.substring("ID", 3, 99)).alias("Concepticon_Gloss"))
-    judged = t("lineitem").join(orders.select("o_orderkey", "ds"), C("l_orderkey") == C("o_orderkey")).select(
+    judged = t("lineitem").join(orders.select("o_orderkey", "ds").where(C("ds") != WITHOUT_JUDGMENTS), C("l_orderkey") == C("o_orderkey")).select(
         *LINE_ORDER,
         "ds", C("l_orderkey").alias("Form_ID"), F.concat("l_returnflag", C("l_linenumber").cast("string")).alias("Cognateset_ID"), F.when(C("l_linestatus") != "F", F.concat("l_linestatus", (C("l_linenumber") % 2).cast("string"))).alias("Alignment"),
         F.when(C("l_returnflag") == "R", "true").when(C("l_returnflag") == "A", "false").otherwise("").alias("Doubt"), F.lit("K1").alias("Source"),
     )
-    forms, languages, parameters, judged = (stage(df, "demo") for df in (forms, languages, parameters, judged))  # joined once for all datasets
+    forms, languages = (stage(df, "demo", "ds") for df in (forms, languages))  # joined once for all datasets, each of which reads its own rows
+    parameters = stage(parameters, "demo")
+    twice = F.explode(F.coalesce(*(F.when(C("ds") == of, F.array(F.lit(of), F.lit(ds))) for ds, of in FAULTY.items()), F.array("ds")))
     region = t("region").select(F.replace(F.lower("r_name"), F.lit(" "), F.lit("")).alias("ds"), "r_regionkey")
 
     def write(ds: str) -> None:
@@ -78,10 +97,7 @@ def _write_datasets(spark: SparkSession, sf_dir: str) -> str:
         to = f"{root}/{ds}/cldf"
         columns = FORMS.get(ds) or ("ID", "Language_ID") + ("Parameter_ID",) * (ds != "lacking")
         _csv(forms.where(own).select(*columns), f"{to}/forms.csv")
-        _csv(languages.where(own).drop("ds"), f"{to}/languages.csv")
         _csv(parameters, f"{to}/parameters.csv")
-        if ds != WITHOUT_JUDGMENTS:
-            _csv(judged.where(own).orderBy(*LINE_ORDER).drop("ds", *LINE_ORDER), f"{to}/cognates.csv")  # a form's judgments lie in many parts
         table = lambda kind, n: F.struct(F.lit(f"http://x.org/terms#{kind}Table").alias("dc:conformsTo"), n.cast("long").alias("dc:extent"))
         made = lambda title, v: F.struct(F.lit(title).alias("dc:title"), F.concat(F.lit("v"), v.cast("string")).alias("dc:created"))
         described = F.to_json(
@@ -94,8 +110,12 @@ def _write_datasets(spark: SparkSession, sf_dir: str) -> str:
         entries = languages.where(own).select((C("ID") % 7).alias("k")).distinct().select(F.concat(F.lit("@misc{K"), C("k").cast("string"), F.lit(",\n note={a@b.c}}\n")).alias("value"))
         entries.coalesce(1).write.text(f"{to}/sources.bib")
 
+    names = [*FORMS, *FAULTY]
     with ThreadPool(WRITERS) as pool:  # small jobs, run side by side
-        pool.map(write, [*FORMS, *FAULTY])
+        pool.map(write, names)
+    _csv_each(languages.withColumn("ds", twice), root, "languages.csv", names)
+    held = judged.withColumn("ds", twice).repartitionByRange(*LINE_ORDER)  # a form's judgments lie in many parts
+    _csv_each(held.sortWithinPartitions("ds", *LINE_ORDER).drop(*LINE_ORDER), root, "cognates.csv", [ds for ds in names if ds != WITHOUT_JUDGMENTS])
     listed = region.select(C("ds").alias("NAME"), F.lit("https://x.org").alias("URL"), F.when(C("r_regionkey") % 2 == 0, "TRUE").alias("CoreCog"), F.when(C("r_regionkey") < 2, "TRUE").alias("CORE"))
     _csv(listed, f"{root}-registry.csv")
     return root

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from glossaria.schemas import FORMS_WORKING, JUDGMENT_COLUMNS, LANGUAGES, OPTIONAL_FILES, PARAMETERS, RELEASE_FILES, REPORT, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
-#: Where a row stands in a file: the number and name of its part, the start of the block read, and an ascending number in it.
+#: Where a row stands in a file: the number of its part, the part's name where numbers don't tell the parts of a file apart, the start of the block read, and an ascending number in it.
 POSITION_TYPE = "struct<number:bigint,part:string,block:bigint,row:bigint>"
 #: Bytes at the start of a table that its header line must fit into, and tables whose headers are read at once.
 HEADER_BYTES, HEADERS_TOGETHER = 1 << 16, 16
@@ -38,7 +38,11 @@ _KNOWN = {c.lower(): c for c in (*FORMS_WORKING, *LANGUAGES, *PARAMETERS, *JUDGM
 
 
 def dataset_of(path: Column) -> Column:
-    return F.url_decode(F.regexp_replace(F.regexp_extract(path, _PLACE, 2), r"\+", "%2B"))
+    """The dataset of :data:`_PLACE`, by plain cuts: readers tell it anew for each row, and the pattern tries every place in a path."""
+    last = F.substring_index(path, "/", -4)
+    first, second, third = (F.substring_index(F.substring_index(last, "/", k), "/", -1) for k in (1, 2, 3))
+    name = F.when((second == "cldf") & (first != ""), first).when(third == "cldf", second).otherwise("")
+    return F.when(name.contains("%"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
 
 
 def _file_of(path: Column) -> Column:
@@ -202,18 +206,21 @@ def read_table(spark: SparkSession, root: str, file_name: str, datasets: list[st
     for dataset in found.of(file_name):
         for path, header in found.parts[dataset, file_name].items():
             groups[tuple(header), tuple(found.headers[dataset, file_name])].append(path)
-    parts = [_read_alike(spark, list(header), list(whole), sorted(paths)) for (header, whole), paths in sorted(groups.items())]
+    numbers = [[part_order(path)[0] for path in found.parts[dataset, file_name]] for dataset in found.of(file_name)]
+    named = any(len(set(own)) < len(own) for own in numbers)  # rows carry names of parts only where these tell their order
+    parts = [_read_alike(spark, list(header), list(whole), sorted(paths), named) for (header, whole), paths in sorted(groups.items())]
     if not parts:
         return spark.createDataFrame([], f"Dataset string, {POSITION} {POSITION_TYPE}, {HEADER} array<string>, {EXTRA} string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _read_alike(spark: SparkSession, header: list[str], whole: list[str], paths: list[str]) -> DataFrame:
+def _read_alike(spark: SparkSession, header: list[str], whole: list[str], paths: list[str], named: bool) -> DataFrame:
     names = column_names(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, EXTRA]])
     reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE", enforceSchema=True)
     rows, place = reader.csv(paths), F.col("_metadata.file_path")
-    position = F.struct(*_part_order(F.col("_metadata.file_name")), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    number, part = _part_order(F.col("_metadata.file_name"))
+    position = F.struct(number, part if named else F.lit(None).cast("string").alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     return rows.select("*", dataset_of(place).alias("Dataset"), position.cast(POSITION_TYPE).alias(POSITION), F.array(*map(F.lit, whole)).cast("array<string>").alias(HEADER))
 
 

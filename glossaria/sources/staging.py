@@ -30,10 +30,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet and reads it back: cuts the lineage, survives lost executors, and later plans know its size."""
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Writes ``df`` as Parquet and reads it back: cuts the lineage, survives lost executors, and later plans know its size.
+
+    With ``by``, a folder for each value of a column, so that whoever wants one value reads no other rows.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*([by] if by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
