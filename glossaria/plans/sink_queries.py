@@ -117,7 +117,7 @@ def stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     length, sha = sinks.export_csv(normalize.align(rows, FORMS_WRITTEN), f"{folder}/forms.csv")
     found = files.release_files(spark, folder).select(((C("length") == length) & (C("sha256") == sha) & (C("n_parts") == 1)).alias("same_file"))  # one row
     back = files.read_published(spark, f"{folder}/forms.csv", FORMS_WRITTEN)
-    return back.join(found).select("ID", "Dataset", "Comment", F.md5("Value").alias("text_md5"), F.length("Value").cast("long").alias("n"), "Loan", "same_file")
+    return back.join(F.broadcast(found)).select("ID", "Dataset", "Comment", F.md5("Value").alias("text_md5"), F.length("Value").cast("long").alias("n"), "Loan", "same_file")
 
 
 @query("""

@@ -18,10 +18,11 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossaria.functions.text import count_character
 from glossaria.schemas import FORMS_WORKING, JUDGMENT_COLUMNS, LANGUAGES, OPTIONAL_FILES, PARAMETERS, RELEASE_FILES, REPORT, REQUIRED_COLUMNS, REQUIRED_FILES, schema_of
 
 EXTRA, POSITION, HEADER = "_extra", "_pos", "_header"
@@ -281,10 +282,32 @@ def registry_datasets(registry: DataFrame, core_only: bool = False, corecog_only
     return out.where("is_corecog") if corecog_only else out
 
 
+#: Lines of a file that are numbered together, as a power of two.
+LINES_TOGETHER = 12
+
+
 def read_published(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    """A published CSV table with its declared types; booleans are ``True`` and ``False``, empty cells null."""
-    rows = spark.read.schema(schema_of(columns)).options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8").csv(path)
-    return rows.select(*columns)
+    """A published CSV table with its declared types; booleans are ``True`` and ``False``, empty cells null.
+
+    Spark's reader gives a file whose cells may hold line feeds to one task, whatever its size. Here tasks read lines of
+    their blocks: where a record begins is told by the number of quotes before it, which is summed up over runs of some
+    thousand lines, and the lines of each record are put together again.
+    """
+    load = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = load.withColumns({"run": F.shiftright("row", LINES_TOGETHER), "odd": count_character(F.col("value"), '"') % 2})
+    at = Window.partitionBy("file", "block", "run").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = lines.withColumn("open", (F.sum("odd").over(at) - F.col("odd")) % 2)  # as if no quotation were open where the run begins
+    inside = inside.withColumns({"if_closed": F.count_if(F.col("open") == 0).over(at), "if_open": F.count_if(F.col("open") == 1).over(at)})  # records begun so far, by what is so
+    runs = inside.groupBy("file", "block", "run").agg(F.sum("odd").alias("quotes"), F.max("if_closed").alias("closed"), F.max("if_open").alias("opened"))  # a row for each run
+    before = Window.partitionBy("file").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("within", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
+    runs = runs.withColumn("first", F.coalesce(F.sum(F.when(F.col("within"), F.col("opened")).otherwise(F.col("closed"))).over(before), F.lit(0)))
+    record = F.col("first") + F.when(F.col("within"), F.col("if_open")).otherwise(F.col("if_closed"))
+    placed = inside.join(runs.select("file", "block", "run", "within", "first"), ["file", "block", "run"]).select("file", record.alias("record"), "block", "row", "value")
+    whole = placed.where("record > 1").groupBy("file", "record").agg(F.array_join(F.array_sort(F.collect_list(F.struct("block", "row", "value")))["value"], "\n").alias("text"))  # the first record is the header
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_of(columns))
+    cells = F.from_csv("text", kinds, {"multiLine": "true", "lineSep": "\n", "escape": '"', "quote": '"'})
+    return whole.where("text <> ''").select(cells.alias("r")).select(*(F.col(f"r.`{c}`") for c in columns))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -3,12 +3,30 @@
 from pyspark.sql import functions as F
 
 from glossaria.functions.text import _SPACE, prefix_keys
+from glossaria.operators.normalize import align
 from glossaria.plans import file_queries
-from glossaria.sources import files, staging
+from glossaria.schemas import FORMS_WRITTEN
+from glossaria.sources import files, sinks, staging
 
 from .conftest import SMALL
 
 
+def test_published_file_is_read_by_many_tasks(spark, tmp_path):
+    odd = ["a\nb", '"', '""\n"', "\n", "", None, "x\r\ny", ',"\n,', " \t", "\r", 'a"b', "\n\n\n" * 50, '"\n' * 33]
+    rows = [(f"r{k}", odd[k % len(odd)], None if k % 3 == 0 else k % 3 == 1, "ä" * (k % 7)) for k in range(9000)]
+    df = spark.createDataFrame(rows, "ID string, Value string, Loan boolean, Comment string")
+    sinks.export_csv(align(df, FORMS_WRITTEN), f"{tmp_path}/forms.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        back = files.read_published(spark, f"{tmp_path}/forms.csv", FORMS_WRITTEN)
+        assert len(back.inputFiles()) == 1
+        assert "Scan text" in back._jdf.queryExecution().executedPlan().toString() and "Scan csv" not in back._jdf.queryExecution().executedPlan().toString()
+        told = sorted(tuple(r) for r in back.select("ID", F.coalesce("Value", F.lit("-")), F.coalesce(F.col("Loan").cast("string"), F.lit("-")), F.coalesce("Comment", F.lit("-"))).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert told == sorted((i, v or "-", "-" if b is None else str(b).lower(), c or "-") for i, v, b, c in rows)
+
+
 def test_dataset_is_told_without_a_pattern(spark):
     paths = ["file:/r/a%20b+c/cldf/forms.csv", "file:/r/ds/cldf/forms.csv/part-0.csv", "viewfs://s/cldf/cldf/x.csv", "file:/r/cldf/ds/cldf/forms.csv/p", "file:/r/ds/other/forms.csv"]
     by_pattern = F.url_decode(F.regexp_replace(F.regexp_extract("p", files._PLACE, 2), r"\+", "%2B"))
