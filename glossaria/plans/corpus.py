@@ -122,23 +122,24 @@ def write_full(spark: SparkSession, root: str, place: Callable[[str], str], data
     found = files.survey(spark, root, datasets)
     bad = files.faults(spark, root, found)
     before = staged(spark)
-    flag = lambda name: files.read_table(spark, root, name, found=found.without({b[0] for b in bad})).withColumn(FAULT, F.col(EXTRA).isNotNull())
+    flag = lambda name: files.read_table(spark, root, name, found=found.without({b[0] for b in bad})).withColumns({FAULT: F.col(EXTRA).isNotNull(), sinks.DEAL: F.xxhash64(POSITION)})
     faulty = lambda df, name: bad.extend((r["Dataset"], name, TOO_MANY) for r in df.where(FAULT).select("Dataset").distinct().orderBy("Dataset").collect())  # noqa: E731  names of directories
 
-    def kept(df: DataFrame, table: str, source: str) -> DataFrame:
-        sinks.write_table(df, place(table))
-        back = spark.read.schema(df.schema).parquet(place(table)).select(*df.columns)
-        faulty(back, source)
+    def kept(df: DataFrame, table: str, *sources: str) -> DataFrame:
+        sinks.write_table(df, place(table), "Dataset", "overwrite", found.sizes(*sources))
+        held = df.drop(sinks.DEAL)
+        back = spark.read.schema(held.schema).parquet(place(table)).select(*held.columns)
+        faulty(back, sources[0])
         return back
 
-    languages = kept(normalize.languages(flag("languages.csv"), [FAULT]), "languages", "languages.csv")
-    parameters = kept(normalize.parameters(flag("parameters.csv"), [FAULT]), "parameters", "parameters.csv")
+    languages = kept(normalize.languages(flag("languages.csv"), [FAULT, sinks.DEAL]), "languages", "languages.csv")
+    parameters = kept(normalize.parameters(flag("parameters.csv"), [FAULT, sinks.DEAL]), "parameters", "parameters.csv")
     judged = None
     if found.without({b[0] for b in bad}).of("cognates.csv"):
         judged = stage(normalize.judgments(flag("cognates.csv"), [FAULT]), "judgments")
         faulty(judged, "cognates.csv")
-    carry = [FAULT, *MASKS]
-    forms = kept(enriched_forms(normalize.forms(normalize.cell_masks(flag("forms.csv")), carry), judged, languages, parameters, carry), "forms", "forms.csv")
+    carry = [FAULT, *MASKS, sinks.DEAL]
+    forms = kept(enriched_forms(normalize.forms(normalize.cell_masks(flag("forms.csv")), carry), judged, languages, parameters, carry), "forms", "forms.csv", "cognates.csv")
     delete(spark, [p for p in staged(spark) if p not in before])
     told = _told(spark, root, found.without({b[0] for b in bad})) | {"tallies": quality.tallies(forms.where(~F.col("Dataset").isin(sorted({b[0] for b in bad}))))}
     for table, df in told.items():

@@ -96,13 +96,19 @@ class Survey:
     headers: dict[tuple[str, str], list[str]]
     #: The header of each part of a CSV file, by the file's dataset and name and the part's path. Parts of no bytes are not in it.
     parts: dict[tuple[str, str], dict[str, list[str]]] = field(default_factory=dict)
+    #: Bytes of each file by its dataset and name.
+    lengths: dict[tuple[str, str], int] = field(default_factory=dict)
 
     def of(self, file_name: str) -> dict[str, str]:
         """Path of this file by dataset."""
         return {d: held[file_name] for d, held in sorted(self.paths.items()) if file_name in held}
 
+    def sizes(self, *file_names: str) -> dict[str, int]:
+        """Bytes of these files together by dataset."""
+        return {d: sum(self.lengths.get((d, n), 0) for n in file_names) for d in self.paths}
+
     def without(self, datasets: set[str]) -> Survey:
-        return Survey(self.root, {d: p for d, p in self.paths.items() if d not in datasets}, self.headers, self.parts)
+        return Survey(self.root, {d: p for d, p in self.paths.items() if d not in datasets}, self.headers, self.parts, self.lengths)
 
 
 def part_order(path: str) -> tuple[int, str]:
@@ -119,16 +125,18 @@ def _part_order(name: Column) -> list[Column]:
 
 def survey(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> Survey:
     """The files of all datasets (or those named) and the header of each table. Of the tables only their first bytes are read."""
-    listed = _found(lambda: spark.read.format("binaryFile").load(f"{root}/*/cldf/*").select("path"), "path string", spark)
-    told = listed.select("path", _file_of(F.col("path")).alias("file"), dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"))
+    listed = _found(lambda: spark.read.format("binaryFile").load(f"{root}/*/cldf/*").select("path", "length"), "path string, length bigint", spark)
+    told = listed.select("path", "length", _file_of(F.col("path")).alias("file"), dataset_of(F.col("path")).alias("Dataset"), F.regexp_extract("path", _PLACE, 3).alias("file_name"))
     told = told.where(F.col("file_name").isin(*REQUIRED_FILES, *OPTIONAL_FILES))
     if datasets is not None:
         told = told.where(F.col("Dataset").isin(list(datasets)))
     paths: dict[str, dict[str, str]] = defaultdict(dict)
     held: dict[tuple[str, str], list[str]] = defaultdict(list)
+    lengths: dict[tuple[str, str], int] = defaultdict(int)
     for r in told.collect():  # names of files
         paths[r["Dataset"]][r["file_name"]] = r["file"]
         held[r["Dataset"], r["file_name"]].append(r["path"])
+        lengths[r["Dataset"], r["file_name"]] += r["length"]
     paths = {d: files for d, files in paths.items() if REQUIRED_FILES[0] in files}
     tables = {k: sorted(held[k], key=part_order) for k in sorted(held) if k[0] in paths and k[1] in REQUIRED_COLUMNS}
     flat = [p for parts in tables.values() for p in parts]
@@ -136,7 +144,7 @@ def survey(spark: SparkSession, root: str, datasets: Sequence[str] | None = None
         found = dict(zip(flat, pool.map(lambda p: header_columns(_first_bytes(spark, p)), flat), strict=True))
     parts = {k: {p: found[p] for p in own if found[p]} for k, own in tables.items()}
     headers = {k: list(dict.fromkeys(c for columns in _numbered(own.values()) for c in columns)) for k, own in parts.items()}
-    return Survey(root, paths, {k: [c for c, _ in columns] for k, columns in headers.items()}, parts)
+    return Survey(root, paths, {k: [c for c, _ in columns] for k, columns in headers.items()}, parts, dict(lengths))
 
 
 def _numbered(headers) -> list[list[tuple[str, int]]]:

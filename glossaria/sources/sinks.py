@@ -13,15 +13,42 @@ from pyspark.sql import functions as F
 from glossaria.sources.files import COPY_BYTES, part_order
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "Dataset", mode: str = "overwrite") -> None:
+#: A number for each row of what :func:`write_table` deals by sizes; it is not written. Bytes of source files that a task writes the rows of.
+DEAL, TASK_BYTES = "_deal", 8 << 20
+
+
+def write_table(df: DataFrame, path: str, partition_by: str | None = "Dataset", mode: str = "overwrite", sizes: dict[str, int] | None = None) -> None:
     """Parquet, a folder per dataset; only the datasets in ``df`` are replaced, so that a repeated write changes nothing.
 
-    Rows are dealt by dataset and a rebalancing shuffle splits the large ones.
+    Rows are dealt by dataset and a rebalancing shuffle splits the large ones, but not below its advised size or what one
+    task before it gave, and a task sorts all that it writes. With ``sizes``, the bytes of the files that the rows of each
+    dataset come from, tasks get even shares of :data:`TASK_BYTES`, by the column ``_deal``.
     """
     if partition_by is None:
         df.write.mode(mode).parquet(path)
         return
-    df.hint("rebalance", partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    dealt = df.hint("rebalance", partition_by) if sizes is None else _dealt(df, partition_by, sizes)
+    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
+def _dealt(df: DataFrame, by: str, sizes: dict[str, int]) -> DataFrame:
+    n, told = places(sizes)
+    held = df.sparkSession.createDataFrame(told, "__of string, __first int, __shares int")  # a row for each dataset
+    share = F.col("__first") + F.pmod(F.col(DEAL), F.col("__shares")).cast("int")
+    placed = df.join(F.broadcast(held), F.col(by) == F.col("__of"), "left").select(*(c for c in df.columns if c != DEAL), F.coalesce(share, F.lit(0)).alias("__task"))
+    return placed.repartitionById(n, "__task").drop("__task")
+
+
+def places(sizes: dict[str, int]) -> tuple[int, list[tuple[str, int, int]]]:
+    """How many tasks write what has these sizes, and of each name the first task and the number of tasks: small ones share a task, each large one has some of its own."""
+    told, at, filled = [], 0, 0
+    for name, size in sorted(sizes.items(), key=lambda x: (x[1], x[0])):
+        shares = max(1, -(-size // TASK_BYTES))
+        if filled and filled + size > TASK_BYTES:
+            at, filled = at + 1, 0
+        told.append((name, at, shares))
+        at, filled = at + shares - 1, filled + size if shares == 1 else TASK_BYTES
+    return at + 1, told
 
 
 def _shown(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:

@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from glossaria.functions.text import _SPACE, prefix_keys
 from glossaria.operators.normalize import align
-from glossaria.plans import file_queries
+from glossaria.plans import corpus, file_queries
 from glossaria.schemas import FORMS_WRITTEN
 from glossaria.sources import files, sinks, staging
 
+from . import cldf
 from .conftest import SMALL
 
 
@@ -55,3 +56,26 @@ def test_datasets_are_written_from_their_own_rows(spark):
     found = files.survey(spark, root)
     assert set(found.of("languages.csv")) == {*file_queries.FORMS, *file_queries.FAULTY}
     assert set(found.of("cognates.csv")) == {*file_queries.FORMS, *file_queries.FAULTY} - {file_queries.WITHOUT_JUDGMENTS}
+
+
+def test_a_large_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One file of one dataset, whose rows are all alike, and small datasets beside it: no task gets much more than its share, whatever the file's size, and small datasets aren't split."""
+    root, n = tmp_path / "data", 24_000
+    cldf.dataset(root, "large", languages=cldf.LANGUAGES, parameters=cldf.PARAMETERS, forms="ID,Language_ID,Parameter_ID,Value\n" + "1,L1,P1,value\n" * n)
+    for k in range(9):
+        cldf.dataset(root, f"small{k}", languages=cldf.LANGUAGES, parameters=cldf.PARAMETERS, forms="ID,Language_ID,Parameter_ID\n" + "".join(f"{i},L1,P1\n" for i in range(40)))
+    monkeypatch.setattr(sinks, "TASK_BYTES", 14 * n // 8, raising=False)
+    full, bad = corpus.write_full(spark, str(root), lambda table: f"{tmp_path}/out/{table}")
+    assert bad == [] and full.forms.count() == n + 360
+    held = {r["Dataset"]: r for r in full.forms.groupBy("Dataset", F.input_file_name().alias("file")).count().groupBy("Dataset").agg(F.count("file").alias("files"), F.max("count").alias("most"), F.sum("count").alias("all")).collect()}
+    assert held["large"]["files"] >= 8 and held["large"]["most"] <= 1.2 * n / 8 and held["large"]["all"] == n
+    assert all(held[f"small{k}"]["files"] == 1 and held[f"small{k}"]["all"] == 40 for k in range(9))
+    assert not {sinks.DEAL} & set(spark.read.parquet(f"{tmp_path}/out/forms").columns)
+
+
+def test_places_of_large_and_small(monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_BYTES", 10)
+    assert sinks.places({}) == (1, [])
+    assert sinks.places({"a": 0}) == (1, [("a", 0, 1)])
+    assert sinks.places({"a": 25, "b": 4, "c": 6, "d": 10, "e": 0}) == (5, [("e", 0, 1), ("b", 0, 1), ("c", 0, 1), ("d", 1, 1), ("a", 2, 3)])
+    assert sinks.places({"a": 11, "b": 21}) == (5, [("a", 0, 2), ("b", 2, 3)])
